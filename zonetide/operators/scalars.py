@@ -19,7 +19,7 @@ def dates(orders: DataFrame) -> DataFrame:
         F.hour(parsed).alias("order_hour"),
         F.dayofweek(parsed).alias("day_of_week"),
         F.datediff(F.to_date("delivery_timestamp"), F.to_date(parsed)).alias("days_to_deliver"),
-        F.try_to_timestamp(F.concat(text, F.lit(" noon"))).isNull().cast("int").alias("bad_text"),
+        F.try_to_timestamp(F.concat(F.lit("on "), text)).isNull().cast("int").alias("bad_text"),
     )
 
 

@@ -9,7 +9,7 @@ from .tables import big, int_avg, money_avg, money_sum, pct, r
 def half_even(x: str, digits: int) -> str:
     """Half-even rounding of the shortest decimal form of a double."""
     unit = 10**digits
-    d = f"(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,16)) * {unit})"
+    d = f"(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,20)) * {unit})"
     f = f"FLOOR({d})"
     return (
         f"CAST((CASE WHEN {d} - {f} > 0.5 THEN {f} + 1 WHEN {d} - {f} < 0.5 THEN {f} "
@@ -97,11 +97,11 @@ _STATIC = """ROUND(CASE WHEN order_hour IN (12, 13) THEN 1.3::DOUBLE WHEN order_
 _ZONED = """SELECT o.* EXCLUDE (zone), COALESCE(NULLIF(o.zone, ''), m.zone) AS zone
   FROM orders_raw o LEFT JOIN restaurants_raw m ON o.restaurant_id = m.restaurant_id"""
 _WATERMARK = "(SELECT MAX(order_timestamp) - INTERVAL 4 HOUR FROM orders_raw)"
-_HOURLY_STREAM = f"""SELECT zone, date_trunc('hour', order_timestamp) AS window_start,
-         date_trunc('hour', order_timestamp) + INTERVAL 1 HOUR AS window_end,
+_HOURLY_STREAM = f"""SELECT zone, window_start, window_start + INTERVAL 1 HOUR AS window_end,
          COUNT(order_id) AS total_orders, COUNT(*) FILTER (status = 'cancelled') AS total_cancellations,
          {money_sum('order_value_inr')} AS order_value
-  FROM ({_ZONED}) GROUP BY ALL HAVING window_end <= {_WATERMARK}"""
+  FROM (SELECT *, date_trunc('hour', order_timestamp) AS window_start FROM ({_ZONED}))
+  WHERE window_start + INTERVAL 1 HOUR <= {_WATERMARK} GROUP BY zone, window_start"""
 
 _PARTS: dict[str, str] = {
     # sources, cleaning and quality
@@ -247,7 +247,7 @@ SELECT COUNT(total_orders) AS rows, ROUND(AVG(total_orders), 4) AS mean_orders,
     "fn_date": """
 SELECT order_id, order_date, order_hour, day_of_week,
        CAST(date_diff('day', order_date, CAST(delivery_timestamp AS DATE)) AS INTEGER) AS days_to_deliver,
-       CASE WHEN TRY_CAST(CAST(order_timestamp AS VARCHAR) || ' noon' AS TIMESTAMP) IS NULL THEN 1 ELSE 0 END AS bad_text
+       CASE WHEN TRY_CAST('on ' || CAST(order_timestamp AS VARCHAR) AS TIMESTAMP) IS NULL THEN 1 ELSE 0 END AS bad_text
 FROM orders_clean""",
     "fn_null": """
 SELECT order_id, COALESCE(order_value_inr, 0::DOUBLE) AS value_or_zero, NULLIF(discount_inr, 0) AS discount_or_null,
