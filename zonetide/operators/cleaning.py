@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import RAINY_CONDITIONS, calendar_columns
 from ..functions.measures import flag
-from ..sources.schemas import ARRIVAL, ORDERS
+from ..session import fits_broadcast
+from ..sources.schemas import ORDERS
 
 ORDER_COLUMNS = [
     *ORDERS.names,
@@ -63,13 +64,25 @@ def master_zones(restaurants: DataFrame) -> DataFrame:
 
 
 def backfill_zone(orders: DataFrame, restaurants: DataFrame) -> DataFrame:
-    """Missing zones come from the restaurant master."""
+    """Missing zones come from the restaurant master.
+
+    A master too large to broadcast would shuffle every order for the few that need it.
+    Then only orders without a zone are joined; both branches read the same shuffle
+    output of the step before.
+    """
+    master = master_zones(restaurants)
     own = F.when(~is_blank("zone"), F.col("zone"))
-    return (
-        orders.join(master_zones(restaurants), "restaurant_id", "left")
-        .withColumn("zone", F.coalesce(own, "_master_zone"))
-        .select(*orders.columns)
-    )
+
+    def fill(rows: DataFrame) -> DataFrame:
+        return (
+            rows.join(master, "restaurant_id", "left")
+            .withColumn("zone", F.coalesce(own, "_master_zone"))
+            .select(*orders.columns)
+        )
+
+    if orders.isStreaming or fits_broadcast(master):
+        return fill(orders)
+    return orders.filter(~is_blank("zone")).unionByName(fill(orders.filter(is_blank("zone"))))
 
 
 def with_partner_status(orders: DataFrame) -> DataFrame:
@@ -135,7 +148,3 @@ def clean_local_events(events: DataFrame) -> DataFrame:
     typed = _typed(events, date="date", expected_crowd="int", demand_multiplier="double")
     each = typed.withColumn("zone", F.explode(F.split("zones_impacted", ",")))
     return each.withColumn("zone", F.trim("zone"))
-
-
-def with_arrival(columns: list[str], df: DataFrame) -> list[str]:
-    return columns + [ARRIVAL] if ARRIVAL in df.columns else columns

@@ -14,9 +14,12 @@ def rate_avg(c: str, digits: int = 1) -> Column:
     return F.round(exact_avg(c), digits)
 
 
-def kpi_cards(orders: DataFrame) -> DataFrame:
+def kpi_cards(orders: DataFrame, *, unique_ids: bool = False) -> DataFrame:
+    """Overall figures.  ``unique_ids`` says that no order id repeats, as after
+    ``cleaning.dedup_orders``; counting then needs no shuffle of all ids."""
+    order_count = F.count("order_id") if unique_ids else F.count_distinct("order_id")
     return orders.agg(
-        F.count_distinct("order_id").alias("total_orders"),
+        order_count.alias("total_orders"),
         F.count_distinct("customer_id").alias("unique_customers"),
         rupees(exact_sum("net_order_value")).alias("total_revenue"),
         F.round(F.avg("actual_delivery_mins"), 1).alias("avg_delivery_mins"),

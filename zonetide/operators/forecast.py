@@ -150,15 +150,18 @@ def predicted_vs_actual(forecast: DataFrame, days: int = 7) -> DataFrame:
     )
 
 
-def next_interval_target(orders: DataFrame, minutes: int = 30) -> DataFrame:
-    """Orders per zone and interval with the counts of the next two intervals."""
+def interval_orders(orders: DataFrame, minutes: int = 30) -> DataFrame:
+    """Orders per zone and interval that had any."""
     width = minutes * 60
     start = F.timestamp_seconds(F.expr(f"(unix_seconds(order_timestamp) div {width}) * {width}"))
-    counts = (
-        orders.filter(F.col("zone").isNotNull() & F.col("order_timestamp").isNotNull())
-        .groupBy("zone", start.alias("interval_ts"))
-        .agg(F.count(F.lit(1)).alias("orders"))
+    known = orders.filter(F.col("zone").isNotNull() & F.col("order_timestamp").isNotNull())
+    return known.groupBy("zone", start.alias("interval_ts")).agg(
+        F.count(F.lit(1)).alias("orders")
     )
+
+
+def next_interval_target(counts: DataFrame, minutes: int = 30) -> DataFrame:
+    """``interval_orders`` on every interval, with the counts of the next two."""
     w = Window.partitionBy("zone").orderBy("interval_ts")
     return dense(counts, "interval_ts", f"{minutes} minutes", ["orders"]).withColumns(
         {

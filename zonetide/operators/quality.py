@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,27 +51,30 @@ def remaining_null_zones(orders: DataFrame) -> DataFrame:
     )
 
 
-def exact_medians(df: DataFrame, keys: list[str], value: str, bucket: float = 1.0) -> DataFrame:
-    """Exact median per group, without gathering a group in one task.
+def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Rows per group and value; nulls of ``value`` are left out."""
+    return df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+def exact_medians(
+    counts: DataFrame, keys: list[str], value: str, bucket: float = 1.0
+) -> DataFrame:
+    """Exact median per group from ``value_counts``, without gathering a group in one task.
 
-    Rows collapse to (group, value) counts first.  A running count over buckets of
-    width ``bucket`` finds the one or two buckets that hold the middle ranks, and only
-    their values are ranked.  With two-decimal prices a bucket of width 1 has at most
-    100 values, and the bucket count is the price range.
+    A running count over buckets of width ``bucket`` finds the one or two buckets that
+    hold the middle ranks, and only their values are ranked.  With two-decimal prices a
+    bucket of width 1 has at most 100 values, and the bucket count is the price range.
     """
-    hist = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_b", F.floor(F.col(value) / bucket))
-    )
+    hist = counts.withColumn("_b", F.floor(F.col(value) / bucket))
     group = Window.partitionBy(*keys)
     upto = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     lo_rank = F.expr("(_total + 1) div 2")
     hi_rank = F.expr("(_total + 2) div 2")
     middle = (
         hist.groupBy(*keys, "_b")
-        .agg(F.sum("_n").alias("_bn"))
+        .agg(F.sum("n").alias("_bn"))
         .withColumns({"_cum": F.sum("_bn").over(upto), "_total": F.sum("_bn").over(group)})
         .filter((F.col("_cum") >= lo_rank) & (F.col("_cum") - F.col("_bn") < hi_rank))
         .select(*keys, "_b", "_total", (F.col("_cum") - F.col("_bn")).alias("_below"))
@@ -82,35 +85,44 @@ def exact_medians(df: DataFrame, keys: list[str], value: str, bucket: float = 1.
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     ranked = hist.join(middle, [*keys, "_b"]).withColumn(
-        "_rank", F.col("_below") + F.sum("_n").over(inside)
+        "_rank", F.col("_below") + F.sum("n").over(inside)
     )
     lo = F.min(F.when(F.col("_rank") >= lo_rank, F.col(value)))
     hi = F.min(F.when(F.col("_rank") >= hi_rank, F.col(value)))
     return ranked.groupBy(*keys).agg(((lo + hi) / 2.0).alias("median"))
 
 
-def impute_order_value(orders: DataFrame, restaurants: DataFrame) -> DataFrame:
-    """Missing order values become the zone and cuisine median, else the overall median."""
+def _lazy(name: str, df: DataFrame) -> DataFrame:
+    return df
+
+
+def impute_order_value(
+    orders: DataFrame,
+    restaurants: DataFrame,
+    keep: Callable[[str, DataFrame], DataFrame] = _lazy,
+) -> DataFrame:
+    """Missing order values become the zone and cuisine median, else the overall median.
+
+    One pass over the orders gives the value counts both medians come from.  ``keep``
+    may write the counts and medians, which are small, so they are made once and the
+    final join sees their real size.
+    """
+    group, value = ["zone", "cuisine_type"], "order_value_inr"
     cuisine = (
         restaurants.filter(F.col("restaurant_id").isNotNull())
         .groupBy("restaurant_id")
         .agg(F.min("cuisine_type").alias("cuisine_type"))
     )
     known = orders.join(cuisine, "restaurant_id", "left")
-    by_group = exact_medians(
-        known.filter(F.col("zone").isNotNull() & F.col("cuisine_type").isNotNull()),
-        ["zone", "cuisine_type"],
-        "order_value_inr",
-    )
-    overall = (
-        exact_medians(orders.withColumn("_all", F.lit(0)), ["_all"], "order_value_inr")
-        .select("median")
-        .scalar()
-    )
+    counts = keep("order_value_counts", value_counts(known, group, value))
+    named = counts.filter(F.col("zone").isNotNull() & F.col("cuisine_type").isNotNull())
+    by_group = keep("order_value_medians", exact_medians(named, group, value))
+    total = counts.groupBy(F.lit(0).alias("_all"), value).agg(F.sum("n").alias("n"))
+    overall = keep("order_value_median", exact_medians(total, ["_all"], value).select("median"))
     return (
-        known.join(by_group, ["zone", "cuisine_type"], "left")
-        .withColumn("value_imputed", flag(F.col("order_value_inr").isNull()))
-        .withColumn("order_value_inr", F.coalesce("order_value_inr", "median", overall))
+        known.join(by_group, group, "left")
+        .withColumn("value_imputed", flag(F.col(value).isNull()))
+        .withColumn(value, F.coalesce(value, "median", overall.scalar()))
         .select(*orders.columns, "cuisine_type", "value_imputed")
     )
 
@@ -129,18 +141,15 @@ def flag_late_rows(
     blocks of ``block`` numbers, and a second running maximum over one row per block
     carries the state from block to block.
     """
-    arrivals = (
-        orders.groupBy(seq)
-        .agg(F.max(ts).alias("_ts"))
-        .withColumn("_block", F.expr(f"{seq} div {block}"))
-    )
+    block_of = F.expr(f"{seq} div {block}")
     before = (Window.unboundedPreceding, -1)
+    arrivals = orders.groupBy(seq).agg(F.max(ts).alias("_ts")).withColumn("_block", block_of)
     in_block = Window.partitionBy("_block").orderBy(seq).rowsBetween(*before)
     # One row per block: rows / 2**20, about 200 thousand for 200 billion orders.
     over_blocks = Window.orderBy("_block").rowsBetween(*before)
     carried = (
-        arrivals.groupBy("_block")
-        .agg(F.max("_ts").alias("_block_ts"))
+        orders.groupBy(block_of.alias("_block"))
+        .agg(F.max(ts).alias("_block_ts"))
         .select("_block", F.max("_block_ts").over(over_blocks).alias("_carried"))
     )
     high_water = (
@@ -215,7 +224,3 @@ def split_by_schema(text: DataFrame) -> tuple[DataFrame, DataFrame]:
     typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in ORDERS.fields]
     extra = [c for c in text.columns if c not in ORDERS.names]
     return good.select(*typed, *extra), judged.filter(F.col("reason") != "")
-
-
-def union_all(*dfs: DataFrame) -> DataFrame:
-    return reduce(DataFrame.unionByName, dfs)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cleaning, gold
-from ..session import ensure_shuffle_partitions, prepare, shared_dir
+from ..session import prepare, shared_dir, size_for
 from ..sources import catalog
 from ..sources.sample import SampleData
 
@@ -54,7 +54,7 @@ class Layers:
         self._paths: dict[str, str] = {}
         self._kept: dict[str, object] = {}
         self._lock = threading.RLock()
-        ensure_shuffle_partitions(self.spark, raw.orders)
+        size_for(self.spark, raw.orders)
 
     # -- how a table is made from the layer below ---------------------------------
 
@@ -161,6 +161,10 @@ class Layers:
                 self._written[name] = self.write(name, make())
             return self._written[name]
 
+    def store(self, name: str, df: DataFrame) -> DataFrame:
+        """``remember`` for an operator's intermediate result."""
+        return self.remember(name, lambda: df)
+
 
 _layers: dict[str, Layers] = {}
 _layers_lock = threading.Lock()

@@ -24,7 +24,7 @@ from ..operators import (
     questions,
     scalars,
 )
-from ..session import plan_bytes, BYTES_PER_SHUFFLE_PARTITION
+from ..session import BYTES_PER_SHUFFLE_PARTITION, plan_bytes
 from ..sources.catalog import layer_counts
 from ..sources.files import file_manifest
 from ..streaming import orders as streams
@@ -189,7 +189,9 @@ LAYERS_AND_CLEANING: dict[str, Query] = {
     "dq_audit": lambda t: quality.audit(t.plan("orders_raw")),
     "null_zone_remaining": lambda t: quality.remaining_null_zones(t.table("orders_clean")),
     "impute_order_value_median": lambda t: _keys(
-        quality.impute_order_value(t.table("orders_clean"), t.table("restaurants_clean")),
+        quality.impute_order_value(
+            t.table("orders_clean"), t.table("restaurants_clean"), keep=t.store
+        ),
         "zone",
         "cuisine_type",
         "order_value_inr",
@@ -313,7 +315,7 @@ def _dashboards(demand: str, ratio: str) -> dict[str, Query]:
 
 
 DASHBOARDS: dict[str, Query] = {
-    "q_kpi_cards": lambda t: dashboards.kpi_cards(t.table("orders_clean")),
+    "q_kpi_cards": lambda t: dashboards.kpi_cards(t.table("orders_clean"), unique_ids=True),
     **_dashboards("zone_demand_hourly", "demand_supply_ratio"),
     **{
         f"{name}_literal": query
@@ -349,7 +351,9 @@ FORECASTS: dict[str, Query] = {
     "spike_zone_hours": lambda t: forecast.spike_hours(t.table("zone_demand_hourly"))
     .filter(F.col("is_spike") == 1)
     .select("zone", "order_date", "order_hour", "total_orders", "zone_avg_orders"),
-    "next_interval_target": lambda t: forecast.next_interval_target(t.table("orders_clean")),
+    "next_interval_target": lambda t: forecast.next_interval_target(
+        t.remember("interval_orders", lambda: forecast.interval_orders(t.table("orders_clean")))
+    ),
     "rank_zones": lambda t: questions.rank_zones(t.table("zone_demand_hourly")),
     "wma_forecast": lambda t: forecast.weighted_average_forecast(t.table("zone_demand_hourly")),
     "ml_features": lambda t: ml.features(

@@ -17,8 +17,13 @@ RUNTIME = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
-BYTES_PER_SHUFFLE_PARTITION = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
+MB = 1024 * 1024
+BYTES_PER_SHUFFLE_PARTITION = 128 * MB
+# Beyond these widths the bookkeeping of tasks and shuffle blocks costs more than
+# larger partitions do; those spill to disk.
+MAX_SHUFFLE_PARTITIONS = 50_000
+MAX_SCAN_TASKS = 200_000
+MAX_SCAN_BYTES = 1024 * MB
 
 _local_dirs: dict[str, str] = {}
 
@@ -38,10 +43,21 @@ def plan_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def ensure_shuffle_partitions(spark: SparkSession, fact: DataFrame) -> None:
-    """Raise, never lower, the shuffle width so that a partition of ``fact`` fits memory.
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark would broadcast ``df``: its estimated size is below the threshold."""
+    try:
+        conf = df.sparkSession._jsparkSession.sessionState().conf()
+        limit = int(conf.autoBroadcastJoinThreshold())
+    except Exception:  # not available on every client
+        return False
+    size = plan_bytes(df)
+    return size is not None and size <= limit
+
+
+def size_for(spark: SparkSession, fact: DataFrame) -> None:
+    """Widen shuffles and, for very large inputs, scan splits to suit ``fact``.
 
-    Adaptive execution merges what turns out too small.
+    Settings are only raised.  Adaptive execution merges partitions that turn out small.
     """
     size = plan_bytes(fact)
     if size is None:
@@ -49,6 +65,9 @@ def ensure_shuffle_partitions(spark: SparkSession, fact: DataFrame) -> None:
     want = min(MAX_SHUFFLE_PARTITIONS, size // BYTES_PER_SHUFFLE_PARTITION + 1)
     if want > int(spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set("spark.sql.shuffle.partitions", str(want))
+    split = min(MAX_SCAN_BYTES, size // MAX_SCAN_TASKS)
+    if split > 128 * MB:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
 
 
 def shared_dir(spark: SparkSession) -> str | None:
