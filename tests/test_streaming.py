@@ -19,8 +19,8 @@ def feed(spark, tmp_path):
     def land(n, *rows):
         b.orders(spark, *rows).coalesce(1).write.mode("append").parquet(str(folder / f"part={n}"))
 
-    def source():
-        df = streams.read_orders(spark, f"{folder}/*", ORDERS, files_per_batch=1)
+    def source(delay="1 hour"):
+        df = streams.read_orders(spark, f"{folder}/*", ORDERS, delay, files_per_batch=1)
         return df.select(*ORDERS.names)
 
     return land, source
@@ -39,7 +39,7 @@ def test_late_rows_are_dropped_and_counted(spark, feed, tmp_path):
     master = b.restaurants(spark, {})
     out = str(tmp_path / "out")
     with streams.state_partitions(spark, 2):
-        query = streams.run_to_files(streams.hourly_demand(source(), master, "1 hour"), out, str(tmp_path / "cp"))
+        query = streams.run_to_files(streams.hourly_demand(source(), master), out, str(tmp_path / "cp"))
     got = {r.window_start: r.total_orders for r in spark.read.parquet(out).collect()}
     assert got == {START: 2}
     assert streams.late_rows_dropped(query) == 1
@@ -51,9 +51,9 @@ def test_restart_continues_from_the_checkpoint(spark, feed, tmp_path):
     out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
     land(0, at(0, 1), at(70, 2))
     with streams.state_partitions(spark, 2):
-        streams.run_to_files(streams.hourly_demand(source(), master, "30 minutes"), out, cp)
+        streams.run_to_files(streams.hourly_demand(source("30 minutes"), master), out, cp)
         land(1, at(80, 3), at(400, 4))
-        streams.run_to_files(streams.hourly_demand(source(), master, "30 minutes"), out, cp)
+        streams.run_to_files(streams.hourly_demand(source("30 minutes"), master), out, cp)
     got = {r.window_start: r.total_orders for r in spark.read.parquet(out).collect()}
     assert got == {START: 1, START + timedelta(hours=1): 2}
 
@@ -76,7 +76,7 @@ def test_dedup_feeds_windows_and_equals_batch(spark, feed, tmp_path):
     master = b.restaurants(spark, {})
     out = str(tmp_path / "out")
     with streams.state_partitions(spark, 2):
-        result = streams.hourly_demand(streams.dedup(source(), "1 hour"), master, "1 hour")
+        result = streams.hourly_demand(streams.dedup(source()), master)
         streams.run_to_files(result, out, str(tmp_path / "cp"))
     got = {r.window_start: (r.total_orders, r.total_cancellations) for r in spark.read.parquet(out).collect()}
     want = {}
@@ -93,7 +93,7 @@ def test_sliding_velocity(spark, feed, tmp_path):
     land(0, at(5, 1), at(25, 2), at(900, 3))
     out = str(tmp_path / "out")
     with streams.state_partitions(spark, 2):
-        streams.run_to_files(streams.velocity(source(), b.restaurants(spark, {}), "1 hour"), out, str(tmp_path / "cp"))
+        streams.run_to_files(streams.velocity(source(), b.restaurants(spark, {})), out, str(tmp_path / "cp"))
     got = {(r.window_start - START).total_seconds() / 60: r.total_orders for r in spark.read.parquet(out).collect()}
     assert got == {-50: 1, -40: 1, -30: 2, -20: 2, -10: 2, 0: 2, 10: 1, 20: 1}
 
@@ -108,7 +108,7 @@ def test_zone_status_batches(spark, feed, tmp_path):
     out = str(tmp_path / "out")
     with streams.state_partitions(spark, 2):
         streams.run_batches(
-            streams.hourly_demand(source(), master, "1 hour"),
+            streams.hourly_demand(source(), master),
             lambda batch: streams.zone_status(batch, supply),
             out,
             str(tmp_path / "cp"),

@@ -24,36 +24,36 @@ DELAY = "4 hours"
 
 
 def read_orders(
-    spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    delay: str = DELAY,
+    files_per_batch: int | None = None,
 ) -> DataFrame:
-    """File stream of orders.  Event time must be ``timestamp``, not ``timestamp_ntz``."""
+    """File stream of orders with a watermark on the order time.
+
+    Rows later than ``delay`` behind the newest event are dropped by the operators
+    downstream.  A stream has one watermark, so it is set here and nowhere else.  The
+    order time must be ``timestamp``, not ``timestamp_ntz``.
+    """
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
-
+    return reader.parquet(path).withWatermark(EVENT_TIME, delay)
 
-def with_watermark(orders: DataFrame, delay: str = DELAY) -> DataFrame:
-    """Rows later than ``delay`` behind the newest event are dropped."""
-    return orders.withWatermark(EVENT_TIME, delay)
 
-
-def dedup(orders: DataFrame, delay: str = DELAY) -> DataFrame:
+def dedup(orders: DataFrame) -> DataFrame:
     """First arrival of every order id.  Copies must arrive within the delay."""
     known = orders.filter(F.col("order_id").isNotNull())
-    return with_watermark(known, delay).dropDuplicatesWithinWatermark(["order_id"])
+    return known.dropDuplicatesWithinWatermark(["order_id"])
 
 
-def _windowed(orders: DataFrame, delay: str, *window: str) -> DataFrame:
+def _windowed(orders: DataFrame, *window: str) -> DataFrame:
     w = F.window(EVENT_TIME, *window)
-    counted = (
-        with_watermark(orders, delay)
-        .groupBy(w.alias("w"), "zone")
-        .agg(
-            F.count("order_id").alias("total_orders"),
-            F.sum(flag(F.col("status") == "cancelled")).alias("total_cancellations"),
-            unscale(scaled_sum("order_value_inr")).alias("order_value"),
-        )
+    counted = orders.groupBy(w.alias("w"), "zone").agg(
+        F.count("order_id").alias("total_orders"),
+        F.sum(flag(F.col("status") == "cancelled")).alias("total_cancellations"),
+        unscale(scaled_sum("order_value_inr")).alias("order_value"),
     )
     return counted.select(
         "zone",
@@ -65,18 +65,17 @@ def _windowed(orders: DataFrame, delay: str, *window: str) -> DataFrame:
     )
 
 
-def hourly_demand(orders: DataFrame, restaurants: DataFrame, delay: str = DELAY) -> DataFrame:
+def hourly_demand(orders: DataFrame, restaurants: DataFrame) -> DataFrame:
     """Arrived rows per zone and hour; missing zones come from the static master.
 
     Put ``dedup`` in front where copies must not count.
     """
-    return _windowed(backfill_zone(orders, restaurants), delay, "1 hour")
+    return _windowed(backfill_zone(orders, restaurants), "1 hour")
 
 
-def velocity(orders: DataFrame, restaurants: DataFrame, delay: str = DELAY) -> DataFrame:
+def velocity(orders: DataFrame, restaurants: DataFrame) -> DataFrame:
     """Orders of the last 60 minutes, every 10 minutes, per zone."""
-    zoned = backfill_zone(orders, restaurants)
-    return _windowed(zoned, delay, "60 minutes", "10 minutes").select(
+    return _windowed(backfill_zone(orders, restaurants), "60 minutes", "10 minutes").select(
         "zone", "window_start", "window_end", "total_orders"
     )
 
