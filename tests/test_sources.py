@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from zonetide.plans import layers as build
 from zonetide.sources import catalog, files
-from zonetide.sources.schemas import ORDERS
+from zonetide.sources.schemas import ORDERS, RAW
 
 CSV = """order_id,customer_id,restaurant_id,partner_id,zone,order_timestamp,delivery_timestamp,order_value_inr,discount_inr,payment_mode,status,cancel_reason,estimated_eta_mins,actual_delivery_mins,surge_multiplier,rain_at_order_time,event_active
 O1,C1,R1,,"",2024-01-01 10:00:00,,12.5,0,UPI,delivered,,30,28,1.2,0,1
@@ -81,6 +81,27 @@ def test_catalog_build_writes_all_layers_with_comments(spark, layers):
     assert any(r.col_name == "Comment" and "zone" in r.data_type for r in detail)
 
 
+def test_layers_from_landing_files_equal_those_from_tables(spark, layers, tmp_path):
+    for table in ("orders", "restaurants", "delivery_partners", "weather_hourly", "local_events"):
+        df = getattr(layers.raw, table)
+        df.select(*[f.name for f in RAW[table].fields]).write.option("header", True).csv(
+            str(tmp_path / f"{table}.csv")
+        )
+    own = build.Layers(spark, files.LandingFiles(spark, str(tmp_path)))
+    for name in ("zone_demand_hourly", "demand_supply_ratio", "customer_360", "restaurant_performance"):
+        got, want = own.table(name), layers.table(name)
+        assert got.columns == want.columns
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_published_predictions(spark):
+    catalog.create_schema(spark, "p_gold")
+    df = spark.createDataFrame([("Z", 3)], "zone string, predicted_orders bigint")
+    assert build.publish_predictions(df, prefix="p_") == 1
+    detail = spark.sql("DESCRIBE TABLE EXTENDED p_gold.demand_predictions").collect()
+    assert any(r.col_name == "Comment" and "forecast" in r.data_type for r in detail)
+
+
 def test_without_shared_folder_tables_stay_lazy(spark, layers, monkeypatch):
     own = build.Layers(spark, layers.raw)
     monkeypatch.setattr(build, "shared_dir", lambda s: None)
@@ -90,7 +111,5 @@ def test_without_shared_folder_tables_stay_lazy(spark, layers, monkeypatch):
 
 @pytest.mark.parametrize("name", ["restaurants", "delivery_partners", "weather_hourly", "local_events", "orders"])
 def test_sample_schemas(layers, name):
-    from zonetide.sources.schemas import RAW
-
     got = {f.name: f.dataType for f in getattr(layers.raw, name).schema.fields}
     assert {f.name: f.dataType for f in RAW[name].fields}.items() <= got.items()

@@ -44,10 +44,19 @@ def avg_rounded(orders: DataFrame) -> DataFrame:
 
 
 def minmax_types(orders: DataFrame) -> DataFrame:
-    """Extremes of a number, a date and a string; strings compare byte by byte."""
-    cols = {"value": "order_value_inr", "date": "order_date", "status": "status"}
-    return orders.groupBy("zone").agg(
-        *[f(c).alias(f"{p}_{n}") for n, c in cols.items() for p, f in (("min", F.min), ("max", F.max))]
+    """Extremes of a number, a date and a string; strings compare byte by byte.
+
+    Spark sorts its input to aggregate strings, so the string is a group key first: the
+    orders are hash-aggregated and only one row per zone and status is sorted.
+    """
+    ends = {"min": F.min, "max": F.max}
+    fixed = {"value": "order_value_inr", "date": "order_date"}
+    per_status = orders.groupBy("zone", "status").agg(
+        *[f(c).alias(f"{e}_{n}") for n, c in fixed.items() for e, f in ends.items()]
+    )
+    return per_status.groupBy("zone").agg(
+        *[f(f"{e}_{n}").alias(f"{e}_{n}") for n in fixed for e, f in ends.items()],
+        *[f("status").alias(f"{e}_status") for e, f in ends.items()],
     )
 
 

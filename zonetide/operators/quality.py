@@ -118,7 +118,7 @@ def impute_order_value(
     named = counts.filter(F.col("zone").isNotNull() & F.col("cuisine_type").isNotNull())
     by_group = keep("order_value_medians", exact_medians(named, group, value))
     total = counts.groupBy(F.lit(0).alias("_all"), value).agg(F.sum("n").alias("n"))
-    overall = keep("order_value_median", exact_medians(total, ["_all"], value).select("median"))
+    overall = exact_medians(total, ["_all"], value).select("median")
     return (
         known.join(by_group, group, "left")
         .withColumn("value_imputed", flag(F.col(value).isNull()))

@@ -13,7 +13,6 @@ import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import cleaning, gold
 from ..session import prepare, shared_dir, size_for
@@ -41,7 +40,7 @@ GOLD = (
     "customer_360",
     "restaurant_performance",
 )
-# Facts that grow with the orders are laid out by date, so date filters prune files.
+# Kept facts that grow with the orders are laid out by date, so date filters prune files.
 PARTITIONED = {"orders_clean": "order_date"}
 
 
@@ -59,25 +58,37 @@ class Layers:
     # -- how a table is made from the layer below ---------------------------------
 
     def plan(self, name: str) -> DataFrame:
-        """Lazy plan of a table over the written tables of the layer below."""
+        """Lazy plan of a table over the written tables of the layer below.
+
+        Silver tables start from the written bronze table where there is one, and from
+        the raw input otherwise: a copy of all orders is not made only to be read once.
+        """
         if name in BRONZE:
             return getattr(self.raw, BRONZE[name])
         return getattr(self, f"_{name}")()
 
+    def _bronze(self, name: str) -> DataFrame:
+        return self._written[name] if name in self._written else self.plan(name)
+
+    def replace(self, name: str, df: DataFrame) -> None:
+        """Use ``df`` for a table from now on."""
+        with self._lock:
+            self._written[name] = df
+
     def _orders_clean(self):
-        return cleaning.clean_orders(self.plan("orders_raw"), self.plan("restaurants_raw"))
+        return cleaning.clean_orders(self._bronze("orders_raw"), self._bronze("restaurants_raw"))
 
     def _restaurants_clean(self):
-        return cleaning.clean_restaurants(self.plan("restaurants_raw"))
+        return cleaning.clean_restaurants(self._bronze("restaurants_raw"))
 
     def _delivery_partners_clean(self):
-        return cleaning.clean_partners(self.plan("delivery_partners_raw"))
+        return cleaning.clean_partners(self._bronze("delivery_partners_raw"))
 
     def _weather_clean(self):
-        return cleaning.clean_weather(self.plan("weather_hourly_raw"))
+        return cleaning.clean_weather(self._bronze("weather_hourly_raw"))
 
     def _local_events_clean(self):
-        return cleaning.clean_local_events(self.plan("local_events_raw"))
+        return cleaning.clean_local_events(self._bronze("local_events_raw"))
 
     def _demand(self, fan_out: bool):
         return gold.zone_demand_hourly(
@@ -131,14 +142,13 @@ class Layers:
             return self._written[name]
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
+        """Write as it is partitioned: adaptive execution has already evened the last
+        shuffle out, and another one for a date layout would pay only for tables that
+        are kept (see ``build_catalog``)."""
         path = self.folder(name)
         if path is None:
             return df
-        by = PARTITIONED.get(name)
-        if by:
-            df.hint("rebalance", F.col(by)).write.partitionBy(by).parquet(path)
-        else:
-            df.hint("rebalance").write.parquet(path)
+        df.write.parquet(path)
         self._paths[name] = path
         return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
@@ -185,17 +195,26 @@ def sample_layers(spark: SparkSession, sf_dir: str) -> Layers:
 def build_catalog(layers: Layers, prefix: str = "", fmt: str = "parquet") -> dict[str, int]:
     """Write all layers as managed tables in schemas bronze, silver and gold.
 
-    Returns the row count of every table, observed while writing.
+    Every table is read back by the tables above it, so nothing is computed twice.
+    Returns the row counts, observed while writing.
     """
     spark = layers.spark
     counts: dict[str, int] = {}
     for schema, names in (("bronze", tuple(BRONZE)), ("silver", SILVER), ("gold", GOLD)):
         catalog.create_schema(spark, f"{prefix}{schema}")
         for name in names:
-            target = f"{prefix}{schema}.{name}"
+            target, df = f"{prefix}{schema}.{name}", layers.plan(name)
             counts[target] = catalog.overwrite_table(
-                layers.plan(name), target, fmt=fmt, partition_by=PARTITIONED.get(name)
+                df, target, fmt=fmt, partition_by=PARTITIONED.get(name)
             )
-            layers._written[name] = spark.table(target).select(*layers.plan(name).columns)
+            layers.replace(name, spark.table(target).select(*df.columns))
     catalog.comment_gold(spark, f"{prefix}gold")
     return counts
+
+
+def publish_predictions(predictions: DataFrame, prefix: str = "", fmt: str = "parquet") -> int:
+    """Write the forecast next to the other gold tables and return its row count."""
+    spark = predictions.sparkSession
+    rows = catalog.overwrite_table(predictions, f"{prefix}gold.demand_predictions", fmt=fmt)
+    catalog.comment_gold(spark, f"{prefix}gold")
+    return rows

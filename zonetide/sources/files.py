@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -39,3 +41,39 @@ def file_manifest(spark: SparkSession, folder: str, glob: str = "*") -> DataFram
         F.col("length").alias("size_bytes"),
         F.round(F.col("length") / F.lit(1024.0 * 1024.0), 1).alias("size_mb"),
     )
+
+
+class LandingFiles:
+    """The five raw inputs as ``<table>.csv`` files or folders under one landing folder."""
+
+    def __init__(self, spark: SparkSession, folder: str, infer: bool = False):
+        self.spark = spark
+        self.folder = folder.rstrip("/")
+        self.infer = infer
+
+    def read(self, table: str, infer: bool = False) -> DataFrame:
+        return read_raw(self.spark, f"{self.folder}/{table}.csv", table, infer)
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return self.read("orders")
+
+    @cached_property
+    def orders_text(self) -> DataFrame:
+        return read_raw_text(self.spark, f"{self.folder}/orders.csv", "orders")
+
+    @cached_property
+    def restaurants(self) -> DataFrame:
+        return self.read("restaurants", self.infer)
+
+    @cached_property
+    def delivery_partners(self) -> DataFrame:
+        return self.read("delivery_partners", self.infer)
+
+    @cached_property
+    def weather_hourly(self) -> DataFrame:
+        return self.read("weather_hourly", self.infer)
+
+    @cached_property
+    def local_events(self) -> DataFrame:
+        return self.read("local_events", self.infer)
