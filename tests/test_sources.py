@@ -53,6 +53,19 @@ def test_overwrite_returns_the_row_count(spark):
     assert catalog.scalar(catalog.read_table(spark, "bronze_t.numbers").agg(F.count("*"))) == 3
 
 
+def test_create_or_replace_without_catalog_support(spark):
+    catalog.create_schema(spark, "bronze_t")
+    for n in (4, 2):
+        catalog.create_or_replace(spark.range(n), "bronze_t.replaced")
+        assert spark.table("bronze_t.replaced").count() == n
+
+
+def test_fan_out_layers(spark, layers):
+    own = build.Layers(spark, layers.raw, fan_out=True)
+    got, want = own.table("demand_supply_ratio"), layers.table("demand_supply_ratio_literal")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
 def test_current_schema(spark):
     before = spark.catalog.currentDatabase()
     catalog.create_schema(spark, "elsewhere")

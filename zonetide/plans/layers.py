@@ -45,10 +45,15 @@ PARTITIONED = {"orders_clean": "order_date"}
 
 
 class Layers:
-    def __init__(self, spark: SparkSession, raw):
-        """``raw`` has one DataFrame attribute per raw input."""
+    def __init__(self, spark: SparkSession, raw, *, fan_out: bool = False):
+        """``raw`` has one DataFrame attribute per raw input.
+
+        ``fan_out`` makes the demand table, and all tables above it, count an order once
+        per event of its zone and day (see ``gold.zone_demand_hourly``).
+        """
         self.spark = prepare(spark)
         self.raw = raw
+        self.fan_out = fan_out
         self._written: dict[str, DataFrame] = {}
         self._paths: dict[str, str] = {}
         self._kept: dict[str, object] = {}
@@ -99,7 +104,7 @@ class Layers:
         )
 
     def _zone_demand_hourly(self):
-        return self._demand(fan_out=False)
+        return self._demand(self.fan_out)
 
     def _zone_demand_hourly_literal(self):
         return self._demand(fan_out=True)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,8 +67,11 @@ def overwrite_table(
 
 
 def create_or_replace(df: DataFrame, name: str) -> None:
-    """Atomic replace, for catalogs that support it."""
-    df.writeTo(name).createOrReplace()
+    """Replace a table in one step where the catalog can, otherwise overwrite it."""
+    try:
+        df.writeTo(name).createOrReplace()
+    except AnalysisException:
+        overwrite_table(df, name)
 
 
 def scalar(df: DataFrame):
