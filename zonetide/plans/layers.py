@@ -201,7 +201,7 @@ def build_catalog(layers: Layers, prefix: str = "", fmt: str = "parquet") -> dic
     """Write all layers as managed tables in schemas bronze, silver and gold.
 
     Every table is read back by the tables above it, so nothing is computed twice.
-    Returns the row counts, observed while writing.
+    Returns the row counts.
     """
     spark = layers.spark
     counts: dict[str, int] = {}

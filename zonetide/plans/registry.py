@@ -24,7 +24,7 @@ from ..operators import (
     questions,
     scalars,
 )
-from ..session import BYTES_PER_SHUFFLE_PARTITION, plan_bytes
+from ..session import BYTES_PER_SHUFFLE_PARTITION, MAX_SHUFFLE_PARTITIONS, plan_bytes
 from ..sources.catalog import layer_counts
 from ..sources.files import file_manifest
 from ..streaming import orders as streams
@@ -112,14 +112,22 @@ def _wma(t: Layers) -> DataFrame:
 
 
 def _stream(t: Layers, name: str, make, transform=None) -> DataFrame:
-    """Run a stream over the written bronze orders and read its output files."""
+    """Run a stream over the written bronze orders and read its output files.
+
+    Bronze files are written in parallel, so their order says nothing about arrival; all
+    of them form one batch.  A landing folder in arrival order can be read in small
+    batches with ``files_per_batch``.
+    """
     out, checkpoint = t.folder(name), t.folder(f"{name}-checkpoint")
     if out is None:
         raise RuntimeError("streams need a shared folder: set spark.checkpoint.dir")
     bronze = t.table("orders_raw")
     spark = t.spark
     size = plan_bytes(bronze) or 0
-    width = max(spark.sparkContext.defaultParallelism, size // BYTES_PER_SHUFFLE_PARTITION)
+    width = min(
+        MAX_SHUFFLE_PARTITIONS,
+        max(spark.sparkContext.defaultParallelism, size // BYTES_PER_SHUFFLE_PARTITION),
+    )
     source = streams.read_orders(spark, t.path("orders_raw"), bronze.schema)
     result = make(source)
     with streams.state_partitions(spark, width):
