@@ -201,10 +201,12 @@ def test_late_rows_do_not_depend_on_the_block_size(spark, block):
     times = [5, 1, 7, 6, 7, 8, 2, 9, 9, 3]
     rows = [(f"o{i}", i, ts(f"2024-01-01 00:0{t}:00")) for i, t in enumerate(times)]
     rows.append(("copy", 2, ts("2024-01-01 00:00:00")))
+    rows.append(("no number", None, ts("2024-01-01 00:00:00")))
     df = spark.createDataFrame(rows, "order_id string, arrival_seq bigint, order_timestamp timestamp")
     got = {r.order_id: r.is_late for r in quality.flag_late_rows(df, block=block).collect()}
     want = {
-        name: int(any(t < seen for _, s, seen in rows if s < seq)) for name, seq, t in rows
+        name: int(seq is not None and any(t < seen for _, s, seen in rows if s is not None and s < seq))
+        for name, seq, t in rows
     }
     assert got == want
 

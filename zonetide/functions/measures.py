@@ -16,8 +16,8 @@ def col(c: str | Column) -> Column:
 
 
 def scaled(c: str | Column, digits: int = 2) -> Column:
-    """``c`` as a whole number of 10**-digits units."""
-    return F.rint(col(c) * float(10**digits)).cast("bigint")
+    """``c`` as a whole number of 10**-digits units; null where it is no finite number."""
+    return F.rint(col(c) * float(10**digits)).try_cast("bigint")
 
 
 def scaled_sum(c: str | Column, digits: int = 2) -> Column:
@@ -33,8 +33,8 @@ def exact_sum(c: str | Column, digits: int = 2) -> Column:
 
 
 def exact_avg(c: str | Column, digits: int = 2) -> Column:
-    """Average of the non-null values, null when there are none."""
-    return exact_sum(c, digits) / F.count(col(c))
+    """Average of the known values, null when there are none."""
+    return exact_sum(c, digits) / F.count(scaled(c, digits))
 
 
 def flag_count(condition: Column) -> Column:

@@ -139,7 +139,7 @@ def flag_late_rows(
     A running maximum over the whole load would need one task.  Instead copies of a
     sequence number collapse to their maximum, the running maximum is taken inside
     blocks of ``block`` numbers, and a second running maximum over one row per block
-    carries the state from block to block.
+    carries the state from block to block.  Rows without a number are never late.
     """
     block_of = F.expr(f"{seq} div {block}")
     before = (Window.unboundedPreceding, -1)
@@ -158,7 +158,7 @@ def flag_late_rows(
         .select(seq, F.greatest("_inside", "_carried").alias("_seen"))
     )
     return (
-        orders.join(high_water, seq)
+        orders.join(high_water, seq, "left")
         .withColumn("is_late", flag(F.col(ts) < F.col("_seen")))
         .select(*orders.columns, "is_late")
     )
