@@ -211,6 +211,11 @@ def test_late_rows_do_not_depend_on_the_block_size(spark, block):
     assert got == want
 
 
+def test_duplicate_master_keys(spark):
+    df = b.restaurants(spark, {}, {}, {"restaurant_id": "R2"})
+    assert [tuple(r) for r in quality.duplicate_keys(df, "restaurant_id").collect()] == [("R1", 2)]
+
+
 def test_orphans(spark):
     df = b.orders(
         spark,

@@ -107,6 +107,19 @@ def test_layers_from_landing_files_equal_those_from_tables(spark, layers, tmp_pa
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
+def test_catalog_build_with_quarantine(spark, layers):
+    own = build.Layers(spark, layers.raw)
+    counts = build.build_catalog(own, prefix="q_", quarantine=True)
+    bad = spark.table("q_bronze.orders_quarantine")
+    assert counts["q_bronze.orders_quarantine"] == bad.count() > 0
+    assert counts["q_bronze.orders_raw"] == 1005 - bad.count()
+    kept = spark.table("q_silver.orders_clean")
+    whole = bad.groupBy("order_id").count().filter("order_id is not null")
+    copies = layers.raw.orders.groupBy("order_id").count().withColumnRenamed("count", "n")
+    gone = whole.join(copies, "order_id").filter("count = n")
+    assert kept.join(gone, "order_id", "left_semi").count() == 0
+
+
 def test_published_predictions(spark):
     catalog.create_schema(spark, "p_gold")
     df = spark.createDataFrame([("Z", 3)], "zone string, predicted_orders bigint")

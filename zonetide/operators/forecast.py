@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from ..functions.calendar import hour_start
 from ..functions.measures import flag
@@ -65,7 +66,7 @@ def hourly_spine(demand: DataFrame) -> DataFrame:
     )
 
 
-def _by_hour() -> Window:
+def _by_hour() -> WindowSpec:
     return Window.partitionBy("zone").orderBy("hour_ts")
 
 

@@ -197,6 +197,12 @@ def orphans(orders: DataFrame, master: DataFrame, key: str) -> DataFrame:
     )
 
 
+def duplicate_keys(master: DataFrame, key: str) -> DataFrame:
+    """Keys that a master table lists more than once; empty when the key is unique."""
+    counted = master.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    return counted.filter(F.col("rows") > 1)
+
+
 def fk_orphans(orders: DataFrame, restaurants: DataFrame, partners: DataFrame) -> DataFrame:
     return orphans(orders, restaurants, "restaurant_id").unionByName(
         orphans(orders, partners, "partner_id")

@@ -14,7 +14,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import cleaning, gold
+from ..operators import cleaning, gold, quality
 from ..session import prepare, shared_dir, size_for
 from ..sources import catalog
 from ..sources.sample import SampleData
@@ -57,6 +57,7 @@ class Layers:
         self._written: dict[str, DataFrame] = {}
         self._paths: dict[str, str] = {}
         self._kept: dict[str, object] = {}
+        self._inputs: dict[str, DataFrame] = {}
         self._lock = threading.RLock()
         size_for(self.spark, raw.orders)
 
@@ -68,6 +69,8 @@ class Layers:
         Silver tables start from the written bronze table where there is one, and from
         the raw input otherwise: a copy of all orders is not made only to be read once.
         """
+        if name in self._inputs:
+            return self._inputs[name]
         if name in BRONZE:
             return getattr(self.raw, BRONZE[name])
         return getattr(self, f"_{name}")()
@@ -75,6 +78,10 @@ class Layers:
     def _bronze(self, name: str) -> DataFrame:
         return self._written[name] if name in self._written else self.plan(name)
 
+    def substitute(self, name: str, df: DataFrame) -> None:
+        """Use ``df`` as the input of a bronze table."""
+        self._inputs[name] = df
+
     def replace(self, name: str, df: DataFrame) -> None:
         """Use ``df`` for a table from now on."""
         with self._lock:
@@ -197,14 +204,24 @@ def sample_layers(spark: SparkSession, sf_dir: str) -> Layers:
         return _layers[key]
 
 
-def build_catalog(layers: Layers, prefix: str = "", fmt: str = "parquet") -> dict[str, int]:
+def build_catalog(
+    layers: Layers, prefix: str = "", fmt: str = "parquet", *, quarantine: bool = False
+) -> dict[str, int]:
     """Write all layers as managed tables in schemas bronze, silver and gold.
 
     Every table is read back by the tables above it, so nothing is computed twice.
-    Returns the row counts.
+    Unreadable cells of the orders become null.  With ``quarantine`` orders that break
+    the schema go to ``bronze.orders_quarantine`` with their reasons instead.  Returns
+    the row counts.
     """
     spark = layers.spark
     counts: dict[str, int] = {}
+    catalog.create_schema(spark, f"{prefix}bronze")
+    if quarantine:
+        good, aside = quality.split_by_schema(layers.raw.orders_text)
+        target = f"{prefix}bronze.orders_quarantine"
+        counts[target] = catalog.overwrite_table(aside, target, fmt=fmt)
+        layers.substitute("orders_raw", good)
     for schema, names in (("bronze", tuple(BRONZE)), ("silver", SILVER), ("gold", GOLD)):
         catalog.create_schema(spark, f"{prefix}{schema}")
         for name in names:
