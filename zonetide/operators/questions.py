@@ -17,13 +17,10 @@ MATCH_DAYS = (5, 12, 18, 25)
 
 
 def latest_hour(df: DataFrame) -> DataFrame:
-    """Rows of the last date and hour."""
-    moment = F.struct("order_date", "order_hour")
-    known = df.filter(F.col("order_date").isNotNull())
-    last = known.agg(F.max(moment).alias("m"))
-    day = last.select("m.order_date").scalar()
-    hour = last.select("m.order_hour").scalar()
-    return known.filter((F.col("order_date") == day) & (F.col("order_hour") == hour))
+    """Rows of the last date and hour.  Only the last date's partition is read for it."""
+    day = df.agg(F.max("order_date")).scalar()
+    last_day = df.filter(F.col("order_date") == day)
+    return last_day.filter(F.col("order_hour") == last_day.agg(F.max("order_hour")).scalar())
 
 
 def top_demand_now(demand: DataFrame, top: int = 10) -> DataFrame:

@@ -91,7 +91,6 @@ def casts(orders: DataFrame) -> DataFrame:
         F.col("estimated_eta_mins").cast("string").alias("eta_text"),
         F.col("estimated_eta_mins").cast("double").alias("eta_double"),
         F.substring("order_id", 5, 20).try_cast("bigint").alias("order_number"),
-        F.col("status").try_cast("int").alias("status_number"),
         F.col("order_date").cast("string").alias("date_text"),
     )
 

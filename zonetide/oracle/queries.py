@@ -271,8 +271,7 @@ SELECT order_id, zone || '@' || order_hour AS zone_hour, '₹' || format('{:,}',
        payment_mode FROM orders_clean""",
     "fn_cast": """
 SELECT order_id, CAST(estimated_eta_mins AS VARCHAR) AS eta_text, CAST(estimated_eta_mins AS DOUBLE) AS eta_double,
-       TRY_CAST(substr(order_id, 5) AS BIGINT) AS order_number, TRY_CAST(status AS INTEGER) AS status_number,
-       CAST(order_date AS VARCHAR) AS date_text FROM orders_clean""",
+       TRY_CAST(substr(order_id, 5) AS BIGINT) AS order_number, CAST(order_date AS VARCHAR) AS date_text FROM orders_clean""",
     "fn_arith": """
 SELECT order_id, CAST(estimated_eta_mins AS DOUBLE) / 7 AS eta_over_7, -estimated_eta_mins AS minus_eta,
        order_value_inr * 2 - discount_inr AS double_net, estimated_eta_mins + actual_delivery_mins AS eta_sum

@@ -40,8 +40,12 @@ GOLD = (
     "customer_360",
     "restaurant_performance",
 )
-# Kept facts that grow with the orders are laid out by date, so date filters prune files.
-PARTITIONED = {"orders_clean": "order_date"}
+# Kept facts are laid out by date, so that date filters, and the latest hour, prune files.
+PARTITIONED = {
+    "orders_clean": "order_date",
+    "zone_demand_hourly": "order_date",
+    "demand_supply_ratio": "order_date",
+}
 
 
 class Layers:
