@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, mixing, oracle, topk, urls
+from . import chat, decontaminate, mixing, neardup, oracle, topk, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op3_decontaminate": decontaminate.op3_decontaminate,
     "op4_chat_format": chat.op4_chat_format,
+    "op5_near_duplicates": neardup.op5_near_duplicates,
     "op7_url_filter": urls.op7_url_filter,
     "op10_exact_topk": topk.op10_exact_topk,
 }
@@ -20,5 +21,6 @@ ORACLES: dict[str, str] = {
     "op1_mix_sources": oracle.OP1,
     "op3_decontaminate": oracle.OP3,
     "op4_chat_format": oracle.OP4,
+    "op5_near_duplicates": oracle.OP5,
     "op10_exact_topk": oracle.OP10,
 }
