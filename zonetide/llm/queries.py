@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, mixing, neardup, oracle, topk, urls
+from . import chat, decontaminate, mixing, neardup, oracle, quality, topk, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -14,6 +14,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_chat_format": chat.op4_chat_format,
     "op5_near_duplicates": neardup.op5_near_duplicates,
     "op7_url_filter": urls.op7_url_filter,
+    "op8_toxicity": toxicity.op8_toxicity,
+    "op9_quality": quality.op9_quality,
     "op10_exact_topk": topk.op10_exact_topk,
 }
 
