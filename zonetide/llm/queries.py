@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, mixing, neardup, oracle, quality, topk, toxicity, urls
+from . import chat, decontaminate, lm, mixing, neardup, oracle, quality, topk, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op3_decontaminate": decontaminate.op3_decontaminate,
     "op4_chat_format": chat.op4_chat_format,
     "op5_near_duplicates": neardup.op5_near_duplicates,
+    "op6_lm_score": lm.op6_lm_score,
     "op7_url_filter": urls.op7_url_filter,
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_quality": quality.op9_quality,
