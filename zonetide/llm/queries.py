@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, lm, mixing, neardup, oracle, quality, topk, toxicity, urls
+from . import chat, decontaminate, licenses, lm, mixing, neardup, oracle, quality, topk, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op2_license_scan": licenses.op2_license_scan,
     "op3_decontaminate": decontaminate.op3_decontaminate,
     "op4_chat_format": chat.op4_chat_format,
     "op5_near_duplicates": neardup.op5_near_duplicates,
