@@ -8,9 +8,9 @@
    counts on the packed signatures, corrected for chance collisions of the low bits.  Pairs
    that seem similar above ``LOOSE`` join a cluster.  By the triangle inequality of the
    Jaccard distance two linked nodes are either both near the leader or both far from it;
-   where a bucket has members that failed, the far ones are compared among themselves,
-   with a new leader, or at once if they are few.  So no linked pair that shares a bucket is
-   separated, and no group is ever expanded into all its pairs.
+   where a bucket has members that failed, the far ones are compared among themselves, in
+   pairs of small blocks that give a spanning forest each.  So no linked pair that shares a
+   bucket is separated, and no group is ever expanded into all its pairs.
 3. The clusters hold every link.  Their members' full sets are read once more from the
    texts, and clusters are worked on in pairs of small blocks, each giving a spanning
    forest of its confirmed links.  Connected components of those links are the answer.
@@ -45,8 +45,7 @@ LONGS = PERMUTATIONS // PER_LONG
 #: still counts as far from the leader; the gap covers the distance of two linked nodes
 #: (0.2) and over four standard errors of two estimates.
 LOOSE, FAR = 0.35, 0.85
-#: Leftover members of a bucket that are compared at once, in one task.
-FEW = 64
+#: Rows of a block; a task holds two.
 BLOCK = 64
 #: Columns of the dense matrix that a block pair is multiplied in.
 COLUMNS = 1 << 16
@@ -183,51 +182,53 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(columns[:, 0]), pa.array(columns[:, 1])], names=["a", "b"])
 
 
-def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spanning forests of what seems similar, for pairs of blocks of a bucket."""
     found = []
-    for _, rows in common.runs(batches, ("bucket",)):
-        ids = rows["id"].to_numpy()
+    for (_, left, right), rows in common.runs(batches, ("bucket", "left", "right")):
+        ids, block = rows["id"].to_numpy(), rows["block"].to_numpy()
         signatures = rows["signature"].combine_chunks().flatten().to_numpy().reshape(-1, LONGS).view(np.uint64)
-        found += [(ids[i], ids[j]) for i, j in forest(estimates(signatures) >= LOOSE)]
+        near = estimates(signatures) >= LOOSE
+        if left != right:
+            near &= block[:, None] != block[None, :]
+        found += [(ids[i], ids[j]) for i, j in forest(near)]
         if len(found) > 10_000:
             yield _pairs(found)
             found = []
     yield _pairs(found)
 
 
+def in_block_pairs(rows: DataFrame, group: str, carried: str) -> DataFrame:
+    """Rows (group, id, carried) dealt to every pair of blocks of their group: any two rows
+    of a group meet in one task, which holds two blocks, and tasks are sorted by pair."""
+    sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.select(group, F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    rows = rows.join(sizes, group).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    left, right = F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right")
+    key = (group, "left", "right")
+    return rows.select(group, left, right, "block", "id", carried).repartition(*key).sortWithinPartitions(*key)
+
+
 def clusters(nodes: DataFrame) -> DataFrame:
     """(id, component) of nodes (id, signature, buckets) that may be linked."""
     signatures = nodes.select("id", "signature")
     members = nodes.select("id", F.explode("buckets").alias("bucket"))
-    edges: DataFrame | None = None
-    while True:
-        led = members.groupBy("bucket").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("n"))
-        led = led.where("n > 1")
-        pairs = members.join(led, "bucket").where("id <> leader")
-        # each pair is compared once, however many buckets it shares
-        pairs = common.stored(pairs, "members")
-        once = pairs.select("id", "leader").distinct()
-        once = once.join(signatures, "id")
-        theirs = signatures.select(F.col("id").alias("leader"), F.col("signature").alias("theirs"))
-        once = once.join(theirs, "leader").select("id", "leader", estimate("signature", "theirs").alias("near"))
-        once = common.stored(once, "pairs")
-        new = once.where(F.col("near") >= LOOSE).select(F.col("id").alias("a"), F.col("leader").alias("b"))
-        edges = new if edges is None else edges.unionByName(new)
-        failed = once.where(F.col("near") < LOOSE).select("id", "leader")
-        if failed.isEmpty():
-            break
-        open_buckets = pairs.join(failed, ["id", "leader"], "left_semi").select("bucket").distinct()
-        far = once.where(F.col("near") < FAR).select("id", "leader")
-        rest = pairs.join(far, ["id", "leader"]).join(open_buckets, "bucket").select("id", "bucket")
-        sizes = rest.groupBy("bucket").agg(F.count(F.lit(1)).alias("left")).where("left > 1")
-        rest = common.stored(rest.join(sizes, "bucket"), "members")
-        few = rest.where(F.col("left") <= FEW).join(signatures, "id").select("bucket", "id", "signature")
-        few = few.repartition("bucket").sortWithinPartitions("bucket")
-        edges = edges.unionByName(common.stored(common.map_batches(few, _few, "a long, b long"), "edges"))
-        members = rest.where(F.col("left") > FEW).select("id", "bucket")
-        if members.isEmpty():
-            break
-    return common.components(edges)
+    led = members.groupBy("bucket").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    pairs = members.join(led, "bucket").where("id <> leader").select("bucket", "id", "leader")
+    pairs = common.stored(pairs, "members")
+    # each pair is compared once, however many buckets it shares
+    theirs = signatures.select(F.col("id").alias("leader"), F.col("signature").alias("theirs"))
+    once = pairs.select("id", "leader").distinct().join(signatures, "id").join(theirs, "leader")
+    once = common.stored(once.select("id", "leader", estimate("signature", "theirs").alias("near")), "pairs")
+    failed = once.where(F.col("near") < LOOSE).select("id", "leader")
+    open_buckets = pairs.join(failed, ["id", "leader"], "left_semi").select("bucket").distinct()
+    far = once.where(F.col("near") < FAR).select("id", "leader")
+    rest = pairs.join(far, ["id", "leader"]).join(open_buckets, "bucket").select("bucket", "id")
+    rest = common.stored(rest.join(signatures, "id").select("bucket", "id", "signature"), "rest")
+    among = common.map_batches(in_block_pairs(rest, "bucket", "signature"), _similar, "a long, b long")
+    near = once.where(F.col("near") >= LOOSE).select(F.col("id").alias("a"), F.col("leader").alias("b"))
+    return common.components(near.unionByName(among))
 
 
 def _sets(width: int):
@@ -294,15 +295,7 @@ def confirmed(docs: DataFrame, grouped: DataFrame, width: int, percent: int) ->
     texts = docs.select(F.col("doc_id").alias("id"), "text").join(grouped, "id")
     schema = "id long, component long, shingles binary"
     sets = common.stored(common.map_batches(texts.select("id", "component", "text"), _sets(width), schema), "sets")
-    sizes = grouped.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
-    sizes = sizes.select("component", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    rows = sets.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    rows = rows.select(
-        "component", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "block", "id", "shingles"
-    )
-    key = ("component", "left", "right")
-    rows = rows.repartition(*key).sortWithinPartitions(*key)
+    rows = in_block_pairs(sets, "component", "shingles")
     return common.stored(common.map_batches(rows, _confirm(percent), "a long, b long"), "links")
 
 
