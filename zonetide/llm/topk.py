@@ -7,9 +7,10 @@ Cauchy-Schwarz no point of a ball scores more than q.centre + |q| * radius, so c
 are only opened where that bound reaches the query's kth score so far; leaves are then
 visited in order of falling bound, and a query is finished when the next bound is lower.
 
-The kth score is shared between shards: a first round searches each query in its own home
-shard; the kth score found there is a lower limit of the final one and prunes all other
-shards in the second round.  Ties are kept (a node is only skipped when its bound is
+The kth score is shared between shards: the first round searches each query in its own
+home shard, the next ones in ``GROWTH`` times as many shards each.  The kth score found so
+far is a lower limit of the final one; it prunes the shards of a round, and what they hand
+on.  Ties are kept (a node is only skipped when its bound is
 below the kth score) and go to the smaller id.
 
 Scores are integers: components become floor(scale * x).  Sums of products below 2^53 are
@@ -34,7 +35,7 @@ from . import common
 
 SCALE = 64
 K = 20
-SHARD_ROWS, BLOCK_ROWS, LEAF_ROWS = 2048, 1024, 128
+SHARD_ROWS, BLOCK_ROWS, LEAF_ROWS, GROWTH = 2048, 1024, 128, 4
 HITS = "query_id long, vec_id long, score long"
 NONE = np.iinfo(np.int64).min
 
@@ -163,18 +164,25 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
         sorted_pairs = pairs.select(*fields).repartition("shard", "block").sortWithinPartitions("shard", "block")
         return common.map_batches(sorted_pairs, _search_pairs(k), HITS)
 
+    def best(hits: DataFrame) -> DataFrame:
+        ranked = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+        return common.stored(hits.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k), "best")
+
     home = rows.withColumns({"shard": F.col("home"), "block": F.lit(0), "searched": F.lit(True), "floor": nothing})
-    first = common.stored(run(home), "hits")
-    limits = first.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("floor"))
-    asked = rows.where("asked").join(limits.withColumnRenamed("query_id", "vec_id"), "vec_id", "left")
-    asked = asked.withColumns({"floor": F.coalesce("floor", nothing), "block": block, "searched": F.lit(False)})
-    asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where("shard <> home")
+    found = best(run(home))
     searched = rows.withColumns({"shard": F.col("home"), "asked": F.lit(False), "searched": F.lit(True), "floor": nothing})
     searched = searched.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    second = run(asked.select(*fields).unionByName(searched.select(*fields)))
-    ranked = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    hits = first.unionByName(second).withColumn("rank", F.row_number().over(ranked))
-    return hits.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    start = 1
+    while start < shards:
+        end = min(start * GROWTH, shards)
+        limits = found.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("floor"))
+        asked = rows.where("asked").join(limits, "vec_id", "left")
+        asked = asked.withColumns({"floor": F.coalesce("floor", nothing), "block": block, "searched": F.lit(False)})
+        asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(start), F.lit(end - 1))))
+        asked = asked.withColumn("shard", ((F.col("home") + F.col("shard")) % shards).cast("int"))
+        found = best(found.drop("rank").unionByName(run(asked.select(*fields).unionByName(searched.select(*fields)))))
+        start = end
+    return found.select("query_id", "rank", "vec_id", "score")
 
 
 def op10_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
