@@ -370,7 +370,7 @@ def learn(docs: DataFrame, classes: Classes, shared) -> Network:
         yield pa.record_batch([pa.array([_packed(network.w)], pa.binary()), pa.array([len(own)], pa.int64())], names=["weights", "n"])
 
     # place is a hash: its lowest values are a sample, of FIRST_RUNS runs or nearly so
-    sample = runs.where(F.col("place") <= int(min(1.0, FIRST_RUNS / max(total, 1)) * (2**63 - 1)))
+    sample = runs.where(F.col("place") <= (2**63 - 1) * FIRST_RUNS // max(total, FIRST_RUNS))
     network = Network(classes)
     weights = common.map_batches(sample.repartition(1), first, schema).first()["weights"]
     start = docs.sparkSession.sparkContext.broadcast(weights)

@@ -127,7 +127,8 @@ def take(sized: DataFrame, plan: DataFrame) -> DataFrame:
     """``sized`` with the source's figures and ``copies``, the times a document is taken."""
     rows = sized.alias("d").join(plan.alias("p"), F.expr("d.source <=> p.source"))
     last = F.struct(_at().alias("at"), F.col("d.size").alias("size")) <= F.col("p.end")
-    copies = F.col("p.whole") + F.when(last, 1).otherwise(0)
+    part = F.col("p.target") > F.col("p.whole") * F.col("p.size")
+    copies = F.col("p.whole") + F.when(part & last, 1).otherwise(0)
     return rows.select(
         "d.*", F.col("p.size").alias("source_size"), F.col("p.target").alias("target"), copies.cast("long").alias("copies")
     )
