@@ -48,6 +48,7 @@ _KINDS = {
     "string": "VARCHAR",
     "date": "DATE",
     "timestamp": "TIMESTAMP",
+    "boolean": "BOOLEAN",
 }
 
 

@@ -5,6 +5,7 @@ import pytest
 from conftest import SMALL
 
 import __spark_entry__ as contract
+from zonetide.plans.registry import ALL
 
 NO_SQL = {
     "raw_file_manifest",
@@ -27,7 +28,7 @@ def con():
 
 
 def test_only_models_and_files_lack_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == NO_SQL
+    assert set(ALL) - set(contract.oracle_sql()) == NO_SQL
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
@@ -36,6 +37,6 @@ def test_entry(spark):
     assert df.count() == 978
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(ALL))
 def test_query(spark, con, name):
     assert compare.check(spark, con, name, SMALL) == []
