@@ -111,6 +111,53 @@ def runs(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[tup
         yield last, pa.Table.from_batches(held)
 
 
+#: Bits of an id filter: this many for each id, up to a fixed size of 8 MB.
+BITS_PER_ID, MOST_BITS, PROBES = 16, 1 << 26, 4
+
+
+def _places(ids: np.ndarray, bits: int) -> np.ndarray:
+    """The bits (a power of two many) that stand for each id, by row."""
+    x = ids.astype(np.int64).view(np.uint64)[:, None] + np.arange(1, PROBES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (x ^ (x >> np.uint64(31))) & np.uint64(bits - 1)
+
+
+class IdFilter:
+    """A Bloom filter over ids: no id is missed, few others pass.
+
+    Texts of chosen documents are read with it, without shuffling all texts for a join.
+    Its size has a fixed bound; with more ids more others pass, and a join on
+    what has passed makes the result exact at any size.
+    """
+
+    def __init__(self, ids: DataFrame, column: str):
+        wanted = max(ids.count() * BITS_PER_ID, 1024)
+        bits = min(1 << (wanted - 1).bit_length(), MOST_BITS)
+
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own = np.zeros(bits // 64, np.uint64)
+            for batch in batches:
+                at = _places(batch.column(0).to_numpy(zero_copy_only=False), bits).ravel()
+                np.bitwise_or.at(own, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+            words = np.flatnonzero(own)
+            yield pa.record_batch([pa.array(words, pa.int64()), pa.array(own[words].view(np.int64))], names=["word", "mask"])
+
+        parts = map_batches(ids.select(column), work, "word long, mask long")
+        rows = parts.groupBy("word").agg(F.bit_or("mask").alias("mask")).collect()
+        table = np.zeros(bits // 64, np.int64)
+        table[[r["word"] for r in rows]] = [r["mask"] for r in rows]
+        self.bits = bits
+        self.shared = ids.sparkSession.sparkContext.broadcast(table.view(np.uint64))
+
+    def passing(self, ids: pa.Array) -> np.ndarray:
+        """Boolean by row; null ids don't pass."""
+        known = np.array(ids.is_valid())
+        at = _places(ids.fill_null(0).to_numpy(zero_copy_only=False), self.bits)
+        hit = (self.shared.value[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1)
+        return known & (hit > 0).all(axis=1)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (a, b: long, not null): one row (id, component) for
     every id on an edge, the component being its smallest id.

@@ -46,7 +46,7 @@ LONGS = PERMUTATIONS // PER_LONG
 #: (0.2) and over four standard errors of two estimates.
 LOOSE, FAR = 0.35, 0.85
 #: Rows of a block; a task holds two.
-BLOCK = 64
+BLOCK = 128
 #: Columns of the dense matrix that a block pair is multiplied in.
 COLUMNS = 1 << 16
 
@@ -227,16 +227,20 @@ def clusters(nodes: DataFrame) -> DataFrame:
     rest = pairs.join(far, ["id", "leader"]).join(open_buckets, "bucket").select("bucket", "id")
     rest = common.stored(rest.join(signatures, "id").select("bucket", "id", "signature"), "rest")
     among = common.map_batches(in_block_pairs(rest, "bucket", "signature"), _similar, "a long, b long")
-    near = once.where(F.col("near") >= LOOSE).select(F.col("id").alias("a"), F.col("leader").alias("b"))
-    return common.components(near.unionByName(among))
+    # a node has a leader per band at most; what its leaders share is told once
+    near = once.where(F.col("near") >= LOOSE).groupBy("id")
+    near = near.agg(F.min("leader").alias("b"), F.array_append(F.collect_set("leader"), F.col("id")).alias("a"))
+    return common.components(near.select(F.explode("a").alias("a"), "b").unionByName(among))
 
 
-def _sets(width: int):
+def _sets(width: int, wanted: common.IdFilter):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            found = [shingle_set(t.as_py(), width, hashes).tobytes() for t in batch.column("text")]
-            yield pa.record_batch([batch.column("id"), batch.column("component"), pa.array(found, pa.binary())], names=["id", "component", "shingles"])
+            ids = batch.column("doc_id").cast(pa.int64())
+            rows = pa.array(wanted.passing(ids))
+            found = [shingle_set(t.as_py(), width, hashes).tobytes() for t in batch.column("text").filter(rows)]
+            yield pa.record_batch([ids.filter(rows), pa.array(found, pa.binary())], names=["id", "shingles"])
 
     return work
 
@@ -292,9 +296,9 @@ def _confirm(percent: int):
 def confirmed(docs: DataFrame, grouped: DataFrame, width: int, percent: int) -> DataFrame:
     """(a, b): confirmed links that connect what the links within clusters connect."""
     grouped = common.stored(grouped, "clusters")
-    texts = docs.select(F.col("doc_id").alias("id"), "text").join(grouped, "id")
-    schema = "id long, component long, shingles binary"
-    sets = common.stored(common.map_batches(texts.select("id", "component", "text"), _sets(width), schema), "sets")
+    work = _sets(width, common.IdFilter(grouped, "id"))
+    sets = common.stored(common.map_batches(docs.select("doc_id", "text"), work, "id long, shingles binary"), "sets")
+    sets = sets.join(grouped, "id")
     rows = in_block_pairs(sets, "component", "shingles")
     return common.stored(common.map_batches(rows, _confirm(percent), "a long, b long"), "links")
 
@@ -302,13 +306,12 @@ def confirmed(docs: DataFrame, grouped: DataFrame, width: int, percent: int) ->
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
     sketched = sketches(docs, width)
-    equal = sketched.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("id"))
+    equal = sketched.where("key is not null").groupBy("key")
+    equal = equal.agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature"), F.first("buckets").alias("buckets"))
     equal = common.stored(equal, "equal")
-    first = sketched.join(equal.where("id is not null"), "key").where("doc_id = id")
-    nodes = common.stored(first.dropDuplicates(["id"]).select("id", "signature", "buckets"), "nodes")
-    links = confirmed(docs, clusters(nodes), width, percent)
+    links = confirmed(docs, clusters(equal.where("id is not null")), width, percent)
     grouped = common.components(links)
-    named = equal.join(grouped, "id", "left").select("key", F.coalesce("component", "id").alias("component"))
+    named = equal.select("key", "id").join(grouped, "id", "left").select("key", F.coalesce("component", "id").alias("component"))
     rows = sketched.select("doc_id", "n_shingles", "key").join(named, "key", "left")
     component = F.coalesce("component", "doc_id")
     kept = F.when(F.col("doc_id").isNull(), component.isNull()).otherwise(F.col("doc_id") == component)
