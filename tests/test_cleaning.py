@@ -61,19 +61,19 @@ def test_zone_repair(spark, threshold):
     assert out.columns == df.columns
 
 
-def test_large_master_does_not_shuffle_orders_that_have_a_zone(spark):
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_orders_are_ranked_once(spark, threshold):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
-        once = cleaning.dedup_orders(b.orders(spark, {}, {"order_id": "2", "zone": ""}))
-        out = cleaning.backfill_zone(once, b.restaurants(spark, {}))
-        assert out.count() == 2
-        rows = out.collect()
+        raw = b.orders(spark, {}, {"order_id": "2", "zone": ""}, {"order_id": "2", "zone": ""})
+        out = cleaning.clean_orders(raw, b.restaurants(spark, {}))
         plan = out._jdf.queryExecution().executedPlan().toString()
+        assert out.count() == 2
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    assert len(rows) == 2
-    assert "ReusedExchange" in plan
+    assert plan.count("Window [") == 1
+
 
 
 def test_net_value(spark):

@@ -4,7 +4,8 @@ import builders as b
 import pytest
 from pyspark.sql import functions as F
 
-from zonetide.operators import forecast, ml
+from zonetide.functions.measures import exact_avg, exact_sum
+from zonetide.operators import cleaning, forecast, gold, ml, ops
 
 
 def demand(spark, rows):
@@ -116,3 +117,35 @@ def test_scenario_recomputes_hour_features(layers):
         "order_hour", "is_dinner", "is_lunch", "is_late_night", "rain_x_dinner", "event_x_evening", "weekend_x_lunch"
     ).distinct()
     assert [tuple(r) for r in fixed.collect()] == [(20, 1, 0, 0, 1, 1, 0)]
+
+
+def test_one_wrong_date_does_not_stretch_the_calendar(spark, layers):
+    known = layers.table("zone_demand_hourly")
+    odd = known.limit(1).withColumn("order_date", F.lit("1970-01-01").cast("date"))
+    more = forecast.lag_features(known.unionByName(odd))
+    assert more.count() - forecast.lag_features(known).count() <= 25 * 24 * 10
+    same = more.filter("hour_ts > '2000-01-01'").select("zone", "hour_ts", "lag_168", "rolling_168")
+    want = forecast.lag_features(known).select("zone", "hour_ts", "lag_168", "rolling_168")
+    assert want.exceptAll(same).filter("lag_168 is not null").count() == 0
+
+
+def test_alerts_and_utilisation_of_a_zone_without_partners(spark):
+    expected = spark.createDataFrame([("A", START, 1000.0), ("B", START, 1.0)], "zone string, hour_ts timestamp, forecast double")
+    staff = b.partners(spark, {"zone": "B"}).withColumn("is_active", F.lit(1))
+    supply = gold.partner_availability(staff)
+    alerts = ops.demand_alerts(expected, supply).collect()
+    assert [(r.zone, r.active_partners) for r in alerts] == [("A", 0)]
+    orders = cleaning.clean_orders(
+        b.orders(spark, {"zone": "A", "partner_id": ""}, {"order_id": "2", "zone": "B"}, {"order_id": "3", "zone": "B", "partner_id": None, "order_timestamp": START}),
+        b.restaurants(spark, {}),
+    )
+    got = {(r.zone, r.order_hour): (r.busy_partners, r.active_partners, r.utilisation_pct) for r in ops.partner_utilisation(orders, staff, supply).collect()}
+    assert got == {("A", 12): (0, 0, None), ("B", 12): (1, 1, 100.0), ("B", 0): (0, 1, 0.0)}
+
+
+def test_sums_are_not_cut_and_odd_values_surface(spark):
+    df = spark.createDataFrame([(0.004,), (0.004,), (0.004,), (None,)], "x double")
+    r = df.agg(exact_sum("x").alias("s"), exact_avg("x").alias("a")).first()
+    assert (r.s, r.a) == (0.012, 0.004)
+    r = df.unionByName(spark.createDataFrame([(float("nan"),)], "x double")).agg(exact_avg("x").alias("a")).first()
+    assert r.a != r.a

@@ -1,3 +1,5 @@
+import math
+
 import builders as b
 import pytest
 from pyspark.sql import functions as F
@@ -94,9 +96,10 @@ def test_exact_avg_skips_nulls(spark):
     assert df.filter("v is null").agg(exact_avg("v").alias("a")).first().a is None
 
 
-def test_exact_avg_leaves_out_what_is_no_number(spark):
+def test_exact_avg_shows_what_is_no_number(spark):
     df = spark.createDataFrame([(1.0,), (float("nan"),), (float("inf"),), (2.0,)], "v double")
-    assert df.agg(exact_avg("v").alias("a")).first().a == 1.5
+    assert math.isnan(df.agg(exact_avg("v").alias("a")).first().a)
+    assert df.filter("v < 3").agg(exact_avg("v").alias("a")).first().a == 1.5
 
 
 def test_builders_have_defaults(spark):

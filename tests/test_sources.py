@@ -1,7 +1,10 @@
+import os
+
 import builders as b
 import pytest
 from pyspark.sql import functions as F
 
+from zonetide import session
 from zonetide.plans import layers as build
 from zonetide.sources import catalog, files
 from zonetide.sources.schemas import ORDERS, RAW
@@ -84,13 +87,14 @@ def test_literal_rows(spark):
 def test_catalog_build_writes_all_layers_with_comments(spark, layers):
     own = build.Layers(spark, layers.raw)
     counts = build.build_catalog(own, prefix="t_")
-    assert counts["t_bronze.orders_raw"] == 1005
-    assert counts["t_silver.orders_clean"] == 1000
-    assert counts["t_gold.zone_demand_hourly"] == 978
-    assert spark.table("t_silver.orders_clean").count() == 1000
+    assert counts["t_bronze.orders_raw"] + counts["t_bronze.orders_quarantine"] == 1005
+    ids = spark.table("t_bronze.orders_raw").select("order_id").distinct().count()
+    assert counts["t_silver.orders_clean"] == spark.table("t_silver.orders_clean").count() == ids
+    total = spark.table("t_gold.zone_demand_hourly").agg(F.sum("total_orders")).first()[0]
+    assert total == ids
     detail = spark.sql("DESCRIBE TABLE EXTENDED t_gold.demand_supply_ratio").collect()
     comments = {r.col_name: r.comment for r in detail if r.comment}
-    assert comments["recommended_surge"].startswith("Surge multiplier")
+    assert comments["recommended_surge"].startswith("Factor on the fee")
     assert any(r.col_name == "Comment" and "zone" in r.data_type for r in detail)
 
 
@@ -109,7 +113,12 @@ def test_layers_from_landing_files_equal_those_from_tables(spark, layers, tmp_pa
 
 def test_catalog_build_with_quarantine(spark, layers):
     own = build.Layers(spark, layers.raw)
-    counts = build.build_catalog(own, prefix="q_", quarantine=True)
+    counts = build.build_catalog(own, prefix="q_")
+    for table in RAW:
+        left = counts[f"q_bronze.{table}_raw"] + counts[f"q_bronze.{table}_quarantine"]
+        assert left == layers.raw.text(table).count()
+    good = spark.table("q_bronze.orders_raw")
+    assert counts["q_silver.orders_clean"] == good.select("order_id").distinct().count()
     bad = spark.table("q_bronze.orders_quarantine")
     assert counts["q_bronze.orders_quarantine"] == bad.count() > 0
     assert counts["q_bronze.orders_raw"] == 1005 - bad.count()
@@ -125,14 +134,31 @@ def test_published_predictions(spark):
     df = spark.createDataFrame([("Z", 3)], "zone string, predicted_orders bigint")
     assert build.publish_predictions(df, prefix="p_") == 1
     detail = spark.sql("DESCRIBE TABLE EXTENDED p_gold.demand_predictions").collect()
-    assert any(r.col_name == "Comment" and "forecast" in r.data_type for r in detail)
+    assert any(r.col_name == "Comment" and "trained model" in r.data_type for r in detail)
 
 
-def test_without_shared_folder_tables_stay_lazy(spark, layers, monkeypatch):
+def test_close_removes_the_intermediate_tables(spark, layers):
     own = build.Layers(spark, layers.raw)
-    monkeypatch.setattr(build, "shared_dir", lambda s: None)
-    assert own.folder("x") is None
     assert own.table("restaurants_clean").count() == 200
+    folder = own.path("restaurants_clean").removeprefix("file:")
+    assert os.path.isdir(folder)
+    own.close()
+    assert not os.path.exists(folder)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Elsewhere:
+        conf: dict = {}
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(Elsewhere)
 
 
 @pytest.mark.parametrize("name", ["restaurants", "delivery_partners", "weather_hourly", "local_events", "orders"])

@@ -114,4 +114,4 @@ def test_zone_status_batches(spark, feed, tmp_path):
             str(tmp_path / "cp"),
         )
     got = {r.zone: (r.total_orders, r.demand_supply_ratio, r.zone_status, r.is_alert) for r in spark.read.parquet(out).collect()}
-    assert got == {"Z1": (7, 3.5, "CRITICAL", 1), "Z2": (1, None, "HEALTHY", 0)}
+    assert got == {"Z1": (7, 3.5, "CRITICAL", 1), "Z2": (1, None, "HEALTHY", 1)}

@@ -1,8 +1,9 @@
 """Aggregate expressions whose result does not depend on row order.
 
 A plain ``avg(double)`` changes in its last bits with the order in which tasks
-finish.  Money and rates have few decimals, so they are summed as scaled ``bigint``
-values: exact, code-generated, and partially aggregated before any shuffle.
+finish.  Money and rates are summed as decimals instead, to ``DIGITS`` places, which is
+beyond what the schemas' money, rate and rating columns hold; 22 digits are left
+for the sum.  Values that are no finite number surface as NaN in sums and averages.
 """
 
 from __future__ import annotations
@@ -15,26 +16,31 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def scaled(c: str | Column, digits: int = 2) -> Column:
+DIGITS = 6
+
+
+def scaled(c: str | Column, digits: int) -> Column:
     """``c`` as a whole number of 10**-digits units; null where it is no finite number."""
     return F.rint(col(c) * float(10**digits)).try_cast("bigint")
 
 
-def scaled_sum(c: str | Column, digits: int = 2) -> Column:
-    return F.sum(scaled(c, digits))
+def _odd(c: str | Column) -> Column:
+    """How many values are NaN or infinite."""
+    x = col(c).cast("double")
+    return F.count_if(F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
 
 
-def unscale(total: str | Column, digits: int = 2) -> Column:
-    return col(total) / F.lit(float(10**digits))
+def decimal_sum(c: str | Column) -> Column:
+    return F.sum(col(c).try_cast(f"decimal(28,{DIGITS})"))
 
 
-def exact_sum(c: str | Column, digits: int = 2) -> Column:
-    return unscale(scaled_sum(c, digits), digits)
+def exact_sum(c: str | Column) -> Column:
+    return F.when(_odd(c) > 0, F.lit(float("nan"))).otherwise(decimal_sum(c).cast("double"))
 
 
-def exact_avg(c: str | Column, digits: int = 2) -> Column:
+def exact_avg(c: str | Column) -> Column:
     """Average of the known values, null when there are none."""
-    return exact_sum(c, digits) / F.count(scaled(c, digits))
+    return exact_sum(c) / F.nullif(F.count(col(c)), F.lit(0))
 
 
 def flag_count(condition: Column) -> Column:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import RAINY_CONDITIONS, calendar_columns
 from ..functions.measures import flag
-from ..session import fits_broadcast
 from ..sources.schemas import ORDERS
 
 ORDER_COLUMNS = [
@@ -66,23 +65,15 @@ def master_zones(restaurants: DataFrame) -> DataFrame:
 def backfill_zone(orders: DataFrame, restaurants: DataFrame) -> DataFrame:
     """Missing zones come from the restaurant master.
 
-    A master too large to broadcast would shuffle every order for the few that need it.
-    Then only orders without a zone are joined; both branches read the same shuffle
-    output of the step before.
+    One join, whatever the size of the master: Spark broadcasts it if it is measured to
+    be small, and otherwise splits a hot restaurant's orders.
     """
-    master = master_zones(restaurants)
     own = F.when(~is_blank("zone"), F.col("zone"))
-
-    def fill(rows: DataFrame) -> DataFrame:
-        return (
-            rows.join(master, "restaurant_id", "left")
-            .withColumn("zone", F.coalesce(own, "_master_zone"))
-            .select(*orders.columns)
-        )
-
-    if orders.isStreaming or fits_broadcast(master):
-        return fill(orders)
-    return orders.filter(~is_blank("zone")).unionByName(fill(orders.filter(is_blank("zone"))))
+    return (
+        orders.join(master_zones(restaurants), "restaurant_id", "left")
+        .withColumn("zone", F.coalesce(own, "_master_zone"))
+        .select(*orders.columns)
+    )
 
 
 def with_partner_status(orders: DataFrame) -> DataFrame:

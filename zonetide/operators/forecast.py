@@ -2,7 +2,9 @@
 
 Hours without orders have no row in the demand table but count as 0 orders, so every
 series is put on a dense spine first.  A spine has zones x hours rows: it grows with
-the calendar, not with the number of orders.
+the calendar, not with the number of orders.  The calendar has the days on which any zone
+has orders and ``QUIET_DAYS`` days after each, so one wrong date in 1970 adds a few days
+and not fifty years.  After a longer silence the lags are unknown until a week has passed.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ RAIN_FACTOR = 1.4
 EVENT_FACTOR = 1.8
 HOURS_PER_DAY = 24
 HOURS_PER_WEEK = 168
+QUIET_DAYS = 8
 
 
 def zone_series(demand: DataFrame) -> DataFrame:
@@ -46,10 +49,19 @@ def dense(series: DataFrame, ts: str, step: str, values: list[str]) -> DataFrame
     bounds = series.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi"))
     lo, hi = bounds.select("lo").scalar(), bounds.select("hi").scalar()
     zeros = [F.lit(0).cast(series.schema[v].dataType).alias(v) for v in values]
+    # one value per day of the calendar; the hours of a day are made next to their zone
+    some = series.select(F.to_date(ts).alias("day")).distinct()
+    each = F.explode(F.sequence("day", F.date_add("day", QUIET_DAYS))).alias("day")
+    calendar = some.select(each).distinct().agg(F.collect_list("day")).scalar()
+    start = F.col("day").cast("timestamp")
+    width = F.expr(f"interval {step}")
+    within = F.sequence(start, start + F.expr("interval 1 day") - width, width)
     steps = (
         series.select("zone")
         .distinct()
-        .select("zone", F.explode(F.sequence(lo, hi, F.expr(f"interval {step}"))).alias(ts), *zeros)
+        .select("zone", F.explode(calendar).alias("day"))
+        .select("zone", F.explode(within).alias(ts), *zeros)
+        .filter(F.col(ts).between(lo, hi))
     )
     return (
         series.select("zone", ts, *values)
@@ -74,7 +86,14 @@ def _mean_before(hours: int) -> Column:
     """Mean of the previous ``hours`` hours; null until that many exist."""
     w = _by_hour().rowsBetween(-hours, -1)
     total, n = F.sum("total_orders").over(w), F.count("total_orders").over(w)
-    return F.when(n == hours, total.cast("double") / hours)
+    unbroken = F.first("hour_ts").over(w) == F.col("hour_ts") - F.make_dt_interval(hours=F.lit(hours))
+    return F.when((n == hours) & unbroken, total.cast("double") / hours)
+
+
+def _hours_ago(hours: int) -> Column:
+    w, gap = _by_hour(), F.make_dt_interval(hours=F.lit(hours))
+    near = F.lag("hour_ts", hours).over(w) == F.col("hour_ts") - gap
+    return F.when(near, F.lag("total_orders", hours).over(w))
 
 
 def rolling_average(demand: DataFrame, hours: int = HOURS_PER_DAY) -> DataFrame:
@@ -85,11 +104,10 @@ def rolling_average(demand: DataFrame, hours: int = HOURS_PER_DAY) -> DataFrame:
 
 def lag_features(demand: DataFrame) -> DataFrame:
     """Same hour last week, same hour yesterday, and the mean of the last seven days."""
-    w = _by_hour()
     return hourly_spine(demand).withColumns(
         {
-            "lag_168": F.lag("total_orders", HOURS_PER_WEEK).over(w),
-            "lag_24": F.lag("total_orders", HOURS_PER_DAY).over(w),
+            "lag_168": _hours_ago(HOURS_PER_WEEK),
+            "lag_24": _hours_ago(HOURS_PER_DAY),
             "rolling_168": _mean_before(HOURS_PER_WEEK),
         }
     )
@@ -164,11 +182,15 @@ def interval_orders(orders: DataFrame, minutes: int = 30) -> DataFrame:
 def next_interval_target(counts: DataFrame, minutes: int = 30) -> DataFrame:
     """``interval_orders`` on every interval, with the counts of the next two."""
     w = Window.partitionBy("zone").orderBy("interval_ts")
+
+    def ahead(steps: int) -> Column:
+        then = F.lead("interval_ts", steps).over(w)
+        near = then == F.col("interval_ts") + F.make_dt_interval(mins=F.lit(minutes * steps))
+        # beyond a break in the calendar nothing was ordered
+        return F.when(near, F.lead("orders", steps).over(w)).when(then.isNotNull(), 0)
+
     return dense(counts, "interval_ts", f"{minutes} minutes", ["orders"]).withColumns(
-        {
-            "orders_next_30": F.lead("orders", 1).over(w),
-            "orders_next_60": F.lead("orders", 2).over(w),
-        }
+        {"orders_next_30": ahead(1), "orders_next_60": ahead(2)}
     )
 
 

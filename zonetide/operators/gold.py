@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules
-from ..functions.measures import exact_avg, flag, flag_count, percent, scaled_sum, unscale
+from ..functions.measures import exact_avg, exact_sum, flag, flag_count, percent
 
 HOUR_KEYS = ["order_date", "order_hour", "zone", "is_weekend"]
 
@@ -47,7 +47,7 @@ def hourly_orders(orders: DataFrame) -> DataFrame:
         F.count("order_id").alias("total_orders"),
         F.count_distinct("customer_id").alias("unique_customers"),
         F.round(exact_avg("order_value_inr"), 2).alias("avg_order_value"),
-        scaled_sum("net_order_value").alias("_revenue"),
+        exact_sum("net_order_value").alias("_revenue"),
         F.round(F.avg("actual_delivery_mins"), 1).alias("avg_delivery_mins"),
         F.round(F.avg("estimated_eta_mins"), 1).alias("avg_estimated_eta"),
         F.round(F.avg("eta_overshoot_mins"), 1).alias("avg_eta_overshoot"),
@@ -114,7 +114,7 @@ def zone_demand_hourly(
     known = flag(F.col("_weather_rows").isNotNull())
     out = hourly.withColumns(
         {
-            "total_revenue": F.round(unscale("_revenue"), 2),
+            "total_revenue": F.round("_revenue", 2),
             "weather_known": known,
             "rain_mm": F.coalesce("rain_mm", F.lit(0.0)),
             "is_rainy": F.coalesce("is_rainy", F.lit(0)),
@@ -208,7 +208,7 @@ def customer_360(orders: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_orders"),
         F.count_distinct("zone").alias("zones_ordered_from"),
         F.count_distinct("restaurant_id").alias("unique_restaurants"),
-        F.round(unscale(scaled_sum("net_order_value")), 2).alias("total_spend"),
+        F.round(exact_sum("net_order_value"), 2).alias("total_spend"),
         F.round(exact_avg("net_order_value"), 2).alias("avg_order_value"),
         F.round(F.avg("actual_delivery_mins"), 1).alias("avg_delivery_time"),
         F.sum("is_cancelled").alias("total_cancellations"),
@@ -232,7 +232,7 @@ def restaurant_performance(orders: DataFrame, restaurants: DataFrame) -> DataFra
         .groupBy("restaurant_id")
         .agg(
             F.count("order_id").alias("total_orders"),
-            F.round(unscale(scaled_sum("net_order_value")), 2).alias("total_revenue"),
+            F.round(exact_sum("net_order_value"), 2).alias("total_revenue"),
             F.round(exact_avg("net_order_value"), 2).alias("avg_order_value"),
             F.round(F.avg("actual_delivery_mins"), 1).alias("avg_delivery_mins"),
             F.sum("is_cancelled").alias("total_cancellations"),

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import time
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -178,7 +179,7 @@ def regression_metrics(rows: DataFrame, label: str = LABEL, prediction: str = "p
     """RMSE, MAE and R² in one pass."""
     y, e = F.col(label).cast("double"), F.col(label) - F.col(prediction)
     n, sse = F.count(F.lit(1)), F.sum(e * e)
-    spread = F.sum(y * y) - F.sum(y) * F.sum(y) / n
+    spread = F.var_pop(y) * n
     return rows.agg(
         n.alias("rows"),
         F.round(F.sqrt(sse / n), 4).alias("rmse"),
@@ -263,9 +264,13 @@ def next_hour_rows(demand: DataFrame) -> DataFrame:
     )
 
 
-def next_hour_predictions(rows: DataFrame, **params) -> DataFrame:
+def next_hour_model(rows: DataFrame, **params) -> PipelineModel:
+    known = rows.filter(F.col("next_orders").isNotNull())
+    return fit(gbt(**params), known, LAG_FEATURES, "next_orders")
+
+
+def next_hour_predictions(rows: DataFrame, model: PipelineModel) -> DataFrame:
     """Orders expected in the hour after the last known one, per zone."""
-    model = fit(gbt(**params), rows.filter(F.col("next_orders").isNotNull()), LAG_FEATURES, "next_orders")
     last = rows.filter(F.col("next_orders").isNull())
     return score(model, last).select(
         "zone",
@@ -275,19 +280,17 @@ def next_hour_predictions(rows: DataFrame, **params) -> DataFrame:
     )
 
 
-def compare_models(
-    train: DataFrame, test: DataFrame, feature_sets: dict[str, list[str]], **params
-) -> DataFrame:
-    """Hold-out metrics per feature set."""
+def compare_models(models: dict[tuple[str, str], PipelineModel], test: DataFrame) -> DataFrame:
+    """Hold-out metrics of models named by kind and feature set."""
     parts = []
-    for name, names in feature_sets.items():
-        model = fit(random_forest(**params), train, names)
-        metrics = regression_metrics(score(model, test))
-        parts.append(metrics.select(F.lit(name).alias("feature_set"), F.lit(len(names)).alias("features"), "*"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.orderBy("rmse", "feature_set")
+    for (kind, name), model in models.items():
+        named = (
+            F.lit(kind).alias("model"),
+            F.lit(name).alias("feature_set"),
+            F.lit(len(model.stages[0].getInputCols())).alias("features"),
+        )
+        parts.append(regression_metrics(score(model, test)).select(*named, "*"))
+    return reduce(DataFrame.unionByName, parts).orderBy("rmse", "model", "feature_set")
 
 
 def record_run(

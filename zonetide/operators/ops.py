@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import rules
 from ..functions.calendar import hour_start
 from ..functions.measures import flag, percent, scaled
+from .cleaning import is_blank
 from .forecast import spike_hours
 
 
@@ -47,15 +48,20 @@ def console_slice(ratio: DataFrame, forecast: DataFrame, **chosen) -> DataFrame:
             "zone_status",
             "recommended_surge",
             "partner_rebalance_count",
-            flag(F.col("forecast") > 2 * F.col("active_partners")).alias("is_alert"),
+            flag(F.col("forecast") > 2 * F.coalesce("active_partners", F.lit(0))).alias("is_alert"),
         )
     )
 
 
 def demand_alerts(forecast: DataFrame, availability: DataFrame, factor: float = 2.0) -> DataFrame:
-    """Zone-hours whose forecast exceeds ``factor`` times the active partners."""
+    """Zone-hours whose forecast exceeds ``factor`` times the active partners.
+
+    A zone without a row of partners has none, which is the worst shortage.
+    """
+    none = F.lit(0).cast("bigint")
     return (
-        forecast.join(availability.select("zone", "active_partners"), "zone")
+        forecast.join(availability.select("zone", "active_partners"), "zone", "left")
+        .withColumn("active_partners", F.coalesce("active_partners", none))
         .filter(F.col("forecast") > factor * F.col("active_partners"))
         .select("zone", "hour_ts", "forecast", "active_partners")
     )
@@ -137,18 +143,23 @@ def partner_utilisation(
 ) -> DataFrame:
     """Share of a zone's active partners with at least one order in the hour.
 
-    Orders collapse to one row per hour and partner before the join.
+    Every zone-hour with demand has a row, and every one with a busy partner, whatever the
+    partners' share.  Orders collapse to one row per hour and partner before the join.
     """
-    busy = (
-        orders.filter(F.col("partner_id").isNotNull())
-        .select("order_date", "order_hour", "partner_id")
-        .distinct()
-    )
+    hour = ["order_date", "order_hour"]
     active = partners.filter(F.col("is_active") == 1).select("partner_id", "zone")
+    busy = orders.filter(~is_blank("partner_id")).select(*hour, "partner_id").distinct()
+    busy = busy.join(active, "partner_id").select(*hour, "zone", F.lit(1).alias("busy"))
+    demand = orders.select(*hour, "zone").distinct().withColumn("busy", F.lit(0))
+    supply = availability.select("zone", "active_partners")
     return (
-        busy.join(active, "partner_id")
-        .groupBy("order_date", "order_hour", "zone")
-        .agg(F.count(F.lit(1)).alias("busy_partners"))
-        .join(availability.select("zone", "active_partners"), "zone")
-        .withColumn("utilisation_pct", percent("busy_partners", "active_partners"))
+        demand.unionByName(busy)
+        .filter(F.col("zone").isNotNull())
+        .groupBy(*hour, "zone")
+        .agg(F.sum("busy").alias("busy_partners"))
+        .join(supply, "zone", "left")
+        .withColumn("active_partners", F.coalesce("active_partners", F.lit(0).cast("bigint")))
+        .withColumn(
+            "utilisation_pct", percent("busy_partners", F.nullif("active_partners", F.lit(0)))
+        )
     )

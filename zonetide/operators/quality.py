@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.measures import exact_avg, flag, flag_count
 from ..functions.rules import static_period, static_surge
-from ..sources.schemas import ARRIVAL, ORDER_STATES, ORDERS
+from ..sources.schemas import ARRIVAL, ORDER_STATES, RAW
 from .cleaning import is_blank
 
 
@@ -209,9 +209,19 @@ def fk_orphans(orders: DataFrame, restaurants: DataFrame, partners: DataFrame) -
     )
 
 
-def _reasons() -> Column:
-    typed = [f for f in ORDERS.fields if f.dataType.simpleString() != "string"]
-    checks = [F.when(is_blank("order_id"), "missing order_id")]
+#: Columns a row cannot do without, by raw input.
+KEYS = {
+    "orders": ("order_id",),
+    "restaurants": ("restaurant_id",),
+    "delivery_partners": ("partner_id",),
+    "weather_hourly": ("timestamp", "zone"),
+    "local_events": ("event_id",),
+}
+
+
+def _reasons(table: str) -> Column:
+    typed = [f for f in RAW[table].fields if f.dataType.simpleString() != "string"]
+    checks = [F.when(is_blank(key), f"missing {key}") for key in KEYS[table]]
     checks += [
         F.when(
             F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(),
@@ -219,14 +229,17 @@ def _reasons() -> Column:
         )
         for f in typed
     ]
-    checks.append(F.when(~F.col("status").isin(*ORDER_STATES), "unknown status"))
+    if table == "orders":
+        checks.append(F.when(~F.col("status").isin(*ORDER_STATES), "unknown status"))
     return F.concat_ws("; ", *checks)
 
 
-def split_by_schema(text: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Typed rows that satisfy the order schema, and the others with their reasons."""
-    judged = text.withColumn("reason", _reasons())
+def split_by_schema(text: DataFrame, table: str = "orders") -> tuple[DataFrame, DataFrame]:
+    """Typed rows that satisfy the schema of a raw input, and the others with their reasons."""
+    judged = text.withColumn("reason", _reasons(table))
     good = judged.filter(F.col("reason") == "")
-    typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in ORDERS.fields]
-    extra = [c for c in text.columns if c not in ORDERS.names]
+    fields = RAW[table].fields
+    typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in fields]
+    names = {f.name for f in fields}
+    extra = [c for c in text.columns if c not in names]
     return good.select(*typed, *extra), judged.filter(F.col("reason") != "")

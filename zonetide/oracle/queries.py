@@ -95,7 +95,7 @@ _STATIC = """ROUND(CASE WHEN order_hour IN (12, 13) THEN 1.3::DOUBLE WHEN order_
        + CASE WHEN event_active = 1 THEN 0.5::DOUBLE ELSE 0::DOUBLE END, 1)"""
 
 _ZONED = """SELECT o.* EXCLUDE (zone), COALESCE(NULLIF(o.zone, ''), m.zone) AS zone
-  FROM orders_raw o LEFT JOIN restaurants_raw m ON o.restaurant_id = m.restaurant_id"""
+  FROM orders_dedup o LEFT JOIN restaurants_raw m ON o.restaurant_id = m.restaurant_id"""
 _WATERMARK = "(SELECT MAX(order_timestamp) - INTERVAL 4 HOUR FROM orders_raw)"
 _HOURLY_STREAM = f"""SELECT zone, window_start, window_start + INTERVAL 1 HOUR AS window_end,
          COUNT(order_id) AS total_orders, COUNT(*) FILTER (status = 'cancelled') AS total_cancellations,
@@ -385,8 +385,8 @@ FROM (SELECT w.zone, w.hour_ts, w.forecast, COALESCE(p.active_partners, 0) AS ac
              {half_even('(w.forecast / GREATEST(COALESCE(p.active_partners, 0), 1))', 2)} AS ds_ratio
       FROM wma w LEFT JOIN availability p ON p.zone = w.zone)""",
     "demand_alerts": """
-SELECT w.zone, w.hour_ts, w.forecast, p.active_partners
-FROM wma w JOIN availability p ON p.zone = w.zone WHERE w.forecast > 2 * p.active_partners""",
+SELECT zone, hour_ts, forecast, (SELECT COUNT(*) FROM partners_clean p WHERE p.zone = w.zone AND p.status = 'active') AS active_partners
+FROM wma w WHERE forecast > 2 * (SELECT COUNT(*) FROM partners_clean p WHERE p.zone = w.zone AND p.status = 'active')""",
     "rebalance_plan": """
 WITH laid AS (SELECT order_date, order_hour, zone, partner_rebalance_count > 0 AS wants, ABS(partner_rebalance_count) AS size,
                      SUM(ABS(partner_rebalance_count)) OVER (PARTITION BY order_date, order_hour, partner_rebalance_count > 0
@@ -399,7 +399,7 @@ FROM laid d JOIN laid s ON s.order_date = d.order_date AND s.order_hour = d.orde
     "ops_console_slice": """
 SELECT r.zone, r.order_date, r.order_hour, r.total_orders, w.forecast AS predicted_orders, r.active_partners,
        r.demand_supply_ratio, r.zone_status, r.recommended_surge, r.partner_rebalance_count,
-       CASE WHEN w.forecast > 2 * r.active_partners THEN 1 ELSE 0 END AS is_alert
+       CASE WHEN w.forecast > 2 * COALESCE(r.active_partners, 0) THEN 1 ELSE 0 END AS is_alert
 FROM ratio_exact r LEFT JOIN wma w ON w.zone = r.zone AND w.hour_ts = CAST(r.order_date AS TIMESTAMP) + to_hours(r.order_hour)
 WHERE r.zone IN ('NATION_3', 'NATION_7') AND r.order_date BETWEEN DATE '2024-01-09' AND DATE '2024-01-25'
   AND r.order_hour BETWEEN 17 AND 22""",
@@ -416,10 +416,16 @@ SELECT is_spike, COUNT(*) AS zone_hours, {big('SUM(total_orders)')} AS total_ord
        {r('(CAST(SUM(CAST(avg_eta_overshoot AS DECIMAL(18,1)) * total_orders) AS DOUBLE) / SUM(total_orders) FILTER (avg_eta_overshoot IS NOT NULL))', 2)} AS avg_eta_overshoot
 FROM spikes GROUP BY is_spike""",
     "partner_utilisation": f"""
-SELECT b.*, a.active_partners, {pct('b.busy_partners', 'a.active_partners')} AS utilisation_pct
-FROM (SELECT o.order_date, o.order_hour, p.zone, COUNT(DISTINCT o.partner_id) AS busy_partners
-      FROM orders_clean o JOIN partners_clean p ON p.partner_id = o.partner_id WHERE p.is_active = 1 GROUP BY ALL) b
-JOIN availability a ON a.zone = b.zone""",
+WITH busy AS (SELECT o.order_date, o.order_hour, p.zone, COUNT(DISTINCT p.partner_id) AS n
+              FROM orders_clean o JOIN delivery_partners_raw p ON p.partner_id = o.partner_id
+              WHERE p.status = 'active' AND p.zone IS NOT NULL GROUP BY ALL),
+     hours AS (SELECT order_date, order_hour, zone FROM orders_clean WHERE zone IS NOT NULL
+               UNION SELECT order_date, order_hour, zone FROM busy)
+SELECT h.order_date, h.order_hour, h.zone, COALESCE(b.n, 0) AS busy_partners, COALESCE(s.n, 0) AS active_partners,
+       {pct('COALESCE(b.n, 0)', 'NULLIF(s.n, 0)')} AS utilisation_pct
+FROM hours h
+LEFT JOIN busy b ON b.zone = h.zone AND b.order_hour = h.order_hour AND b.order_date IS NOT DISTINCT FROM h.order_date
+LEFT JOIN (SELECT zone, COUNT(*) AS n FROM delivery_partners_raw WHERE status = 'active' GROUP BY zone) s ON s.zone = h.zone""",
     # named questions
     "nq_top_demand_now": f"""
 SELECT zone, order_date, order_hour, total_orders FROM demand_exact
@@ -516,7 +522,7 @@ SELECT zone, window_start, total_orders, active_partners, {r('q', 2)} AS demand_
        CASE WHEN q > 3 THEN 'CRITICAL' WHEN q > 2 THEN 'STRESSED' WHEN q > 1 THEN 'MODERATE' ELSE 'HEALTHY' END AS zone_status,
        CASE WHEN q > 2.5 THEN {r('LEAST(q * 0.3::DOUBLE + 1.0::DOUBLE, 3.0::DOUBLE)', 2)}
             WHEN q > 1.5 THEN {r('(q * 0.2::DOUBLE + 1.0::DOUBLE)', 2)} ELSE 1.0::DOUBLE END AS recommended_surge,
-       CASE WHEN total_orders > 2 * active_partners THEN 1 ELSE 0 END AS is_alert
+       CASE WHEN total_orders > 2 * COALESCE(active_partners, 0) THEN 1 ELSE 0 END AS is_alert
 FROM (SELECT h.*, a.active_partners, CAST(h.total_orders AS DOUBLE) / NULLIF(a.active_partners, 0) AS q
       FROM ({_HOURLY_STREAM}) h LEFT JOIN availability a ON a.zone = h.zone)""",
 }

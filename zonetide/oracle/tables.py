@@ -9,7 +9,7 @@ def r(x: str, digits: int) -> str:
 
 
 def money_sum(x: str) -> str:
-    return f"CAST(SUM(CAST({x} AS DECIMAL(18,2))) AS DOUBLE)"
+    return f"CAST(SUM(CAST({x} AS DECIMAL(28,6))) AS DOUBLE)"
 
 
 def money_avg(x: str) -> str:
@@ -55,7 +55,7 @@ RAW = {
   SELECT t, n_name,
          CAST(n_nationkey * 7 + extract(hour FROM t) * 3 + extract(day FROM t) * 5 AS int) AS x
   FROM (SELECT DISTINCT date_trunc('hour', CAST(ts AS timestamp)) AS t FROM events)
-  CROSS JOIN nation WHERE n_nationkey < 10""",
+  CROSS JOIN nation WHERE (n_nationkey + extract(hour FROM t)) % 5 < 2""",
     "weather_hourly_raw": """
   SELECT t AS "timestamp", n_name AS zone,
          CAST(200 + x % 150 AS double) / CAST(10 AS double) AS temperature_c,
@@ -104,7 +104,7 @@ RAW = {
          t AS order_timestamp,
          CASE WHEN event_type IN ('error', 'signup') THEN NULL
               ELSE t + interval '1' minute * CAST(15 + h % 25 + event_id % 17 AS int) END AS delivery_timestamp,
-         CASE WHEN event_id % 100 = 7 THEN NULL ELSE value END AS order_value_inr,
+         CASE WHEN event_id % 100 = 7 THEN NULL ELSE value + CAST(event_id % 9 AS double) / CAST(1000 AS double) END AS order_value_inr,
          CAST((h % 5) * 5 AS double) / CAST(2 AS double) AS discount_inr,
          CASE h % 5 WHEN 0 THEN 'UPI' WHEN 1 THEN 'Credit Card' WHEN 2 THEN 'Debit Card'
               WHEN 3 THEN 'Cash' ELSE 'Wallet' END AS payment_mode,
@@ -124,7 +124,7 @@ RAW = {
     "orders_raw": """
   SELECT * FROM orders_once
   UNION ALL
-  SELECT * REPLACE (CASE WHEN arrival_seq % 400 = 3 THEN order_timestamp
+  SELECT * REPLACE (CASE WHEN arrival_seq % 400 = 3 OR extract(minute FROM order_timestamp) % 10 >= 5 THEN order_timestamp
                          ELSE order_timestamp + interval '5' minute END AS order_timestamp)
   FROM orders_once WHERE arrival_seq % 200 = 3""",
     "orders_text": """

@@ -3,7 +3,6 @@
 ``Layers`` builds each table at most once and hands it on as a written parquet table,
 so a dashboard query reads the small analytic table instead of repeating the scan,
 dedup and aggregation of all orders.  A written table also survives lost executors.
-Without a shared folder nothing is written and every table stays a lazy plan.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import cleaning, gold, quality
-from ..session import prepare, shared_dir, size_for
+from ..session import delete_folder, prepare, shared_dir
 from ..sources import catalog
 from ..sources.sample import SampleData
 
@@ -63,7 +62,9 @@ class Layers:
         self._kept: dict[str, object] = {}
         self._inputs: dict[str, DataFrame] = {}
         self._lock = threading.RLock()
-        size_for(self.spark, raw.orders)
+        self._making: dict[str, threading.RLock] = {}
+        app = self.spark.sparkContext.applicationId
+        self._root = f"{shared_dir(self.spark)}/zonetide/{app}-{uuid.uuid4().hex[:12]}"
 
     # -- how a table is made from the layer below ---------------------------------
 
@@ -143,27 +144,31 @@ class Layers:
 
     # -- written tables -----------------------------------------------------------
 
-    def folder(self, name: str) -> str | None:
+    def folder(self, name: str) -> str:
         """A new folder in the shared folder; never one that was used before."""
-        base = shared_dir(self.spark)
-        if base is None:
-            return None
-        app = self.spark.sparkContext.applicationId
-        return f"{base}/zonetide/{app}/{name}-{uuid.uuid4().hex[:12]}"
+        return f"{self._root}/{name}-{uuid.uuid4().hex[:12]}"
 
-    def table(self, name: str) -> DataFrame:
+    def close(self) -> None:
+        """Remove all intermediate tables; nothing that reads them may run any more."""
         with self._lock:
-            if name not in self._written:
-                self._written[name] = self.write(name, self.plan(name))
-            return self._written[name]
+            self._written.clear()
+            self._paths.clear()
+            self._kept.clear()
+            delete_folder(self.spark, self._root)
+
+    def _own_lock(self, name: str) -> threading.RLock:
+        """One lock per table, so that different tables are built side by side."""
+        with self._lock:
+            return self._making.setdefault(name, threading.RLock())
+
+    def table(self, name: str) -> DataFrame:
+        return self.remember(name, lambda: self.plan(name))
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
         """Write as it is partitioned: adaptive execution has already evened the last
         shuffle out, and another one for a date layout would pay only for tables that
         are kept (see ``build_catalog``)."""
         path = self.folder(name)
-        if path is None:
-            return df
         df.write.parquet(path)
         self._paths[name] = path
         return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
@@ -175,14 +180,14 @@ class Layers:
 
     def keep(self, name: str, make):
         """Result of ``make()``, made once; for fitted models."""
-        with self._lock:
+        with self._own_lock(name):
             if name not in self._kept:
                 self._kept[name] = make()
             return self._kept[name]
 
     def remember(self, name: str, make) -> DataFrame:
         """Write the result of ``make()`` once under a name of its own."""
-        with self._lock:
+        with self._own_lock(name):
             if name not in self._written:
                 self._written[name] = self.write(name, make())
             return self._written[name]
@@ -208,24 +213,22 @@ def sample_layers(spark: SparkSession, sf_dir: str) -> Layers:
         return _layers[key]
 
 
-def build_catalog(
-    layers: Layers, prefix: str = "", fmt: str = "parquet", *, quarantine: bool = False
-) -> dict[str, int]:
+def build_catalog(layers: Layers, prefix: str = "", fmt: str = "parquet") -> dict[str, int]:
     """Write all layers as managed tables in schemas bronze, silver and gold.
 
     Every table is read back by the tables above it, so nothing is computed twice.
-    Unreadable cells of the orders become null.  With ``quarantine`` orders that break
-    the schema go to ``bronze.orders_quarantine`` with their reasons instead.  Returns
-    the row counts.
+    Rows of any raw input that break its schema go to ``bronze.<input>_quarantine`` with
+    their reasons, so that bronze and quarantine together are the input.  Returns the row
+    counts.
     """
     spark = layers.spark
     counts: dict[str, int] = {}
     catalog.create_schema(spark, f"{prefix}bronze")
-    if quarantine:
-        good, aside = quality.split_by_schema(layers.raw.orders_text)
-        target = f"{prefix}bronze.orders_quarantine"
+    for name, table in BRONZE.items():
+        good, aside = quality.split_by_schema(layers.raw.text(table), table)
+        target = f"{prefix}bronze.{table}_quarantine"
         counts[target] = catalog.overwrite_table(aside, target, fmt=fmt)
-        layers.substitute("orders_raw", good)
+        layers.substitute(name, good)
     for schema, names in (("bronze", tuple(BRONZE)), ("silver", SILVER), ("gold", GOLD)):
         catalog.create_schema(spark, f"{prefix}{schema}")
         for name in names:

@@ -24,7 +24,6 @@ from ..operators import (
     questions,
     scalars,
 )
-from ..session import BYTES_PER_SHUFFLE_PARTITION, MAX_SHUFFLE_PARTITIONS, plan_bytes
 from ..sources.catalog import layer_counts
 from ..sources.files import file_manifest
 from ..streaming import orders as streams
@@ -38,10 +37,6 @@ SLICE = {
     "dates": (date(2024, 1, 9), date(2024, 1, 25)),
     "hours": (17, 22),
 }
-# Short training runs for the registered queries; ml.GBT_PARAMS and ml.RF_PARAMS are the full ones.
-QUICK_GBT = {"maxIter": 10}
-QUICK_RF = {"numTrees": 20}
-QUICK_COMPARE = {"numTrees": 5, "maxDepth": 6}
 
 
 def _keys(df: DataFrame, *columns: str) -> DataFrame:
@@ -60,14 +55,14 @@ def _training_rows(t: Layers) -> DataFrame:
 
 def _gbt_model(t: Layers):
     return t.keep(
-        "gbt", lambda: ml.fit(ml.gbt(**QUICK_GBT), ml.split(_training_rows(t))[0], ml.FEATURES)
+        "gbt", lambda: ml.fit(ml.gbt(), ml.split(_training_rows(t))[0], ml.FEATURES)
     )
 
 
 def _rf_model(t: Layers):
     return t.keep(
         "rf",
-        lambda: ml.fit(ml.random_forest(**QUICK_RF), ml.split(_training_rows(t))[0], ml.FEATURES),
+        lambda: ml.fit(ml.random_forest(), ml.split(_training_rows(t))[0], ml.FEATURES),
     )
 
 
@@ -87,18 +82,25 @@ def _compare(t: Layers) -> DataFrame:
         "training_rows_prep",
         lambda: ml.with_prep_time(_training_rows(t), t.table("restaurants_clean")),
     )
+    train, test = ml.split(rows)
     sets = {
         "calendar": ml.CALENDAR_FEATURES,
         "calendar and signals": ml.SIGNAL_FEATURES,
-        "all": ml.FEATURES,
         "starter": ml.STARTER_FEATURES,
     }
-    return ml.compare_models(*ml.split(rows), sets, **QUICK_COMPARE)
+    models = {
+        ("forest", name): t.keep(f"rf {name}", lambda c=columns: ml.fit(ml.random_forest(), train, c))
+        for name, columns in sets.items()
+    }
+    models |= {("forest", "all"): _rf_model(t), ("boosted", "all"): _gbt_model(t)}
+    return ml.compare_models(models, test)
 
 
 def _next_hour(t: Layers) -> DataFrame:
     rows = t.remember("next_hour_rows", lambda: ml.next_hour_rows(t.table("zone_demand_hourly")))
-    return ml.next_hour_predictions(rows, **QUICK_GBT)
+    return ml.next_hour_predictions(
+        rows, t.keep("next hour", lambda: ml.next_hour_model(rows))
+    )
 
 
 def _wma(t: Layers) -> DataFrame:
@@ -119,29 +121,21 @@ def _stream(t: Layers, name: str, make, transform=None) -> DataFrame:
     batches with ``files_per_batch``.
     """
     out, checkpoint = t.folder(name), t.folder(f"{name}-checkpoint")
-    if out is None:
-        raise RuntimeError("streams need a shared folder: set spark.checkpoint.dir")
     bronze = t.table("orders_raw")
     spark = t.spark
-    size = plan_bytes(bronze) or 0
-    width = min(
-        MAX_SHUFFLE_PARTITIONS,
-        max(spark.sparkContext.defaultParallelism, size // BYTES_PER_SHUFFLE_PARTITION),
-    )
     source = streams.read_orders(spark, t.path("orders_raw"), bronze.schema)
     result = make(source)
-    with streams.state_partitions(spark, width):
-        if transform is None:
-            streams.run_to_files(result, out, checkpoint)
-            return spark.read.schema(result.schema).parquet(out)
-        streams.run_batches(result, transform, out, checkpoint)
+    if transform is None:
+        streams.run_to_files(result, out, checkpoint)
+        return spark.read.schema(result.schema).parquet(out)
+    streams.run_batches(result, transform, out, checkpoint)
     schema = transform(spark.createDataFrame([], result.schema)).schema
     return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(out)
 
 
 def _stream_hourly(t: Layers) -> DataFrame:
     master = t.table("restaurants_clean")
-    return _stream(t, "stream_hourly", lambda s: streams.hourly_demand(s, master))
+    return _stream(t, "stream_hourly", lambda s: streams.hourly_demand(streams.dedup(s), master))
 
 
 def _stream_dedup(t: Layers) -> DataFrame:
@@ -151,7 +145,7 @@ def _stream_dedup(t: Layers) -> DataFrame:
 
 def _stream_velocity(t: Layers) -> DataFrame:
     master = t.table("restaurants_clean")
-    return _stream(t, "stream_velocity", lambda s: streams.velocity(s, master))
+    return _stream(t, "stream_velocity", lambda s: streams.velocity(streams.dedup(s), master))
 
 
 def _stream_zone_status(t: Layers) -> DataFrame:
@@ -159,7 +153,7 @@ def _stream_zone_status(t: Layers) -> DataFrame:
     return _stream(
         t,
         "stream_zone_status",
-        lambda s: streams.hourly_demand(s, master),
+        lambda s: streams.hourly_demand(streams.dedup(s), master),
         lambda batch: streams.zone_status(batch, supply),
     )
 

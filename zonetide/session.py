@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
-# Runtime settings the operators count on.  Everything else is the cluster's choice.
+# Runtime settings the operators count on.  Everything else, widths of shuffles and scans
+# included, is the cluster's choice and adaptive execution's.
 RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -17,14 +21,6 @@ RUNTIME = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
-MB = 1024 * 1024
-BYTES_PER_SHUFFLE_PARTITION = 128 * MB
-# Beyond these widths the bookkeeping of tasks and shuffle blocks costs more than
-# larger partitions do; those spill to disk.
-MAX_SHUFFLE_PARTITIONS = 50_000
-MAX_SCAN_TASKS = 200_000
-MAX_SCAN_BYTES = 1024 * MB
-
 _local_dirs: dict[str, str] = {}
 
 
@@ -35,53 +31,26 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def plan_bytes(df: DataFrame) -> int | None:
-    """Input size as the optimizer estimates it, without running a job."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # not available on every client
-        return None
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark would broadcast ``df``: its estimated size is below the threshold."""
-    try:
-        conf = df.sparkSession._jsparkSession.sessionState().conf()
-        limit = int(conf.autoBroadcastJoinThreshold())
-    except Exception:  # not available on every client
-        return False
-    size = plan_bytes(df)
-    return size is not None and size <= limit
+def shared_dir(spark: SparkSession) -> str:
+    """Folder that driver and executors share: ``spark.checkpoint.dir``.
 
-
-def size_for(spark: SparkSession, fact: DataFrame) -> None:
-    """Widen shuffles and, for very large inputs, scan splits to suit ``fact``.
-
-    Settings are only raised.  Adaptive execution merges partitions that turn out small.
-    """
-    size = plan_bytes(fact)
-    if size is None:
-        return
-    want = min(MAX_SHUFFLE_PARTITIONS, size // BYTES_PER_SHUFFLE_PARTITION + 1)
-    if want > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set("spark.sql.shuffle.partitions", str(want))
-    split = min(MAX_SCAN_BYTES, size // MAX_SCAN_TASKS)
-    if split > 128 * MB:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
-
-
-def shared_dir(spark: SparkSession) -> str | None:
-    """Folder all executors can reach, or None.
-
-    The cluster names it in ``spark.checkpoint.dir``.  Only a local master, where
-    driver and executors are one process, falls back to a fresh temporary folder.
+    Intermediate tables are always written.  Where the setting is missing, a plain local
+    master, whose driver and executors are one process, gets a folder that goes when the
+    process ends; any other master is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        return None
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _local_dirs:
         _local_dirs[app] = tempfile.mkdtemp(prefix="zonetide-")
+        atexit.register(shutil.rmtree, _local_dirs[app], ignore_errors=True)
     return _local_dirs[app]
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder in whatever store it is."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

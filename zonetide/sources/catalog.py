@@ -9,26 +9,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TABLE_COMMENTS = {
-    "zone_demand_hourly": "Orders per zone and hour with weather and local events. "
-    "For trends, zone comparison and time patterns.",
-    "demand_supply_ratio": "Orders against active partners per zone and hour, with zone "
-    "status, recommended surge and partner rebalancing.",
-    "customer_360": "One row per customer: order history, spend, habits and segment.",
-    "partner_availability": "Delivery partners per zone by state, with ratings and experience.",
-    "restaurant_performance": "One row per restaurant: volume, revenue, delivery time, "
-    "cancellations and reach.",
-    "demand_predictions": "Model forecast per zone for one scenario (rainy event evening at "
-    "20:00) with status, surge and partners needed.",
+    "zone_demand_hourly": "Key: order_date, order_hour, zone, is_weekend. Built from silver.orders_clean; "
+    "weather and event columns hold defaults where that hour or day has none.",
+    "demand_supply_ratio": "Key: order_date, order_hour, zone, is_weekend. zone_demand_hourly with "
+    "partner_availability; ratio columns are null without active partners.",
+    "customer_360": "Key: customer_id, null included. Built from silver.orders_clean; money in INR, days in calendar days.",
+    "partner_availability": "Key: zone. Built from silver.delivery_partners_clean; counts of partners, not of shifts.",
+    "restaurant_performance": "Key: restaurant_id. Restaurants of the master with at least one order; money in INR.",
+    "demand_predictions": "Key: zone. Output of the trained model for hour 20 with rain and an event; "
+    "rounded half-even; missing partners count as 0.",
 }
 
 COLUMN_COMMENTS = {
-    ("demand_supply_ratio", "demand_supply_ratio"): "Orders per active partner in the hour.",
-    ("demand_supply_ratio", "recommended_surge"): "Surge multiplier from the ratio; 1.0 is none.",
-    ("demand_supply_ratio", "partner_rebalance_count"): "Partners to add (+) or release (-).",
-    ("demand_supply_ratio", "zone_status"): "CRITICAL above 3, STRESSED above 2, MODERATE "
-    "above 1, otherwise HEALTHY.",
-    ("zone_demand_hourly", "cancellation_rate_pct"): "Share of orders cancelled, in percent.",
-    ("zone_demand_hourly", "avg_eta_overshoot"): "Minutes later than promised; positive is late.",
+    ("demand_supply_ratio", "demand_supply_ratio"): "total_orders / active_partners, two digits; null if no partner is active.",
+    ("demand_supply_ratio", "recommended_surge"): "Factor on the fee, 1.0 to 3.0, from the unrounded ratio.",
+    ("demand_supply_ratio", "partner_rebalance_count"): "Partners, signed: above 0 missing, below 0 spare, 0 between ratios 0.5 and 2.5.",
+    ("demand_supply_ratio", "zone_status"): "Text by unrounded ratio: > 3, > 2, > 1, rest (null ratio included).",
+    ("zone_demand_hourly", "cancellation_rate_pct"): "100 * total_cancellations / total_orders, one digit.",
+    ("zone_demand_hourly", "avg_eta_overshoot"): "Mean of actual minus estimated minutes over delivered orders, one digit.",
 }
 
 
@@ -65,10 +63,15 @@ def overwrite_table(
 
 
 def create_or_replace(df: DataFrame, name: str) -> None:
-    """Replace a table in one step where the catalog can, otherwise overwrite it."""
+    """Replace a table in one step where the catalog can, otherwise overwrite it.
+
+    Only the error that says so counts as a catalog that cannot.
+    """
     try:
         df.writeTo(name).createOrReplace()
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "UNSUPPORTED_FEATURE.TABLE_OPERATION":
+            raise
         overwrite_table(df, name)
 
 

@@ -58,9 +58,9 @@ class LandingFiles:
     def orders(self) -> DataFrame:
         return self.read("orders")
 
-    @cached_property
-    def orders_text(self) -> DataFrame:
-        return read_raw_text(self.spark, f"{self.folder}/orders.csv", "orders")
+    def text(self, table: str) -> DataFrame:
+        """An input with every column as text, for ``quality.split_by_schema``."""
+        return read_raw_text(self.spark, f"{self.folder}/{table}.csv", table)
 
     @cached_property
     def restaurants(self) -> DataFrame:

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from .schemas import ARRIVAL, DELIVERY_PARTNERS, LOCAL_EVENTS, ORDERS, RESTAURANTS, WEATHER_HOURLY
 
-# Weather covers 10 of the 25 zones, so that joins meet zones without weather.
-WEATHER_ZONES = 10
+# Every zone has weather in two hours of five, so that joins meet hours without weather.
+WEATHER_HOURS = "(n.n_nationkey + hour(timestamp)) % 5 < 2"
 
 
 def _tenth(number: str) -> str:
@@ -78,11 +78,10 @@ class SampleData:
         ).distinct()
         covered = (
             self.read("nation")
-            .filter(F.col("n_nationkey") < WEATHER_ZONES)
             .agg(F.collect_list(F.struct("n_nationkey", "n_name")))
             .scalar()
         )
-        x = hours.select("timestamp", F.explode(covered).alias("n")).selectExpr(
+        x = hours.select("timestamp", F.explode(covered).alias("n")).filter(WEATHER_HOURS).selectExpr(
             "timestamp",
             "n.n_name AS zone",
             "CAST(n.n_nationkey * 7 + hour(timestamp) * 3 + day(timestamp) * 5 AS int) AS x",
@@ -153,7 +152,8 @@ class SampleData:
             "t AS order_timestamp",
             "CASE WHEN event_type IN ('error', 'signup') THEN NULL ELSE t + interval '1' minute "
             "* CAST(15 + h % 25 + event_id % 17 AS int) END AS delivery_timestamp",
-            "CASE WHEN event_id % 100 = 7 THEN NULL ELSE value END AS order_value_inr",
+            "CASE WHEN event_id % 100 = 7 THEN NULL ELSE value + CAST(event_id % 9 AS double) "
+            "/ CAST(1000 AS double) END AS order_value_inr",
             "CAST((h % 5) * 5 AS double) / CAST(2 AS double) AS discount_inr",
             "CASE h % 5 WHEN 0 THEN 'UPI' WHEN 1 THEN 'Credit Card' WHEN 2 THEN 'Debit Card' "
             "WHEN 3 THEN 'Cash' ELSE 'Wallet' END AS payment_mode",
@@ -173,11 +173,19 @@ class SampleData:
             "explode(CASE WHEN event_id % 200 = 3 THEN array(0, 1) ELSE array(0) END) AS copy",
         )
         shifted = F.expr(
-            f"CASE WHEN copy = 1 AND {ARRIVAL} % 400 <> 3 "
+            # a later copy stays in the ten minutes of the first, so that windows agree on it
+            f"CASE WHEN copy = 1 AND {ARRIVAL} % 400 <> 3 AND minute(order_timestamp) % 10 < 5 "
             "THEN order_timestamp + interval '5' minute ELSE order_timestamp END"
         )
         return once.withColumn("order_timestamp", shifted).select(*ORDERS.names, ARRIVAL)
 
+    def text(self, table: str) -> DataFrame:
+        """An input with every column as text; orders have some broken cells."""
+        if table == "orders":
+            return self.orders_text
+        df = getattr(self, table)
+        return df.select(*[F.col(c).cast("string") for c in df.columns])
+
     @cached_property
     def orders_text(self) -> DataFrame:
         """Orders as unparsed text with some cells broken, as a bad export has them."""

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..functions import rules
-from ..functions.measures import flag, scaled_sum, unscale
+from ..functions.measures import exact_sum, flag
 from ..operators.cleaning import backfill_zone
 
 EVENT_TIME = "order_timestamp"
@@ -64,7 +64,7 @@ def _windowed(orders: DataFrame, *window: str) -> DataFrame:
     counted = orders.groupBy(w.alias("w"), "zone").agg(
         F.count("order_id").alias("total_orders"),
         F.sum(flag(F.col("status") == "cancelled")).alias("total_cancellations"),
-        unscale(scaled_sum("order_value_inr")).alias("order_value"),
+        exact_sum("order_value_inr").alias("order_value"),
     )
     return counted.select(
         "zone",
@@ -106,18 +106,19 @@ def zone_status(hourly: DataFrame, availability: DataFrame) -> DataFrame:
             F.round(r, 2).alias("demand_supply_ratio"),
             rules.zone_status(r).alias("zone_status"),
             rules.recommended_surge(r).alias("recommended_surge"),
-            flag(F.col("total_orders") > 2 * F.col("active_partners")).alias("is_alert"),
+            flag(F.col("total_orders") > 2 * F.coalesce("active_partners", F.lit(0))).alias(
+                "is_alert"
+            ),
         )
     )
 
 
 @contextmanager
-def state_partitions(spark: SparkSession, n: int | None) -> Iterator[None]:
+def state_partitions(spark: SparkSession, n: int) -> Iterator[None]:
     """Shuffle width of streams started inside; a stream keeps it for its lifetime."""
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    if n:
-        spark.conf.set(key, str(n))
+    spark.conf.set(key, str(n))
     try:
         yield
     finally:
