@@ -64,7 +64,11 @@ def recommended_surge(r: str | Column) -> Column:
 
 
 def rebalance_count(r: str | Column, orders: str | Column, partners: str | Column) -> Column:
-    """Partners to bring in (positive) or send out (negative)."""
+    """Partners to bring in (positive) or send out (negative).
+
+    0.3 and 0.2 partners each are written in tenths: products with the doubles 0.3 and
+    0.2 can fall on the wrong side of a half.
+    """
     r, orders, partners = col(r), col(orders), col(partners)
     bring = F.round(orders / 2 - partners * 3 / 10).cast("int")
     send = F.round(partners * 2 / 10).cast("int")

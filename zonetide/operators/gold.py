@@ -89,10 +89,17 @@ def daily_events(events: DataFrame) -> DataFrame:
 
 
 def zone_demand_hourly(
-    orders: DataFrame, weather: DataFrame, events: DataFrame, *, fan_out: bool = False
+    orders: DataFrame,
+    weather: DataFrame,
+    events: DataFrame,
+    *,
+    fan_out: bool = False,
+    hourly: DataFrame | None = None,
 ) -> DataFrame:
     """Hourly demand per zone with weather and events.
 
+    ``hourly`` are the ``hourly_orders`` of the orders, where they are written already.
+
     Weather and events are joined to the aggregate, not to the orders.  Joined to the
     orders they repeat every order of a group equally often, which multiplies sums and
     counts and leaves averages, ratios, maxima and distinct counts alone.  ``fan_out``
@@ -100,7 +107,7 @@ def zone_demand_hourly(
     the strongest event of the day.
     """
     hourly = (
-        hourly_orders(orders)
+        (hourly_orders(orders) if hourly is None else hourly)
         .join(hourly_weather(weather), ["order_date", "order_hour", "zone"], "left")
         .join(daily_events(events), ["order_date", "zone"], "left")
     )

@@ -277,8 +277,9 @@ SELECT order_id, CAST(estimated_eta_mins AS DOUBLE) / 7 AS eta_over_7, -estimate
        order_value_inr * 2 - discount_inr AS double_net, estimated_eta_mins + actual_delivery_mins AS eta_sum
 FROM orders_clean""",
     # analytic tables
-    "zone_demand_hourly": "SELECT * FROM demand_literal",
+    "zone_demand_hourly": "SELECT * FROM demand_exact",
     "zone_demand_hourly_exact": "SELECT * FROM demand_exact",
+    "zone_demand_hourly_literal": "SELECT * FROM demand_literal",
     "zone_demand_basic": f"""
 SELECT order_date, order_hour, zone, COUNT(order_id) AS total_orders, {money_avg('order_value_inr')} AS avg_order_value,
        {int_avg('actual_delivery_mins')} AS avg_delivery_mins, {big('SUM(is_cancelled)')} AS total_cancellations,

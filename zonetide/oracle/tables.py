@@ -153,9 +153,9 @@ SILVER = {
          CAST(extract(hour FROM order_timestamp) AS INTEGER) AS order_hour,
          CAST(dayofweek(order_timestamp) + 1 AS INTEGER) AS day_of_week,
          CASE WHEN dayofweek(order_timestamp) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend,
-         CASE WHEN extract(hour FROM order_timestamp) IN (11, 12, 13, 14) THEN 1 ELSE 0 END AS is_lunch_hour,
-         CASE WHEN extract(hour FROM order_timestamp) IN (19, 20, 21, 22) THEN 1 ELSE 0 END AS is_dinner_hour,
-         CASE WHEN extract(hour FROM order_timestamp) IN (23, 0, 1, 2, 3, 4, 5) THEN 1 ELSE 0 END AS is_late_night,
+         CASE WHEN extract(hour FROM order_timestamp) BETWEEN 11 AND 14 THEN 1 ELSE 0 END AS is_lunch_hour,
+         CASE WHEN extract(hour FROM order_timestamp) BETWEEN 19 AND 22 THEN 1 ELSE 0 END AS is_dinner_hour,
+         CASE WHEN extract(hour FROM order_timestamp) >= 23 OR extract(hour FROM order_timestamp) <= 5 THEN 1 ELSE 0 END AS is_late_night,
          actual_delivery_mins - estimated_eta_mins AS eta_overshoot_mins,
          CASE status WHEN 'cancelled' THEN 1 ELSE 0 END AS is_cancelled,
          COALESCE(order_value_inr, 0) - COALESCE(discount_inr, 0) AS net_order_value
@@ -165,7 +165,7 @@ SILVER = {
     "weather_clean": """
   SELECT *, CAST("timestamp" AS DATE) AS weather_date,
          CAST(extract(hour FROM "timestamp") AS INTEGER) AS weather_hour,
-         CASE WHEN condition LIKE '%Rain' OR condition IN ('Thunderstorm', 'Drizzle') THEN 1 ELSE 0 END AS is_rainy
+         CASE WHEN condition IN ('Light Rain', 'Heavy Rain', 'Thunderstorm', 'Drizzle') THEN 1 ELSE 0 END AS is_rainy
   FROM weather_hourly_raw""",
     "local_events_clean": """
   SELECT * EXCLUDE (piece), trim(piece) AS zone

@@ -108,11 +108,14 @@ class Layers:
         return cleaning.clean_local_events(self._bronze("local_events_raw"))
 
     def _demand(self, fan_out: bool):
+        # the one aggregation of all orders serves both forms
+        orders = self.table("orders_clean")
         return gold.zone_demand_hourly(
-            self.table("orders_clean"),
+            orders,
             self.table("weather_clean"),
             self.table("local_events_clean"),
             fan_out=fan_out,
+            hourly=self.remember("hourly_orders", lambda: gold.hourly_orders(orders)),
         )
 
     def _zone_demand_hourly(self):

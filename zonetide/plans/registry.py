@@ -53,7 +53,7 @@ def _training_rows(t: Layers) -> DataFrame:
     )
 
 
-def _gbt_model(t: Layers):
+def gbt_model(t: Layers):
     return t.keep(
         "gbt", lambda: ml.fit(ml.gbt(), ml.split(_training_rows(t))[0], ml.FEATURES)
     )
@@ -66,14 +66,14 @@ def _rf_model(t: Layers):
     )
 
 
-def _metrics(t: Layers, model) -> DataFrame:
+def metrics(t: Layers, model) -> DataFrame:
     return ml.regression_metrics(ml.score(model, ml.split(_training_rows(t))[1]))
 
 
-def _predictions(t: Layers) -> DataFrame:
+def demand_predictions(t: Layers) -> DataFrame:
     return t.remember(
         "demand_predictions",
-        lambda: ml.demand_predictions(ml.scenario_scores(_gbt_model(t), _training_rows(t))),
+        lambda: ml.demand_predictions(ml.scenario_scores(gbt_model(t), _training_rows(t))),
     )
 
 
@@ -92,7 +92,7 @@ def _compare(t: Layers) -> DataFrame:
         ("forest", name): t.keep(f"rf {name}", lambda c=columns: ml.fit(ml.random_forest(), train, c))
         for name, columns in sets.items()
     }
-    models |= {("forest", "all"): _rf_model(t), ("boosted", "all"): _gbt_model(t)}
+    models |= {("forest", "all"): _rf_model(t), ("boosted", "all"): gbt_model(t)}
     return ml.compare_models(models, test)
 
 
@@ -287,8 +287,9 @@ PARTS: dict[str, Query] = {
 # -- analytic tables ------------------------------------------------------------------
 
 TABLES: dict[str, Query] = {
-    "zone_demand_hourly": lambda t: t.plan("zone_demand_hourly_literal"),
+    "zone_demand_hourly": lambda t: t.plan("zone_demand_hourly"),
     "zone_demand_hourly_exact": lambda t: t.plan("zone_demand_hourly"),
+    "zone_demand_hourly_literal": lambda t: t.plan("zone_demand_hourly_literal"),
     "zone_demand_basic": lambda t: gold.zone_demand_basic(t.table("orders_clean")),
     "partner_availability": lambda t: t.plan("partner_availability"),
     "demand_supply_ratio": lambda t: t.plan("demand_supply_ratio"),
@@ -332,7 +333,7 @@ DASHBOARDS: dict[str, Query] = {
         t.table("restaurant_performance")
     ),
     "q_customer_segments": lambda t: dashboards.customer_segments(t.table("customer_360")),
-    "q_predictions": lambda t: dashboards.tonight_forecast(_predictions(t)),
+    "q_predictions": lambda t: dashboards.tonight_forecast(demand_predictions(t)),
     "q_daily_cancellations": lambda t: dashboards.daily_cancellations(
         t.table("zone_demand_hourly")
     ),
@@ -382,16 +383,16 @@ FORECASTS: dict[str, Query] = {
         ml.features(t.table("zone_demand_hourly"), t.table("partner_availability"))
     ),
     "regression_metrics": lambda t: ml.regression_metrics(_wma(t), prediction="forecast"),
-    "ml_gbt_metrics": lambda t: _metrics(t, _gbt_model(t)),
-    "ml_rf_metrics": lambda t: _metrics(t, _rf_model(t)),
-    "ml_feature_importance": lambda t: ml.feature_importance(t.spark, _gbt_model(t)),
-    "ml_scenario_predictions": lambda t: ml.scenario_scores(_gbt_model(t), _training_rows(t)),
+    "ml_gbt_metrics": lambda t: metrics(t, gbt_model(t)),
+    "ml_rf_metrics": lambda t: metrics(t, _rf_model(t)),
+    "ml_feature_importance": lambda t: ml.feature_importance(t.spark, gbt_model(t)),
+    "ml_scenario_predictions": lambda t: ml.scenario_scores(gbt_model(t), _training_rows(t)),
     "ml_pred_vs_actual": lambda t: ml.predicted_vs_actual(
-        _gbt_model(t), ml.split(_training_rows(t))[1]
+        gbt_model(t), ml.split(_training_rows(t))[1]
     ),
     "ml_model_comparison": _compare,
     "ml_next_hour": _next_hour,
-    "demand_predictions": _predictions,
+    "demand_predictions": demand_predictions,
 }
 
 # -- decision rules and operations --------------------------------------------------------
@@ -446,7 +447,7 @@ QUESTIONS: dict[str, Query] = {
     "nq_power_users": lambda t: questions.power_users(t.table("customer_360")),
     "nq_segment_spend": lambda t: questions.segment_spend(t.table("customer_360")),
     "nq_segment_cancel": lambda t: questions.segment_cancellations(t.table("customer_360")),
-    "nq_pred_rebalance": lambda t: questions.predicted_rebalancing(_predictions(t)),
+    "nq_pred_rebalance": lambda t: questions.predicted_rebalancing(demand_predictions(t)),
     "nq_pred_vs_actual": lambda t: forecast.predicted_vs_actual(_wma(t)),
     "in_match_day_lift": lambda t: insights.match_day_lift(t.table("zone_demand_hourly")),
     "in_rain_dinner_cancel": lambda t: insights.rain_dinner_cancellations(t.table("orders_clean")),
