@@ -1,8 +1,9 @@
 """Toxicity grades by cumulative-link ordinal regression on sparse text features.
 
 Features are a text's words and the beginnings of its words (4 to 6 bytes, so that
-inflected and compound forms of a stem meet), as 64-bit hashes.  Of all features in the
-labelled sample the ``FEATURES`` with the strongest association with toxic rows are kept.
+inflected and compound forms of a stem meet), as 64-bit hashes.  Of the features whose
+rows in the labelled sample are toxic for the most part (``PURITY``), the ``FEATURES`` with
+the strongest association are kept; weaker ones would add up in very long clean texts.
 
 Grades run from 0 (clean) to 3.  The labels only say toxic or not; a toxic row's grade is
 the third that it belongs to by the amount of features that are (almost) never
@@ -38,9 +39,11 @@ PER_CLASS = 3000
 FEATURES = 4000
 PREFIXES = (4, 5, 6)
 GRADES = 3
-LEAST_ROWS = 4
-PENALTY = 2e-4
-STEPS = 400
+#: A feature is in this many different toxic texts, and in this share of them, at least.
+LEAST_ROWS, LEAST_SHARE = 4, 0.01
+PURITY = 0.8
+PENALTY = 5e-5
+STEPS = 1000
 
 
 def signed(value: int) -> int:
@@ -111,8 +114,14 @@ def fit_grades(rows: list[dict[int, float]], grades: np.ndarray, features: int)
     weight = (0.5 / np.maximum(np.bincount(kind, minlength=2), 1))[kind]
     weights, thresholds = np.zeros(features), np.linspace(0, 1, GRADES)
     point, bars, pace = weights, thresholds, 1.0
-    reach = np.bincount(at, value**2, minlength=len(rows))
-    step = 4 / max((reach * weight).sum() + GRADES, 1.0)
+    # the steepest curvature, by power iteration, sets the step
+    along, steep = np.ones(features), 1.0
+    for _ in range(30):
+        along = along / max(np.linalg.norm(along), 1e-12)
+        shown = np.bincount(at, value * along[column], minlength=len(rows)) * weight
+        along = np.bincount(column, value * shown[at], minlength=features)
+        steep = np.linalg.norm(along)
+    step = 4 / (1.2 * GRADES * steep + GRADES)
     for _ in range(STEPS):
         scores = np.bincount(at, value * point[column], minlength=len(rows))
         error = (_sigmoid(scores[:, None] - bars) - above) * weight[:, None]
@@ -131,16 +140,19 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     ids = labelled.sample_ids(labels.select("doc_id", "toxic"), "toxic", PER_CLASS)
     texts = labelled.sample_texts(docs, ids).select("label", "text")
     schema = "label int, features array<long>, amounts array<long>"
-    sample = common.stored(common.map_batches(texts, _features, schema), "features")
+    # copies of one text say nothing about its words
+    sample = common.map_batches(texts, _features, schema).dropDuplicates(["label", "features"])
+    sample = common.stored(sample, "features")
     rows, toxic = sample.agg(F.count(F.lit(1)), F.sum("label")).first()
     if not toxic or toxic == rows:
         return None
-    # chi-squared of presence against the label, for features that lean to toxic rows
+    # chi-squared of presence against the label, for features of toxic rows
     counts = sample.select("label", F.explode("features").alias("feature")).groupBy("feature")
-    counts = counts.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("bad")).where(F.col("n") >= LEAST_ROWS)
+    counts = counts.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("bad")).where(F.col("bad") >= max(LEAST_ROWS, LEAST_SHARE * toxic))
     lean = F.col("bad") / F.col("n") - toxic / rows
     strength = F.col("n") * lean * lean / (1 - F.col("n") / (rows + 1))
-    kept = counts.where(lean > 0).orderBy(strength.desc(), "feature").limit(FEATURES)
+    pure = (lean > 0) & (F.col("bad") >= PURITY * F.col("n"))
+    kept = counts.where(pure).orderBy(strength.desc(), "feature").limit(FEATURES)
     # features in toxic rows only: they tell how much of it there is
     kept = [(r["feature"], r["n"] <= r["bad"] * 1.02) for r in kept.collect()]
     index = {f: i for i, (f, _) in enumerate(kept)}
