@@ -59,7 +59,7 @@ def gbt_model(t: Layers):
     )
 
 
-def _rf_model(t: Layers):
+def rf_model(t: Layers):
     return t.keep(
         "rf",
         lambda: ml.fit(ml.random_forest(), ml.split(_training_rows(t))[0], ml.FEATURES),
@@ -92,7 +92,7 @@ def _compare(t: Layers) -> DataFrame:
         ("forest", name): t.keep(f"rf {name}", lambda c=columns: ml.fit(ml.random_forest(), train, c))
         for name, columns in sets.items()
     }
-    models |= {("forest", "all"): _rf_model(t), ("boosted", "all"): gbt_model(t)}
+    models |= {("forest", "all"): rf_model(t), ("boosted", "all"): gbt_model(t)}
     return ml.compare_models(models, test)
 
 
@@ -384,7 +384,7 @@ FORECASTS: dict[str, Query] = {
     ),
     "regression_metrics": lambda t: ml.regression_metrics(_wma(t), prediction="forecast"),
     "ml_gbt_metrics": lambda t: metrics(t, gbt_model(t)),
-    "ml_rf_metrics": lambda t: metrics(t, _rf_model(t)),
+    "ml_rf_metrics": lambda t: metrics(t, rf_model(t)),
     "ml_feature_importance": lambda t: ml.feature_importance(t.spark, gbt_model(t)),
     "ml_scenario_predictions": lambda t: ml.scenario_scores(gbt_model(t), _training_rows(t)),
     "ml_pred_vs_actual": lambda t: ml.predicted_vs_actual(
