@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -168,8 +168,7 @@ def components(edges: DataFrame) -> DataFrame:
     that is logarithmic in the longest path.
     """
     low, high = F.least("a", "b").alias("v"), F.greatest("a", "b").alias("u")
-    now = stored(edges.where("a <> b").select(high, low).distinct(), "edges")
-    mark = _mark(now)
+    now, mark = _marked(edges.where("a <> b").select(high, low).distinct())
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -177,8 +176,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = large.select(F.col("far").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
         small = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(small, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
-        new = stored(moved.unionByName(small.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        new_mark = _mark(new)
+        new, new_mark = _marked(moved.unionByName(small.select("u", F.col("m").alias("v"))).distinct())
         drop_stored(now)
         now = new
         if new_mark == mark:
@@ -188,5 +186,9 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _marked(edges: DataFrame) -> tuple[DataFrame, dict]:
+    """The written edges, with a count and a digest taken while they were written."""
+    seen = Observation()
+    digest = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).cast("string")
+    written = stored(edges.observe(seen, F.count(F.lit(1)).alias("n"), digest.alias("digest")), "edges")
+    return written, seen.get

@@ -12,7 +12,7 @@ sample is kept back to choose the temperature that makes its probabilities fit,
 classes weighed as in all training labels.
 
 Fitting uses at most ``PER_CLASS`` labelled rows of each class with at most ``MAX_TOKENS``
-tokens each, in one task; scoring covers whole texts.  The model has a fixed size (16 MB).
+tokens each, in one task; scoring covers whole texts.  The model has a fixed size (8 MB).
 
 Defined results: null and empty texts get the score of a text without tokens; labels of one
 class only give that class's score, 1 or 0, to all, no labels give 1; repeated rows get
@@ -100,7 +100,7 @@ def word_vectors(texts: list[np.ndarray]) -> np.ndarray:
                 total[own[first]] += np.add.reduceat(vectors, first, axis=0)
     unseen = ~total.any(axis=1)
     total[unseen] = index[unseen]
-    return total / np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-9)
+    return (total / np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-9)).astype(np.float16)
 
 
 def pooled(found: np.ndarray, vectors: np.ndarray) -> np.ndarray:
@@ -108,7 +108,7 @@ def pooled(found: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     if not len(found):
         return np.zeros(2 * DIMENSIONS + 1, np.float32)
     which, counts = np.unique(found, return_counts=True)
-    own, weight = vectors[which], (counts / len(found)).astype(np.float32)
+    own, weight = vectors[which].astype(np.float32), (counts / len(found)).astype(np.float32)
     mean = weight @ own
     spread = np.sqrt(np.maximum(weight @ (own * own) - mean * mean, 0))
     return np.concatenate([mean, spread, [len(which) / len(found)]]).astype(np.float32)
