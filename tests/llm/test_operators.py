@@ -6,6 +6,7 @@ from collections import Counter
 
 import compare
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
@@ -390,6 +391,50 @@ def test_lm_scores_whole_texts_alike_in_any_company():
         assert network.score([text])[0] == pytest.approx(together[i], rel=1e-5)
 
 
+def test_lm_learns_from_every_word_with_the_state_carried_on(monkeypatch):
+    class Shared:
+        def __init__(self, value):
+            self.value = value
+
+    classes = toy_classes()
+    network = lm.Network(classes)
+    monkeypatch.setattr(lm, "STRETCH", 10 * lm.WINDOW)
+    own = [i for i in range(1, 40) if not lm.held_out(i)]
+    long = own[0]
+    texts = {i: [f"w{1 + (i * j) % 950}" for j in range(n)] for i, n in zip(own, (20_000, 1, 0, 240, 239, 100), strict=False)}
+    batch = pa.record_batch([pa.array(list(texts)), pa.array([" ".join(t) for t in texts.values()])], names=["doc_id", "text"])
+    (rows,) = lm._stretches(Shared(classes), Shared(lm._packed(network.w)))([batch])
+    found = lm._read_stretches([rows])
+    assert max(len(ids) for ids, _ in found) == lm.STRETCH + 1
+    ids_of = lm.Ids(classes)
+    want = Counter(w for t in texts.values() for w in ids_of.of([x.encode() for x in t]).tolist())
+    assert Counter(w for ids, _ in found for w in ids[1:].tolist()) == want
+
+    ends = {}  # the state of the long text before each of its stretches
+    whole = np.concatenate([[ids_of[lm.END]], ids_of.of([x.encode() for x in texts[long]])])
+    h = np.zeros((1, lm.HIDDEN), np.float32)
+    for at in range(len(whole) - 1):
+        if at % lm.STRETCH == 0:
+            ends[at] = h[0]
+        h, _ = network.step(classes.inputs(whole[at : at + 1]), h)
+    assert np.allclose(network.states(whole), list(ends.values()), atol=1e-6)
+
+    seen, before = Counter(), []
+    monkeypatch.setattr(lm, "BATCH", 3)
+    inner = lm.Network.gradients
+
+    def watched(self, runs, h):
+        seen.update(runs[:, 1:][runs[:, 1:] >= 0].tolist())
+        out = inner(self, runs, h)
+        before.append((len(h), np.abs(h).sum(axis=1), out[1]))
+        return out
+
+    monkeypatch.setattr(lm.Network, "gradients", watched)
+    network.train(found, 1, 1e-3, 1)
+    assert seen == want
+    assert all(n <= 3 for n, _, _ in before) and sum((a == 0).sum() for _, a, _ in before) == len(texts)
+
+
 def test_lm_of_odd_rows(spark, docs, none):
     rows = lm.score(docs).collect()
     assert len(rows) == len(EXAMPLES)

@@ -6,11 +6,12 @@ the class, both on the recurrent state.  Frequent words beyond form ``MIDDLE`` c
 about equal weight and all others one class, whose words share the class's probability by
 their counts, so that the model is a distribution over all words and one unknown.
 
-Learning: every training text gives a run of consecutive windows.  A first model is
-learned from a bounded sample of runs; then every group of ``REPLICA_RUNS`` runs, which
-together are all training texts, trains a replica of it, and the replicas are averaged
-by their share of words.  Backpropagation is truncated to one window, the state is carried
-on to the next.
+Learning: a first model is learned from a bounded sample of runs of ``RUN`` words.  It is
+where the replicas start: every word of every training text trains one of them, which get
+about ``REPLICA_RUNS`` runs each, and the replicas are averaged by their share of words.
+Backpropagation is truncated to one window; the state is carried on from window to window
+to the end of the text.  Texts of more than ``STRETCH`` words are dealt in stretches, and a
+later stretch starts from the state that the first model has after all words before it.
 
 Scoring: the texts of a batch run side by side, window by window, each carrying its state
 to its end; the log-likelihood is that of the complete text.  Only frequent words (at most
@@ -42,6 +43,8 @@ PARTS, HELD_OUT = 5, 1
 SHORT, CLASS_WORDS, MIDDLE = 512, 8, 16
 FREQUENT = 1 << 17
 HIDDEN, WINDOW, RUN = 16, 24, 48
+#: Words of a text that one replica takes in a row, a multiple of WINDOW.
+STRETCH = 512 * WINDOW
 FIRST_RUNS, FIRST_EPOCHS, REPLICA_RUNS, BATCH, RATE = 4000, 6, 16_384, 128, 4e-3
 END = b""
 #: Rows of the output softmax that are computed at once.
@@ -163,6 +166,16 @@ class Ids(dict):
 # --- the network ----------------------------------------------------------------------
 
 
+def _add_by_key(out: np.ndarray, keys: np.ndarray, rows: np.ndarray) -> None:
+    """``np.add.at``, with the rows of a key added up first."""
+    if not len(keys):
+        return
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    out[keys[starts]] += np.add.reduceat(rows[order], starts)
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
@@ -240,45 +253,72 @@ class Network:
         back = p @ w["out"].T
         q[np.arange(len(listed)), place] -= 1
         q /= len(ids)
-        np.add.at(grads["word"], c[listed], q[:, :, None] * flat[listed][:, None, :])
-        np.add.at(grads["word_bias"], c[listed], q)
+        _add_by_key(grads["word"], c[listed], q[:, :, None] * flat[listed][:, None, :])
+        _add_by_key(grads["word_bias"], c[listed], q)
         back[listed] += np.matmul(q[:, None, :], w["word"][c[listed]])[:, 0, :]
         to_state = np.zeros((*real.shape, HIDDEN), np.float32)
         to_state[real] = back
+        x, before, b, reset, keep, new = (np.stack(part) for part in zip(*saved, strict=True))
+        by_new, by_keep, by_reset = (1 - keep) * (1 - new * new), (before - new) * keep * (1 - keep), b * reset * (1 - reset)
         carried = np.zeros_like(h)
-        for t in range(inputs.shape[1] - 1, -1, -1):
-            x, before, b, reset, keep, new = saved[t]
+        own = np.zeros((*x.shape, 3 * HIDDEN), h.dtype)
+        for t in range(len(x) - 1, -1, -1):
             d = to_state[:, t] + carried
-            d_new = d * (1 - keep) * (1 - new * new)
-            d_keep = d * (before - new) * keep * (1 - keep)
-            d_reset = d_new * b * reset * (1 - reset)
-            own = np.concatenate([d_reset, d_keep, d_new], axis=1)
-            np.add.at(grads["input"], x, own)
-            own[:, 2 * HIDDEN :] *= reset
-            grads["state"] += before.T @ own
-            carried = d * keep + own @ w["state"].T
+            own[t, :, 2 * HIDDEN :] = d_new = d * by_new[t]
+            own[t, :, :HIDDEN] = d_new * by_reset[t]
+            own[t, :, HIDDEN : 2 * HIDDEN] = d * by_keep[t]
+            carried = d * keep[t] + own[t, :, : 2 * HIDDEN] @ w["state"].T[: 2 * HIDDEN] + (d_new * reset[t]) @ w["state"].T[2 * HIDDEN :]
+        _add_by_key(grads["input"], x.ravel(), own.reshape(-1, 3 * HIDDEN))
+        own[:, :, 2 * HIDDEN :] *= reset
+        grads["state"] += before.reshape(-1, HIDDEN).T @ own.reshape(-1, 3 * HIDDEN)
         return grads, h, float(-log_p.sum())
 
-    def train(self, runs: np.ndarray, epochs: int, rate: float, seed: int) -> None:
-        """Adam over batches of runs, window after window with the state carried on."""
+    def train(self, stretches: list[tuple[np.ndarray, np.ndarray]], epochs: int, rate: float, seed: int) -> None:
+        """Adam over windows of ``BATCH`` stretches side by side, each carrying its state to
+        its end, where the next one takes its place.  A stretch is the ids of consecutive
+        words, the first being input only, and the state before them.  Words weigh the same,
+        however many are in a window."""
         random = np.random.default_rng(seed)
         first, second = ({k: np.zeros_like(v) for k, v in self.w.items()} for _ in range(2))
-        step, total = 0, epochs * -(-len(runs) // BATCH) * (RUN // WINDOW)
+        step, done, total = 0, 0, epochs * sum(len(ids) - 1 for ids, _ in stretches)
         for _ in range(epochs):
-            order = random.permutation(len(runs))
-            for start in range(0, len(runs), BATCH):
-                batch = runs[order[start : start + BATCH]]
-                h = np.zeros((len(batch), HIDDEN), np.float32)
-                for at in range(0, RUN, WINDOW):
-                    grads, h, _ = self.gradients(batch[:, at : at + WINDOW + 1], h)
-                    step += 1
-                    now = rate * (1 - 0.9 * step / total)
-                    for k, g in grads.items():
-                        np.clip(g, -0.5, 0.5, out=g)
-                        first[k] += 0.1 * (g - first[k])
-                        second[k] += 0.01 * (g * g - second[k])
-                        move = first[k] / (1 - 0.9**step) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-6)
-                        self.w[k] -= now * move
+            waiting = random.permutation(len(stretches)).tolist()
+            lanes, h = [], np.zeros((0, HIDDEN), np.float32)
+            while lanes or waiting:
+                new = waiting[: BATCH - len(lanes)]
+                waiting = waiting[len(new) :]
+                lanes += [(i, 0) for i in new]
+                h = np.concatenate([h, *(stretches[i][1][None, :] for i in new)])
+                batch = np.full((len(lanes), WINDOW + 1), -1)
+                for row, (i, at) in enumerate(lanes):
+                    part = stretches[i][0][at : at + WINDOW + 1]
+                    batch[row, : len(part)] = part
+                grads, h, _ = self.gradients(batch, h)
+                words = int((batch[:, 1:] >= 0).sum())
+                step, done = step + 1, done + words
+                now = rate * (1 - 0.9 * done / total)
+                for k, g in grads.items():
+                    np.clip(g, -0.5, 0.5, out=g)
+                    g *= words / (BATCH * WINDOW)
+                    first[k] += 0.1 * (g - first[k])
+                    second[k] += 0.01 * (g * g - second[k])
+                    move = first[k] / (1 - 0.9**step) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-6)
+                    self.w[k] -= now * move
+                going = [row for row, (i, at) in enumerate(lanes) if at + WINDOW + 1 < len(stretches[i][0])]
+                lanes, h = [(lanes[row][0], lanes[row][1] + WINDOW) for row in going], h[going]
+
+    def states(self, inputs: np.ndarray) -> np.ndarray:
+        """The states before every ``STRETCH``-th word of a text, from ids with the one
+        before the text."""
+        h, out = np.zeros((1, HIDDEN), np.float32), []
+        symbols = self.classes.inputs(inputs[:-1])
+        for at in range(len(symbols)):
+            if at % STRETCH == 0:
+                out.append(h[0])
+            if at + STRETCH - at % STRETCH >= len(symbols):
+                break  # no stretch begins after this one
+            h, _ = self.step(symbols[at : at + 1], h)
+        return np.stack(out)
 
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
         """log10-likelihood of whole texts (ids with their end); the counts' share of words
@@ -315,36 +355,65 @@ class Network:
 # --- learning -------------------------------------------------------------------------
 
 
-def _runs(shared):
+def _place(doc_id, seed: int) -> int:
+    return xxhash.xxh3_64_intdigest(str(doc_id).encode(), seed) >> 1
+
+
+def _first_runs(shared, most: int):
+    """A run of ``RUN`` words of each training text whose hash is at most ``most``."""
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = Ids(shared.value)
-        end = ids_of[END]
         for batch in batches:
             places, rows = [], []
             for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
-                if held_out(doc_id.as_py()):
+                place = _place(doc_id.as_py(), 1)
+                if held_out(doc_id.as_py()) or place > most:
                     continue
-                words = common.spaced_words(text.as_py())
-                place = xxhash.xxh3_64_intdigest(str(doc_id.as_py()).encode(), 1) >> 1
-                start = place % max(len(words) + 2 - RUN, 1)
-                found = ids_of.of(words[start : start + RUN])
-                if start + RUN < len(words):
-                    found = found[:-1]  # the run ends before the text does
-                before = end if start == 0 else ids_of[words[start - 1]]
-                run = np.full(RUN + 1, -1, np.int32)
-                run[0] = before
-                run[1 : 1 + min(len(found), RUN)] = found[:RUN]
+                ids = np.concatenate([[ids_of[END]], ids_of.of(common.spaced_words(text.as_py()))])
+                start = place % max(len(ids) - RUN, 1)
                 places.append(place)
-                rows.append(run.tobytes())
-            yield pa.record_batch([pa.array(places, pa.int64()), pa.array(rows, pa.binary())], names=["place", "run"])
+                rows.append(ids[start : start + RUN + 1].astype(np.int32).tobytes())
+            yield _stretch_batch(places, [0] * len(places), [b""] * len(places), rows)
 
     return work
 
 
-def _read_runs(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-    found = [(r["place"], r["run"]) for b in batches for r in b.to_pylist()]
+def _stretches(shared, start):
+    """All words of all training texts, in stretches of ``STRETCH``."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids_of, network = Ids(shared.value), Network(shared.value)
+        network.w = _weights(start.value, network.w)
+        for batch in batches:
+            places, parts, states, rows = [], [], [], []
+            for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
+                if held_out(doc_id.as_py()):
+                    continue
+                ids = np.concatenate([[ids_of[END]], ids_of.of(common.spaced_words(text.as_py()))]).astype(np.int32)
+                for part, state in enumerate(network.states(ids)):
+                    places.append(_place(doc_id.as_py(), 2 + part))
+                    parts.append(part)
+                    states.append(state.astype(np.float32).tobytes() if part else b"")
+                    rows.append(ids[part * STRETCH : (part + 1) * STRETCH + 1].tobytes())
+            yield _stretch_batch(places, parts, states, rows)
+
+    return work
+
+
+STRETCHES = "place long, part int, state binary, ids binary"
+
+
+def _stretch_batch(places: list, parts: list, states: list, rows: list) -> pa.RecordBatch:
+    arrays = [pa.array(places, pa.int64()), pa.array(parts, pa.int32()), pa.array(states, pa.binary()), pa.array(rows, pa.binary())]
+    return pa.record_batch(arrays, names=["place", "part", "state", "ids"])
+
+
+def _read_stretches(batches: Iterator[pa.RecordBatch]) -> list[tuple[np.ndarray, np.ndarray]]:
+    found = [(r["place"], r["part"], r["ids"], r["state"]) for b in batches for r in b.to_pylist()]
     found.sort()  # so that training doesn't depend on the order of arrival
-    return np.frombuffer(b"".join(r for _, r in found), np.int32).reshape(-1, RUN + 1).astype(np.int64)
+    none = np.zeros(HIDDEN, np.float32)
+    return [(np.frombuffer(ids, np.int32), np.frombuffer(state, np.float32) if state else none) for _, _, ids, state in found]
 
 
 def _packed(w: dict[str, np.ndarray]) -> bytes:
@@ -359,31 +428,36 @@ def _unpacked(data: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.nda
     return out
 
 
-def learn(docs: DataFrame, classes: Classes, shared) -> Network:
-    runs = common.stored(common.map_batches(docs.select("doc_id", "text"), _runs(shared), "place long, run binary"), "runs")
-    total = runs.count()
+def _weights(packed: bytes, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    return {k: v.astype(np.float32) for k, v in _unpacked(np.frombuffer(packed), like).items()}
+
+
+def learn(docs: DataFrame, classes: Classes, shared, n_texts: int) -> Network:
+    texts = docs.select("doc_id", "text")
     schema = "weights binary, n long"
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network, own = Network(shared.value), _read_runs(batches)
+        network, own = Network(shared.value), _read_stretches(batches)
         network.train(own, FIRST_EPOCHS, RATE, 1)
         yield pa.record_batch([pa.array([_packed(network.w)], pa.binary()), pa.array([len(own)], pa.int64())], names=["weights", "n"])
 
     # place is a hash: its lowest values are a sample, of FIRST_RUNS runs or nearly so
-    sample = runs.where(F.col("place") <= (2**63 - 1) * FIRST_RUNS // max(total, FIRST_RUNS))
+    most = (2**63 - 1) * FIRST_RUNS // max(n_texts, FIRST_RUNS)
+    sample = common.map_batches(texts, _first_runs(shared, most), STRETCHES)
     network = Network(classes)
     weights = common.map_batches(sample.repartition(1), first, schema).first()["weights"]
     start = docs.sparkSession.sparkContext.broadcast(weights)
-    replicas = -(-total // REPLICA_RUNS) or 1
+    replicas = -(-classes.tokens // (REPLICA_RUNS * RUN)) or 1
 
     def replica(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Network(shared.value)
-        own.w = {k: v.astype(np.float32) for k, v in _unpacked(np.frombuffer(start.value), own.w).items()}
+        own.w = _weights(start.value, own.w)
         for key, rows in common.runs(batches, ("replica",)):
             mine = Network(shared.value, own.w)
-            found = _read_runs(iter(rows.to_batches()))
+            found = _read_stretches(iter(rows.to_batches()))
             mine.train(found, 1, RATE / 4, 2 + key[0])
-            yield pa.record_batch([pa.array([_packed(mine.w)], pa.binary()), pa.array([len(found)], pa.int64())], names=["weights", "n"])
+            words = sum(len(ids) - 1 for ids, _ in found)
+            yield pa.record_batch([pa.array([_packed(mine.w)], pa.binary()), pa.array([words], pa.int64())], names=["weights", "n"])
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = 0.0, 0
@@ -393,7 +467,7 @@ def learn(docs: DataFrame, classes: Classes, shared) -> Network:
         if n:
             yield pa.record_batch([pa.array([(total / n).tobytes()], pa.binary()), pa.array([n], pa.int64())], names=["weights", "n"])
 
-    dealt = runs.withColumn("replica", F.pmod("place", F.lit(replicas)).cast("int"))
+    dealt = common.map_batches(texts, _stretches(shared, start), STRETCHES).withColumn("replica", F.pmod("place", F.lit(replicas)).cast("int"))
     dealt = dealt.repartition(replicas, "replica").sortWithinPartitions("replica")
     trained = common.stored(common.map_batches(dealt, replica, schema), "replicas")
     # replicas meet in groups of the square root of their number, the groups in the driver
@@ -460,7 +534,8 @@ def score(docs: DataFrame) -> DataFrame:
     context = docs.sparkSession.sparkContext
     words = vocabulary(docs)
     classes = classes_of(words)
-    network = learn(docs, classes, context.broadcast(classes))
+    n_texts = words.where(F.col("hash") == word_hash(END)).agg(F.sum("n")).first()[0] or 0
+    network = learn(docs, classes, context.broadcast(classes), n_texts)
     partial = common.map_batches(docs.select("doc_id", "text"), _partial(context.broadcast(network)), PARTIAL)
     partial = common.stored(partial, "scores")
     each = partial.select("row_id", F.explode(F.arrays_zip("hashes", "times")).alias("e"))
