@@ -134,6 +134,24 @@ def test_license_text_with_small_differences():
     assert 0 < found[0]["differences"] <= 4
 
 
+PROSE = "a plain sentence about rivers, tea and the long way home by night; "
+
+
+def test_license_notices_inside_long_lines():
+    assert all(licenses.trigger_words([m.group().lower() for m in licenses.WORD.finditer(t)]) for t in licenses.TEMPLATES.values())
+    for size in (1200, 2200, 30_000):
+        around = PROSE * (size // len(PROSE) // 2)
+        for name, text in licenses.TEMPLATES.items():
+            found = licenses.scan(around + text + " " + around)[1]
+            assert [f["license"] for f in found] == [name], (size, name)
+            start = len(around)
+            assert (found[0]["start"], found[0]["end"]) == (start, start + len(text.rstrip("."))), name
+    several = " ".join(f"{PROSE} {t} {PROSE}" for t in licenses.TEMPLATES.values())
+    assert [f["license"] for f in licenses.scan(several)[1]] == list(licenses.TEMPLATES)
+    twice = f"{licenses.TEMPLATES['BSD-text']} " * 2
+    assert [(f["license"], f["differences"]) for f in licenses.scan(twice)[1]] == [("BSD-text", 0)] * 2
+
+
 def test_license_equals_substring_search(spark):
     table = common.table(spark, SMALL, "documents")
     got = {r["doc_id"]: r["licenses"] for r in QUERIES["op2_license_scan"](spark, SMALL).collect()}
