@@ -1,6 +1,7 @@
 """The operators against brute force, on rows made for the purpose and on the test tables."""
 
 import math
+import textwrap
 import zlib
 from collections import Counter
 
@@ -152,6 +153,16 @@ def test_license_notices_inside_long_lines():
     assert [(f["license"], f["differences"]) for f in licenses.scan(twice)[1]] == [("BSD-text", 0)] * 2
 
 
+@pytest.mark.parametrize("width", [1, 12, 30, 70])
+def test_license_notices_wrapped_over_lines(width):
+    long_line = PROSE * 40
+    for name, text in licenses.TEMPLATES.items():
+        wrapped = textwrap.fill(text, width, break_on_hyphens=False, break_long_words=False)
+        for white in ("\n", "\r\n", " \n\t  "):
+            found = licenses.scan(f"{long_line}\n{wrapped.replace(chr(10), white)}\n{long_line}")[1]
+            assert [f["license"] for f in found] == [name], (name, white)
+
+
 def test_license_equals_substring_search(spark):
     table = common.table(spark, SMALL, "documents")
     got = {r["doc_id"]: r["licenses"] for r in QUERIES["op2_license_scan"](spark, SMALL).collect()}
