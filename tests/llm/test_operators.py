@@ -218,6 +218,38 @@ def test_longest_matches_have_locations(spark):
     assert match.asDict() == {"item_id": 7, "item_start": 1, "doc_start": 2, "length": 12}
 
 
+def brute_matches(text, items, window=10):
+    """Every verbatim stretch that can't be extended, of a window at least or a whole shorter item."""
+    words, found = decontaminate.words_of(text), []
+    for item_id, item in items:
+        own = decontaminate.words_of(item)
+        for i in range(len(words)):
+            for j in range(len(own)):
+                if i and j and words[i - 1] == own[j - 1]:
+                    continue
+                n = 0
+                while i + n < len(words) and j + n < len(own) and words[i + n] == own[j + n]:
+                    n += 1
+                if n >= min(window, len(own)):
+                    found.append((item_id, j, i, n))
+    return sorted(found, key=repr)
+
+
+@pytest.mark.parametrize(("block_bytes", "pairs"), [(10**6, 1 << 18), (10**6, 3), (150, 1 << 18)])
+def test_longest_matches_of_items_that_share_a_passage(spark, monkeypatch, block_bytes, pairs):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(decontaminate, "PAIRS", pairs)
+    p, x, y = (" ".join(f"{c}{i}" for i in range(1, n)) for c, n in (("p", 13), ("x", 21), ("y", 21)))
+    items = [(1, f"{p} {x}"), (2, f"{p} {y}"), (3, f"{p} {x}"), (4, f"{y} {p} z {p} {y}"), (5, "p3 p4"), (6, "a " * 13)]
+    texts = [f"{p} {y}", f"q {p} {x} q {p}", f"{x} {y}", "a " * 15, f"{y} {p} z"]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in decontaminate.find_matches(docs, table).collect():
+        got = sorted(((m["item_id"], m["item_start"], m["doc_start"], m["length"]) for m in r["found"]["matches"]), key=repr)
+        assert got == brute_matches(texts[r["doc_id"]], items)
+    assert (2, 0, 0, 32) in brute_matches(texts[0], items)
+
+
 # --- chat -----------------------------------------------------------------------------
 
 

@@ -4,7 +4,8 @@ Every Arrow batch of documents is a training shard.  Its words become numbers (0
 word that no benchmark item has, which ends every match), stretches too short for any
 window are left out, and the suffixes that remain are sorted into a suffix array.  Each
 suffix of each benchmark item is looked up in it by binary search; the range it finds are
-the places that share its window, and each place is extended to the longest verbatim match.
+the places that share its window.  Each of them is extended with every place of the
+benchmark that has the window, so that every item with a longest verbatim match is named.
 
 A window is ``window`` consecutive words of an item, or a whole shorter item.  Texts never
 leave their tasks: a batch gives one row per document, and removal filters the batch.
@@ -15,7 +16,7 @@ adding to what the passes before have found.
 
 Defined results: null and empty texts have no words and no hits; an item without words
 matches nothing; items without an id are looked up and hit words, but are not listed; an
-item id that repeats is listed once; repeated documents give repeated rows; an empty table
+item id that repeats is listed once, its rows are matched one by one; repeated documents give repeated rows; an empty table
 on either side gives no hits; other columns are carried along by ``remove_contaminated``.
 """
 
@@ -33,6 +34,8 @@ from . import common
 
 WINDOW = 10
 BLOCK_BYTES = 4_000_000
+#: Pairs of a place in a document and one in an item that are extended at once.
+PAIRS = 1 << 18
 #: A-Z in lower case; ASCII but for digits and letters parts words; all else belongs to them.
 LETTERS = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
@@ -51,7 +54,7 @@ class Benchmark:
 
     numbers: dict[bytes, int]
     words: np.ndarray  # numbers of all items, 0 between them
-    windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+    windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
     items: np.ndarray  # item index at each place of words
     starts: np.ndarray  # place of each item in words
     ids: list[int | None]
@@ -73,10 +76,12 @@ class Benchmark:
             mine = np.flatnonzero(np.minimum(long, window) == length)
             places = np.concatenate([begun[i] + np.arange(long[i] - length + 1) for i in mine])
             keys = keys_at(words, places, length)
-            # each different window once, with its first place and the items that have it
-            keys, first, which = np.unique(keys, return_index=True, return_inverse=True)
+            # each different window once, with all of its places and the items that have it
+            keys, which = np.unique(keys, return_inverse=True)
+            order = np.argsort(which.ravel(), kind="stable")
+            begin = np.searchsorted(which.ravel()[order], np.arange(len(keys) + 1))
             pairs = np.unique(np.stack([which.ravel(), owner[places]], axis=1), axis=0)
-            windows[length] = keys, places[first], np.searchsorted(pairs[:, 0], np.arange(len(keys) + 1)), pairs[:, 1]
+            windows[length] = keys, begin, places[order], np.searchsorted(pairs[:, 0], np.arange(len(keys) + 1)), pairs[:, 1]
         return cls(numbers, words, windows, owner, begun, [r[0] for r in rows])
 
 
@@ -108,7 +113,7 @@ def shard_matches(bench: Benchmark, words: np.ndarray) -> list[tuple[int, np.nda
     order = np.argsort(suffixes, kind="stable")
     suffixes = suffixes[order]
     found = []
-    for length, (keys, _, _, _) in bench.windows.items():
+    for length, (keys, *_) in bench.windows.items():
         # a shorter window starts a range: up to the same words followed by the largest
         high = np.char.add(keys, b"") if length == depth else _followed(keys, length, depth)
         low = np.searchsorted(suffixes, keys.astype(suffixes.dtype), "left")
@@ -139,31 +144,48 @@ def shard_results(bench: Benchmark, texts: list[str | None]) -> Iterator[dict]:
         total += len(own) + 1
     words = np.concatenate(parts)
     found = shard_matches(bench, words)
-    per_doc: dict[int, tuple[list, set, list]] = {}
+    per_doc: dict[int, tuple[list, set, set]] = {}
     for length, window, place in found:
-        _, first, where, owners = bench.windows[length]
+        _, begin, item_places, where, owners = bench.windows[length]
         doc = np.searchsorted(offsets, place, "right") - 1
         for d, w, p in zip(doc.tolist(), window.tolist(), place.tolist(), strict=True):
-            spans, items, _ = per_doc.setdefault(d, ([], set(), []))
+            spans, items, _ = per_doc.setdefault(d, ([], set(), set()))
             spans.append((p - offsets[d], p - offsets[d] + length))
             items.update(owners[where[w] : where[w + 1]].tolist())
-        item_at, longest = longest_matches(bench.words, words, first[window], place, length)
-        for i in np.flatnonzero(longest).tolist():
-            d = int(doc[i])
-            owner = int(bench.items[item_at[i]])
-            start = int(item_at[i] - bench.starts[owner])
-            per_doc[d][2].append({"item_id": bench.ids[owner], "item_start": start, "doc_start": int(place[i] - offsets[d]), "length": int(longest[i])})
+        for i, item_at in _pairs(window, begin, item_places):
+            longest = longest_matches(bench.words, words, item_at, place[i], length)
+            for j in np.flatnonzero(longest).tolist():
+                d, p = int(doc[i[j]]), int(place[i[j]])
+                owner = int(bench.items[item_at[j]])
+                start = int(item_at[j] - bench.starts[owner])
+                per_doc[d][2].add((p - offsets[d], int(longest[j]), start, owner))
     for d, n in enumerate(counts):
         spans, items, matches = per_doc.get(d, ((), (), ()))
         yield {
             "n_words": n,
             "spans": spans,
             "item_ids": {bench.ids[i] for i in items} - {None},
-            "matches": sorted(matches, key=lambda m: (m["doc_start"], m["length"], m["item_start"])),
+            "matches": [
+                {"item_id": bench.ids[owner], "item_start": start, "doc_start": at, "length": length} for at, length, start, owner in sorted(matches)
+            ],
         }
 
 
-def longest_matches(item_words, doc_words, item_at, place, length) -> tuple[np.ndarray, np.ndarray]:
+def _pairs(window: np.ndarray, begin: np.ndarray, item_places: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(index of the hit, item place) of every hit with every place of its window, ``PAIRS``
+    or so at a time."""
+    upto = np.cumsum(begin[window + 1] - begin[window])
+    first = 0
+    while first < len(window):
+        done = upto[first - 1] if first else 0
+        last = max(int(np.searchsorted(upto, done + PAIRS, "right")), first + 1)
+        count = np.diff(upto[first:last], prepend=done)
+        i = np.repeat(np.arange(first, last), count)
+        yield i, item_places[begin[window[i]] + np.arange(len(i)) - np.repeat(np.cumsum(count) - count, count)]
+        first = last
+
+
+def longest_matches(item_words, doc_words, item_at, place, length) -> np.ndarray:
     """Lengths of the matches that cannot be extended to the left, 0 for the others."""
     before = doc_words[place - 1]
     size = np.where((before > 0) & (before == item_words[item_at - 1]), 0, length)
@@ -174,7 +196,7 @@ def longest_matches(item_words, doc_words, item_at, place, length) -> tuple[np.n
         in_item = item_words[item_at[grow] + size[grow]]
         grow = grow[(in_doc > 0) & (in_doc == in_item)]
         size[grow] += 1
-    return item_at, size
+    return size
 
 
 def merged(result: dict, earlier: dict | None) -> dict:
