@@ -377,6 +377,19 @@ def test_near_duplicates_of_odd_rows(docs, none):
     assert neardup.near_duplicates(none).count() == 0 and neardup.keep_first(none).count() == 0
 
 
+def test_keep_first_leaves_one_row_of_each_group(spark):
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcde")
+    rows = [(1, a), (1, a), (2, a + " more"), (None, a), (None, b), (None, b), (3, c), (None, c), (4, c)]
+    rows += [(5, d), (5, d), (5, e), (6, ""), (None, ""), (None, None), (7, "x y")]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, `n r` int").repartition(3)
+    kept = neardup.keep_first(docs)
+    assert kept.columns == docs.columns
+    want = [(1, a), (None, b), (3, c), (5, d), (5, e), (6, ""), (None, ""), (None, None), (7, "x y")]
+    got = [tuple(r) for r in kept.collect()]
+    assert Counter(r[:2] for r in got) == Counter(want)
+    assert all(rows[n] == (i, t) for i, t, n in got)
+
+
 # --- language model -------------------------------------------------------------------
 
 

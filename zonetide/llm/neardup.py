@@ -23,7 +23,8 @@ Defined results: a text with fewer words than a shingle is one shingle; null and
 have no shingle and no link; repeated rows are equal sets; rows without ``doc_id`` are
 linked to equal sets only, take the id found there, and stay only if there is none;
 ``doc_id`` should be unique, rows that share one are one node; an empty table gives no rows;
-``keep_first`` carries all other columns along.
+``keep_first`` carries all other columns along, and leaves one of several rows with the kept
+``doc_id``, or with none, that are equal sets (any one of them; different texts stay).
 """
 
 from __future__ import annotations
@@ -303,8 +304,8 @@ def confirmed(docs: DataFrame, grouped: DataFrame, width: int, percent: int) ->
     return common.stored(common.map_batches(rows, _confirm(percent), "a long, b long"), "links")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
+def _found(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(doc_id, n_shingles, key, component_id, kept) for every row of ``docs``."""
     sketched = sketches(docs, width)
     equal = sketched.where("key is not null").groupBy("key")
     equal = equal.agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature"), F.first("buckets").alias("buckets"))
@@ -315,14 +316,51 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     rows = sketched.select("doc_id", "n_shingles", "key").join(named, "key", "left")
     component = F.coalesce("component", "doc_id")
     kept = F.when(F.col("doc_id").isNull(), component.isNull()).otherwise(F.col("doc_id") == component)
-    return rows.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"))
+    return rows.select("doc_id", "n_shingles", "key", component.alias("component_id"), kept.alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
+    return _found(docs, width, percent).drop("key")
+
+
+def _keys(width: int):
+    """Rows with the key of their shingle set."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            sets = (shingle_set(t.as_py(), width, hashes) for t in batch.column("text"))
+            keys = [xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None for s in sets]
+            yield pa.record_batch([*batch.columns, pa.array(keys, pa.string())], names=[*batch.schema.names, "_key"])
+
+    return work
 
 
 def keep_first(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each component; rows without ``doc_id`` stay."""
-    found = near_duplicates(docs, width, percent)
+    """``docs`` with one row of each component; texts without a shingle have no link and stay."""
+    found = _found(docs, width, percent)
     gone = found.where("doc_id is not null and not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    left = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    # ids don't tell rows apart that share one or have none: those are told by their sets
+    alike = found.where("key is not null and (doc_id is null or kept)").groupBy("doc_id", "key")
+    alike = alike.agg(F.count(F.lit(1)).alias("n"), F.first("kept").alias("kept")).where("n > 1 or doc_id is null")
+    alike = common.stored(alike.select("doc_id", "key", "kept"), "alike")
+    if alike.isEmpty():
+        return left
+    shared = alike.where("doc_id is not null").select(F.col("doc_id").alias("_shared")).distinct()
+    marked = left.join(shared, left["doc_id"] == shared["_shared"], "left")
+    marked = marked.withColumn("_alike", F.col("_shared").isNotNull() | F.col("doc_id").isNull()).drop("_shared")
+    marked = common.stored(marked, "marked")
+    rows = marked.where("_alike").drop("_alike")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", _key string"
+    keyed = common.map_batches(rows, _keys(width), schema)
+    copies = alike.where("doc_id is null and not kept").select(F.col("key").alias("_copied"))
+    there = (keyed["_key"] == copies["_copied"]) & keyed["doc_id"].isNull()
+    keyed = common.stored(keyed.join(copies, there, "left_anti"), "keyed")
+    single = keyed.where("_key is not null").dropDuplicates(["doc_id", "_key"])
+    every = marked.where("not _alike").drop("_alike")
+    return every.unionByName(single.drop("_key")).unionByName(keyed.where("_key is null").drop("_key"))
 
 
 def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
