@@ -551,6 +551,15 @@ def test_url_rules(spark):
     assert urls.judge_urls(pages.where("false")).count() == 0
 
 
+def test_url_labels_are_different_urls_of_both_verdicts(spark):
+    named = [(f"x://sub.example.com/de/{i}",) for i in range(60)] + [(f"x://some.org/fr/{i}",) for i in range(60)]
+    first = urls.rule_labels(spark.createDataFrame(named, "url string"), max_rows=120).orderBy(F.xxhash64("url")).first()["url"]
+    rows = spark.createDataFrame(named + [(first,)] * 500, "url string")
+    got = urls.rule_labels(rows, max_rows=40).collect()
+    assert len({r["url"] for r in got}) == 40
+    assert Counter(r["verdict"] for r in got) == {"allow": 20, "block": 20}
+
+
 def test_url_model_learns(spark):
     good, bad = "http://news{}.site/story/{}", "http://casino{}.site/win-cash/{}"
     row = lambda u, v: (u, v)

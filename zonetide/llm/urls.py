@@ -4,8 +4,8 @@ A url's host and path are read off natively; a rule such as ``example.net/en/``
 host and all subdomains, if the path starts with the rule's, and the longest fitting rule
 decides.  Urls without a rule are judged by logistic regression on hashed character
 n-grams of host and path, trained from a small labelled url table.  Without such a table
-the labels are the verdicts of the rules themselves, on the ``max_rows`` urls with the
-smallest hash: the model then carries over to hosts and paths that no rule names.
+the labels are the verdicts of the rules themselves, on different urls, for either verdict
+the ``max_rows / 2`` with the smallest hash: the model then carries over to hosts and paths that no rule names.
 
 All steps are DataFrame functions and ``pyspark.ml`` stages, which run in the JVM.  The
 model is a vector of ``2 ** bits`` weights, whatever the number of urls.
@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -94,10 +94,12 @@ def train(labelled: DataFrame):
 
 
 def rule_labels(urls: DataFrame, rules=RULES, max_rows: int = MAX_ROWS) -> DataFrame:
-    """A small labelled table: urls that a rule judges, those with the smallest hashes."""
+    """A small labelled table: different urls that a rule judges, of either verdict those
+    with the smallest hashes."""
     named = urls.select("url", rule_column(host_of(F.col("url")), path_of(F.col("url")), rules).alias("r"))
-    named = named.where("r is not null").select("url", "r.verdict")
-    return named.orderBy(F.xxhash64("url"), "url").limit(max_rows)
+    named = named.where("r is not null").select("url", "r.verdict").distinct()
+    place = F.row_number().over(Window.partitionBy("verdict").orderBy(F.xxhash64("url"), "url"))
+    return named.withColumn("_place", place).where(F.col("_place") <= max_rows // 2).drop("_place")
 
 
 def judge_urls(urls: DataFrame, labelled: DataFrame | None = None, rules=RULES) -> DataFrame:
