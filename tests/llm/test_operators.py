@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from conftest import SMALL
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from zonetide.llm import (
@@ -105,6 +106,27 @@ def test_mix_takes_near_targets(spark, docs):
         assert abs(taken[source] - wanted) <= max(largest[source] / 2, 1)
 
 
+WORDS = "one two three four five six seven eight nine ten"
+
+
+@pytest.mark.parametrize(
+    "row",
+    [lambda i: (5, WORDS), lambda i: (None, WORDS), lambda i: (None, f"{i} {WORDS[4:]}"), lambda i: (i if i % 3 else 0, WORDS)],
+    ids=["one id", "null id", "null id, own texts", "a third shares an id"],
+)
+def test_mix_reaches_targets_where_ids_are_shared(spark, monkeypatch, row):
+    monkeypatch.setattr(mixing, "MANY", 4)
+    rows = [(*row(i), None, "s", i) for i in range(40)]
+    shared = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").repartition(5)
+    for share in (1.5, 0.3):
+        monkeypatch.setattr(mixing, "SHARE", share)
+        sized, plan = mixing.mixed(shared)
+        assert sum(r["size"] * r["copies"] for r in mixing.take(sized, plan).collect()) == 400 * share
+        out = mixing.repeat_documents(shared).collect()
+        assert len(out) == 40 * share
+        assert max(Counter(r["n_chars"] for r in out).values()) <= 2
+
+
 def test_repeated_documents_keep_columns(docs, none):
     out = mixing.repeat_documents(docs)
     assert out.columns == [*docs.columns, "repetition"]
@@ -560,6 +582,14 @@ def test_url_labels_are_different_urls_of_both_verdicts(spark):
     assert Counter(r["verdict"] for r in got) == {"allow": 20, "block": 20}
 
 
+def test_urls_are_judged_after_anything_else_in_the_session(spark):
+    """An observed table leaves an object in the session that cannot be sent to executors."""
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    common.components(spark.createDataFrame([(1, 2), (2, 3)], "a long, b long")).collect()
+    assert QUERIES["op7_url_filter"](spark, SMALL).count() == spark.read.parquet(f"{SMALL}/pages.parquet").count()
+
+
 def test_url_model_learns(spark):
     good, bad = "http://news{}.site/story/{}", "http://casino{}.site/win-cash/{}"
     row = lambda u, v: (u, v)

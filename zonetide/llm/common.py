@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -43,11 +43,16 @@ def scratch_root(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     """``df`` written to the shared folder and read back: lineage ends here, so neither a
     lost executor nor a second use computes it again."""
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     (df.coalesce(files) if files else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -186,9 +191,8 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
 
 
-def _marked(edges: DataFrame) -> tuple[DataFrame, dict]:
-    """The written edges, with a count and a digest taken while they were written."""
-    seen = Observation()
-    digest = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).cast("string")
-    written = stored(edges.observe(seen, F.count(F.lit(1)).alias("n"), digest.alias("digest")), "edges")
-    return written, seen.get
+def _marked(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The written edges, with a count and a digest of what was written."""
+    written = stored(edges, "edges")
+    digest = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
+    return written, tuple(written.agg(F.count(F.lit(1)), digest).first())

@@ -111,7 +111,7 @@ class Classes:
         upto = np.cumsum(mass)
         middle = np.minimum((upto - mass / 2) * MIDDLE // max(upto[-1] if len(upto) else 1, 1), MIDDLE - 1).astype(int)
         self.of = np.concatenate([np.arange(self.short) // CLASS_WORDS, lists + middle, [lists + MIDDLE]]).astype(np.int64)
-        by_class = np.bincount(middle, mass, minlength=MIDDLE)
+        by_class = np.bincount(middle, mass, minlength=MIDDLE).astype(float)
         self.within = np.zeros(n + 1)
         self.within[self.short : n] = np.log10(mass / by_class[middle])
         self.classes = lists + MIDDLE + 1
@@ -190,7 +190,8 @@ class Network:
         lists = -(-classes.short // CLASS_WORDS)
         if w is None:
             random = np.random.default_rng(5)
-            mass = np.bincount(classes.of[:-1], classes.counts + 0.5, minlength=classes.classes)
+            # of no words at all, bincount would make integers
+            mass = np.bincount(classes.of[:-1], classes.counts + 0.5, minlength=classes.classes).astype(float)
             mass[-1] = classes.rare_mass
             bias = np.full(lists * CLASS_WORDS, -1e4)
             bias[: classes.short] = np.log(classes.counts[: classes.short] + 0.5)

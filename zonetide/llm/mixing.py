@@ -7,17 +7,21 @@ the others by weight, again and again until none is above.  A target of 1.3 time
 is one whole repetition of each document plus a fraction: the documents in a seeded random
 order up to the one that comes closest to 0.3 of the source's words.
 
-The cut of that order is found without sorting a source.  A document's place is a 32-bit
-hash; sums over its leading 8 bits find the one cell where the fraction ends, sums over
-the next 8 bits find the cell in that cell, and after three such counts only the few
-documents of the last cell are put in order.  A source with a third of all rows costs
-three partial aggregations, like any other.
+The cut of that order is found without sorting a source.  A document's place has 56 bits,
+32 by its id and 24 by its text; sums over its leading 8 bits find the one cell where the
+fraction ends, sums over the next 8 bits find the cell in that cell, and so on until the
+last cells hold few different documents, which are put in order.  A source with a third of
+all rows costs three partial aggregations, like any other; ids that many documents share
+cost up to four more.  Where the fraction ends among copies of one document, which have one
+place, the plan says how many of them are still taken, and those are counted off by the
+partitions that they lie in.
 
 Only DataFrame functions run.  One row per source is what passes through single tasks.
 
 Defined results: a null text has 0 words; a null source is a source; a null ``doc_id``
-sorts before all others; equal rows may be taken a different number of times, which ones
-doesn't show; an empty table gives an empty mix; other columns are carried along.
+sorts before all others; of rows equal in id and text some may be taken more often than
+others, which ones depends on how the table was written; an empty table gives an empty
+mix; other columns are carried along.
 """
 
 from __future__ import annotations
@@ -27,8 +31,9 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Levels of 8 hash bits each; the last cell holds rows / 2^24 of a source.
-LEVELS = 3
+#: Levels of 8 bits of a place: at least, and at most while a last cell holds many documents.
+LEVELS, MOST_LEVELS, MANY = 3, 7, 10_000
+BITS = 8 * MOST_LEVELS
 LAST = 2**63 - 1
 FIRST = -(2**63)
 
@@ -37,10 +42,12 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(common.SPACED_WORD)), F.lit(0)).cast("long")
 
 
-def place(doc_id: Column, seed: str) -> Column:
-    """A document's place in the seeded order: 32 bits of an MD5."""
+def place(doc_id: Column, text: Column, seed: str) -> Column:
+    """A document's place in the seeded order: 32 bits of an MD5 of its id, then 24 of its
+    text, which spread documents that share an id."""
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit(""))))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+    by_id = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+    return F.shiftleft(by_id, 24) + F.xxhash64(text).bitwiseAND(F.lit(2**24 - 1))
 
 
 def water_fill(sources: DataFrame, wanted: float, max_epochs: float) -> DataFrame:
@@ -79,15 +86,24 @@ def plan_mix(sized: DataFrame, weights: DataFrame, share: float, max_epochs: flo
     plan = plan.withColumn("fraction", F.col("target") - F.col("whole") * F.col("size"))
     plan = plan.withColumns({"cell": F.lit(0).cast("long"), "before": F.lit(0).cast("long")})
     plan = common.stored(plan, "mix", 1)
-    for level in range(LEVELS):
-        plan = common.stored(_refine(sized, plan, 32 - 8 * (level + 1)), "mix", 1)
-    inside = _inside(sized, plan, 32 - 8 * LEVELS)
-    order = Window.partitionBy("source").orderBy("at", "size")
-    ran = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    inside = inside.withColumn("ran", F.col("before") + F.coalesce(ran, F.lit(0)))
-    picked = inside.where(2 * F.col("ran") + F.col("size") <= 2 * F.col("fraction"))
-    ends = picked.groupBy("source").agg(F.max(F.struct("at", "size")).alias("end"))
-    start = F.struct(F.struct((F.col("cell") * 2 ** (32 - 8 * LEVELS) - 1).alias("place"), F.lit(LAST).alias("id")).alias("at"), F.lit(LAST).alias("size"))
+    for level in range(1, MOST_LEVELS + 1):
+        plan = common.stored(_refine(sized, plan, BITS - 8 * level), "mix", 1)
+        inside = _inside(sized, plan, BITS - 8 * level)
+        if level >= LEVELS and level < MOST_LEVELS:
+            most = inside.groupBy("source").count().agg(F.max("count")).first()[0]
+            if (most or 0) <= MANY:
+                break
+    # copies of a document stand together: ``rows`` of them, of which ``some`` are taken
+    alike = inside.groupBy("source", "at", "size", "before", "fraction").agg(F.count(F.lit(1)).alias("rows"))
+    order = Window.partitionBy("source").orderBy("at", "size").rowsBetween(Window.unboundedPreceding, -1)
+    ran = F.col("before") + F.coalesce(F.sum(F.col("size") * F.col("rows")).over(order), F.lit(0))
+    fit = F.floor((F.col("fraction") - ran) / F.col("size") + 0.5)
+    fit = fit - F.when(2 * ran + (2 * fit - 1) * F.col("size") > 2 * F.col("fraction"), 1).otherwise(0)  # of rounding
+    some = F.when(F.col("size") == 0, F.col("rows")).otherwise(F.least("rows", fit))
+    picked = alike.withColumn("some", some.cast("long")).where("some > 0")
+    ends = picked.groupBy("source").agg(F.max(F.struct("at", "size", "some", "rows")).alias("end"))
+    first = F.struct((F.col("cell") * F.lit(2 ** (BITS - 8 * level)) - 1).alias("place"), F.lit(LAST).alias("id"))
+    start = F.struct(first.alias("at"), F.lit(LAST).alias("size"), F.lit(0).cast("long").alias("some"), F.lit(0).cast("long").alias("rows"))
     joined = plan.alias("p").join(ends.alias("e"), F.expr("p.source <=> e.source"), "left")
     joined = joined.select("p.*", F.coalesce("e.end", start).alias("end"))
     return common.stored(joined.select("source", "size", "weight", "target", "whole", "end"), "mix", 1)
@@ -123,21 +139,44 @@ def _refine(sized: DataFrame, plan: DataFrame, shift: int) -> DataFrame:
     )
 
 
-def take(sized: DataFrame, plan: DataFrame) -> DataFrame:
-    """``sized`` with the source's figures and ``copies``, the times a document is taken."""
-    rows = sized.alias("d").join(plan.alias("p"), F.expr("d.source <=> p.source"))
-    last = F.struct(_at().alias("at"), F.col("d.size").alias("size")) <= F.col("p.end")
+def take(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """``rows``, which have doc_id, source, size and place, with the source's figures and
+    ``copies``, the times a document is taken."""
+    joined = rows.alias("d").join(plan.alias("p"), F.expr("d.source <=> p.source"))
+    key, end = F.struct(_at().alias("at"), F.col("d.size").alias("size")), F.struct("p.end.at", "p.end.size")
     part = F.col("p.target") > F.col("p.whole") * F.col("p.size")
-    copies = F.col("p.whole") + F.when(part & last, 1).otherwise(0)
-    return rows.select(
-        "d.*", F.col("p.size").alias("source_size"), F.col("p.target").alias("target"), copies.cast("long").alias("copies")
+    split = key.eqNullSafe(end) & (F.col("p.end.some") < F.col("p.end.rows")) & part
+    joined = joined.select(
+        "d.*",
+        F.col("p.size").alias("source_size"),
+        F.col("p.target").alias("target"),
+        (F.col("p.whole") + F.when(part & (key <= end), 1).otherwise(0)).cast("long").alias("copies"),
+        F.when(split, F.col("p.end.some")).alias("some"),
     )
+    if not plan.where("end.some < end.rows").isEmpty():
+        joined = joined.where("some is null").unionByName(_counted_off(joined.where("some is not null")))
+    return joined.drop("some")
+
+
+def _counted_off(copies: DataFrame) -> DataFrame:
+    """Rows of which only ``some`` of each source are taken once more: written, numbered
+    inside their partitions, with the numbers carried from partition to partition."""
+    own = common.stored(copies.withColumn("number", F.monotonically_increasing_id()), "copies")
+    own = own.withColumn("block", F.expr("number div 100000"))
+    own = own.withColumn("inner", F.row_number().over(Window.partitionBy("source", "block").orderBy("number")))
+    blocks = own.groupBy("source", "block").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("ahead", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    both = own.alias("o").join(blocks.alias("b"), F.expr("o.source <=> b.source and o.block = b.block"))
+    left_out = (F.col("o.inner") + F.col("b.ahead") > F.col("o.some")).cast("long")
+    kept = [F.col(f"o.`{c}`") for c in copies.columns if c != "copies"]
+    return both.select(*kept, (F.col("o.copies") - left_out).alias("copies"))
 
 
 def measured(docs: DataFrame, seed: str) -> DataFrame:
     """The narrow written table that planning reads instead of the texts."""
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    return common.stored(sized.withColumn("place", place(F.col("doc_id"), seed)), "sizes")
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), place(F.col("doc_id"), F.col("text"), seed).alias("place"))
+    return common.stored(sized, "sizes")
 
 
 def ranked_weights(sized: DataFrame, cycle: tuple[int, ...]) -> DataFrame:
@@ -169,7 +208,7 @@ def repeat_documents(docs: DataFrame) -> DataFrame:
         F.col("doc_id"),
         F.col("source"),
         word_count(F.col("text")).alias("size"),
-        place(F.col("doc_id"), SEED).alias("place"),
+        place(F.col("doc_id"), F.col("text"), SEED).alias("place"),
     )
     rows = take(rows, plan).where("copies > 0")
     rows = rows.select("row", F.explode(F.expr("sequence(1, cast(copies as int))")).alias("n"))

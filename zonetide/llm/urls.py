@@ -18,7 +18,7 @@ other columns are carried along by ``judge_urls``.
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -90,7 +90,17 @@ def train(labelled: DataFrame):
         featuresCol="_counts", labelCol="label", regParam=RIDGE, maxIter=ITERATIONS,
         predictionCol="_verdict", probabilityCol="_probability", rawPredictionCol="_raw",
     )
-    return learner.fit(_features(rows))
+    return _plain(learner.fit(_features(rows)), common.scratch_path(rows.sparkSession, "url-model"))
+
+
+def _plain(model: LogisticRegressionModel, path: str) -> LogisticRegressionModel:
+    """The model without its training summary, by way of its stored weights.
+
+    The summary holds the session, so whatever the session has come to hold would have to
+    be sent along with the model.
+    """
+    model.write().save(path)
+    return LogisticRegressionModel.load(path)
 
 
 def rule_labels(urls: DataFrame, rules=RULES, max_rows: int = MAX_ROWS) -> DataFrame:
