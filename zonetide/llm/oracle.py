@@ -115,3 +115,64 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(othe
        doc_id <= coalesce(other, doc_id) AS kept
 FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least_of USING (doc_id)
 """
+
+
+def _personal(kind: str, pattern: str, valid: str, words: str = "") -> str:
+    """Spans of one kind: hits in order, their ends being running sums of lengths."""
+    near = f"regexp_matches(right(gap, 40) || ' ' || left(after, 20), '{words}')" if words else "true"
+    return rf"""
+SELECT r, '{kind}' AS kind, e - length(hit) AS s, e FROM (
+    SELECT *, sum(length(gap) + length(hit)) OVER (PARTITION BY r ORDER BY i)::BIGINT AS e,
+           regexp_replace(hit, '[^0-9]', '', 'g') AS digits, replace(hit, ' ', '') AS code
+    FROM (SELECT r, i, hits[i] AS hit, gaps[i] AS gap, gaps[i + 1] AS after
+          FROM (SELECT r, regexp_extract_all(t, '{pattern}') AS hits, string_split_regex(t, '{pattern}') AS gaps FROM texts),
+               unnest(range(1, len(hits) + 1)) AS u(i))
+) WHERE {valid} AND {near}"""
+
+
+_LUHN = """(length(digits) BETWEEN 13 AND 19 AND list_sum(list_transform(range(1, length(digits) + 1), lambda i:
+    CASE WHEN i % 2 = 1 THEN substr(reverse(digits), i, 1)::INT
+         ELSE 2 * substr(reverse(digits), i, 1)::INT // 10 + 2 * substr(reverse(digits), i, 1)::INT % 10 END)) % 10 = 0)"""
+_MOD97 = """(length(code) BETWEEN 15 AND 34 AND list_reduce(list_prepend(0, list_transform(string_split(
+    list_aggregate(list_transform(string_split(substr(code, 5) || left(code, 4), ''), lambda c:
+        CASE WHEN c >= 'A' THEN (ord(c) - 55)::VARCHAR ELSE c END), 'string_agg', ''), ''), lambda d: d::INT)),
+    lambda a, d: (a * 10 + d) % 97) = 1)"""
+
+OP13 = (
+    "WITH texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents), spans AS ("
+    + "\nUNION ALL".join(
+        (
+            _personal("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
+            _personal("ip", r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", "list_max(list_transform(string_split(hit, '.'), lambda p: p::DOUBLE)) <= 255"),
+            _personal("card", r"[0-9](?:[\x20-]?[0-9])+", _LUHN),
+            _personal("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "length(digits) BETWEEN 9 AND 15"),
+            _personal("iban", r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}", "NOT regexp_matches(right(gap, 1) || ' ' || left(after, 1), '[A-Za-z0-9]') AND " + _MOD97),
+            _personal(
+                "ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
+                "NOT regexp_matches(hit, '^(?:000|666|9)|-00-|-0000$') AND NOT regexp_matches(right(gap, 1) || ' ' || left(after, 1), '[0-9A-Za-z-]')",
+                "(?i)ssn|social.?security|tax.?id",
+            ),
+            _personal(
+                "tel", r"\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}",
+                r"NOT regexp_matches(right(gap, 6), '[0-9.(-]$|\+[0-9]{1,3}\x20?$') AND NOT regexp_matches(left(after, 2), '^(?:[0-9]|[.-][0-9])')",
+                "(?i)call|phone|tel|mobil|fax|whatsapp",
+            ),
+            _personal(
+                "secret", r"[A-Za-z0-9+/_-]{20,}", "regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]')",
+                "(?i)token|secret|passw|api.?key|bearer|credential",
+            ),
+        )
+    )
+    + """
+), listed AS (
+    SELECT r, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY list_position(ranks, kind), s) AS spans,
+           string_agg(kind || ':' || s || ':' || e, ',' ORDER BY list_position(ranks, kind), s) FILTER (list_position(ranks, kind) <= 4) AS base,
+           count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
+           count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone
+    FROM spans, (SELECT ['email', 'ip', 'card', 'phone', 'iban', 'ssn', 'tel', 'secret'] AS ranks) GROUP BY r
+)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN listed USING (r)
+"""
+)

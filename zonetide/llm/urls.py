@@ -63,12 +63,12 @@ def grams(host: Column, path: Column) -> Column:
     """Character n-grams of host and path, each marked with where it is from.
 
     A look-ahead pattern yields overlapping n-grams in one pass over the text."""
-    parts = []
+    parts, marked = [], lambda mark: lambda g: F.concat(F.lit(mark), g)
     for mark, text in (("h", host), ("p", path)):
         framed = F.concat(F.lit("^"), text, F.lit("$"))
         for n in GRAMS:
             found = F.regexp_extract_all(framed, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
-            parts.append(F.transform(found, lambda g, mark=mark: F.concat(F.lit(mark), g)))
+            parts.append(F.transform(found, marked(mark)))
     return F.concat(*parts)
 
 
