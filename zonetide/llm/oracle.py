@@ -176,3 +176,84 @@ SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coale
 FROM texts LEFT JOIN listed USING (r)
 """
 )
+
+
+def _plus(value: str, cost: str, letter: str) -> str:
+    """A cost and an audit as one sortable text, an edit further."""
+    return f"(format('{{:012d}}', left({value}, 12)::BIGINT + {cost}) || substr({value}, 13) || '{letter}')"
+
+
+_OPENED = f"least(s2, {_plus('s0', '3', 'I')}, {_plus('s1', '3', 'I')}, {_plus('s3', '3', 'I')})"
+_PAIRED = f"least(s3, {_plus('s2', '3', 'I')})"
+
+# the repair as a walk over the turns: s0 to s3 are the best ways to each state
+OP11 = f"""
+WITH RECURSIVE crc_steps AS (
+    SELECT i, 0 AS k, i AS c FROM range(256) AS t(i)
+    UNION ALL
+    SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc_steps WHERE k < 8
+), crc_table AS (
+    SELECT list(c ORDER BY i) AS tab FROM crc_steps WHERE k = 8
+), hashed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+                                                        lambda x: ord(x)::BIGINT)),
+        lambda a, b: xor(tab[(xor(a, b) & 255) + 1], a >> 8))) % 20 AS fault
+    FROM conversations, crc_table
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+           CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM hashed, unnest(range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) WHERE fault <> 0
+), ordered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i,
+           regexp_extract(text, '([^\\x20\\x09-\\x0D])[\\x20\\x09-\\x0D]*$', 1) AS shown
+    FROM damaged
+), judged AS (
+    SELECT *, left(role, 1) AS initial, CASE WHEN shown = '' THEN 'blank'
+           WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+           WHEN shown NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+           lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+    FROM ordered
+), turns AS (
+    SELECT *, fault IN ('blank', 'duplicate') AS gone, CASE fault WHEN 'truncated' THEN 3 ELSE 0 END AS extra FROM judged
+), walk AS (
+    SELECT DISTINCT conv_id, 0::BIGINT AS i, '000000000000' AS s0, NULL::VARCHAR AS s1, NULL::VARCHAR AS s2, NULL::VARCHAR AS s3 FROM turns
+    UNION ALL
+    SELECT w.conv_id, t.i, {_plus('s0', '4', 'D')},
+           least({_plus('s1', '4', 'D')}, CASE WHEN NOT gone AND initial = 's' THEN {_plus('s0', 'extra', 'K')} END),
+           least({_plus('s2', '4', 'D')}, CASE WHEN NOT gone AND initial = 'u' THEN {_plus('least(s0, s1, s3)', 'extra', 'K')} END,
+                 CASE WHEN NOT gone THEN {_plus('least(s0, s1, s3)', '3 + extra', 'R')} END),
+           least({_plus('s3', '4', 'D')}, CASE WHEN NOT gone AND initial = 'a' THEN {_plus('s2', 'extra', 'K')} END,
+                 CASE WHEN NOT gone THEN {_plus('s2', '3 + extra', 'R')} END)
+    FROM (SELECT conv_id, i, s0, s1, s2, {_PAIRED} AS s3 FROM (SELECT conv_id, i, s0, s1, s3, {_OPENED} AS s2 FROM walk)) w
+    JOIN turns t ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND t.i = w.i + 1
+), last AS (
+    SELECT conv_id, s0, {_OPENED} AS s2, s3 FROM walk QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1
+), found AS (
+    SELECT conv_id, least(s0, {_PAIRED}) AS best FROM last
+), letters AS (
+    SELECT conv_id, l, substr(best, 12 + l, 1) AS letter FROM found, unnest(range(1, length(best) - 11)) AS u(l)
+), edits AS (
+    SELECT *, count(*) FILTER (letter <> 'I') OVER (PARTITION BY conv_id ORDER BY l) AS i FROM letters
+), kept AS (
+    SELECT e.conv_id, l, letter, t.role, t.text,
+           count(*) FILTER (NOT (letter = 'K' AND t.initial = 's')) OVER (PARTITION BY e.conv_id ORDER BY l) AS pos
+    FROM edits e LEFT JOIN turns t ON e.letter <> 'I' AND t.conv_id IS NOT DISTINCT FROM e.conv_id AND t.i = e.i
+    WHERE letter <> 'D'
+), told AS (
+    SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN pos % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || coalesce(text, ''), chr(10) ORDER BY l) AS told
+    FROM kept GROUP BY conv_id
+), counted AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+           count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM turns GROUP BY conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(left(best, 12)::BIGINT, 0) AS cost,
+       coalesce(substr(best, 13), '') AS audit, sha256(coalesce(told, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN counted n ON n.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN found f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN told t ON t.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
