@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, licenses, lm, mixing, neardup, oracle, pii, quality, repair, topk, toxicity, urls
+from . import chat, decontaminate, licenses, lm, mixing, neardup, negatives, oracle, pii, quality, repair, topk, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": quality.op9_quality,
     "op10_exact_topk": topk.op10_exact_topk,
     "op11_conversation_repair": repair.op11_conversation_repair,
+    "op12_hard_negatives": negatives.op12_hard_negatives,
     "op13_pii": pii.op13_pii,
 }
 
@@ -30,5 +31,6 @@ ORACLES: dict[str, str] = {
     "op5_near_duplicates": oracle.OP5,
     "op10_exact_topk": oracle.OP10,
     "op11_conversation_repair": oracle.OP11,
+    "op12_hard_negatives": oracle.OP12,
     "op13_pii": oracle.OP13,
 }
