@@ -1,4 +1,5 @@
 from datetime import datetime, timedelta
+from functools import reduce
 
 import builders as b
 import pytest
@@ -115,3 +116,63 @@ def test_zone_status_batches(spark, feed, tmp_path):
         )
     got = {r.zone: (r.total_orders, r.demand_supply_ratio, r.zone_status, r.is_alert) for r in spark.read.parquet(out).collect()}
     assert got == {"Z1": (7, 3.5, "CRITICAL", 1), "Z2": (1, None, "HEALTHY", 1)}
+
+
+@pytest.fixture()
+def deliveries(spark):
+    """Four deliveries: on time; newer; late ones and copies; later than everything."""
+    rows = [(0, at(0, 1)), (0, at(50, 2)), (1, at(300, 3)), (1, at(270, 4))]
+    rows += [(2, at(10, 5)), (2, at(280, 4)), (2, at(290, 6)), (2, at(239, 7)), (3, at(241, 8)), (3, at(900, 9))]
+    feed = [b.orders(spark, r).withColumn("n", F.lit(n)) for n, r in rows]
+    return reduce(lambda x, y: x.unionByName(y), feed)
+
+
+def test_late_rows_go_aside_and_nothing_is_lost(spark, deliveries, tmp_path):
+    out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
+    seen = []
+
+    def run(path):
+        source = streams.read_orders(spark, path, ORDERS, "1 hour")
+        query = streams.run_with_late_rows(source, out, cp, "1 hour")
+        seen.append(streams.late_rows(spark, out, ORDERS).count())
+        return query
+
+    streams.run_deliveries(deliveries, "n", str(tmp_path / "in"), run)
+    assert seen == [2, 4, 8, 10]  # every delivery is a batch
+    rows = streams.late_rows(spark, out, ORDERS)
+    assert {(r.order_id, r.batch) for r in rows.filter("is_late = 1").collect()} == {("5", 2), ("7", 2)}
+    marks = {r.batch: r.watermark for r in rows.select("batch", "watermark").distinct().collect()}
+    assert marks == {0: None, 1: START - timedelta(minutes=10), 2: START + timedelta(minutes=240), 3: START + timedelta(minutes=240)}
+    assert sorted(rows.select(*ORDERS.names).collect(), key=repr) == sorted(deliveries.select(*ORDERS.names).collect(), key=repr)
+
+
+def test_state_drops_what_the_side_output_calls_late(spark, deliveries, tmp_path):
+    def run(path):
+        source = streams.read_orders(spark, path, ORDERS, "1 hour")
+        return streams.run_to_files(streams.dedup(source), str(tmp_path / "out"), str(tmp_path / "cp"))
+
+    with streams.state_partitions(spark, 2):
+        runs = streams.run_deliveries(deliveries, "n", str(tmp_path / "in"), run)
+    kept = [r.order_id for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    # order 4 came again a delivery later: its state was carried over
+    assert sorted(kept) == ["1", "2", "3", "4", "6", "8", "9"]
+    assert sum(map(streams.late_rows_dropped, runs)) == 2
+
+
+def test_repeated_batch_replaces_its_rows(spark, deliveries, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    streams.land(deliveries.filter("n = 0").drop("n"), folder, 0)
+    for cp in ("cp1", "cp2"):  # a lost checkpoint makes the batch run again
+        streams.run_with_late_rows(streams.read_orders(spark, f"{folder}/*", ORDERS), out, str(tmp_path / cp))
+    assert streams.late_rows(spark, out, ORDERS).count() == 2
+
+
+def test_registered_feed_has_late_and_repeated_rows(layers):
+    from zonetide.plans.registry import DELIVERIES, bind
+
+    rows = bind("stream_late_rows")(layers.spark, layers.raw.folder)
+    got = rows.groupBy("batch").agg(F.sum("is_late").alias("late")).sort("batch").collect()
+    assert [r.batch for r in got] == list(range(DELIVERIES))
+    assert sum(r.late for r in got) > 5
+    twice = rows.filter("is_late = 0").groupBy("order_id").agg(F.countDistinct("batch").alias("n")).filter("n > 1")
+    assert twice.count() > 0

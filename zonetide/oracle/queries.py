@@ -511,8 +511,15 @@ SELECT zone, order_hour AS peak_hour, n AS peak_orders FROM (
   SELECT zone, order_hour, {big('SUM(total_orders)')} AS n FROM demand_exact WHERE zone IS NOT NULL GROUP BY zone, order_hour)
 QUALIFY ROW_NUMBER() OVER (PARTITION BY zone ORDER BY n DESC, order_hour) = 1""",
     # streams
-    "stream_hourly_demand": f"SELECT * FROM ({_HOURLY_STREAM})",
-    "stream_dedup": "SELECT DISTINCT order_id, customer_id, restaurant_id, status FROM orders_raw WHERE order_id IS NOT NULL",
+    "stream_hourly_demand": f"""
+SELECT zone, window_start, window_start + INTERVAL 1 HOUR AS window_end, COUNT(order_id) AS total_orders,
+       COUNT(*) FILTER (status = 'cancelled') AS total_cancellations, {money_sum('order_value_inr')} AS order_value
+FROM (SELECT *, date_trunc('hour', order_timestamp) AS window_start FROM orders_in_time)
+WHERE window_start + INTERVAL 1 HOUR <= (SELECT MAX(order_timestamp) - INTERVAL 24 HOUR FROM orders_feed)
+GROUP BY zone, window_start""",
+    "stream_dedup": "SELECT order_id, customer_id, restaurant_id, status FROM orders_in_time",
+    "stream_late_rows": """
+SELECT order_id, arrival_seq, order_timestamp, batch, watermark, CASE WHEN late THEN 1 ELSE 0 END AS is_late FROM orders_watched""",
     "stream_velocity": f"""
 SELECT zone, w AS window_start, w + INTERVAL 60 MINUTE AS window_end, COUNT(order_id) AS total_orders
 FROM (SELECT zone, order_id, time_bucket(INTERVAL 10 MINUTE, order_timestamp) - to_minutes(10 * k) AS w

@@ -127,6 +127,21 @@ RAW = {
   SELECT * REPLACE (CASE WHEN arrival_seq % 400 = 3 OR extract(minute FROM order_timestamp) % 10 >= 5 THEN order_timestamp
                          ELSE order_timestamp + interval '5' minute END AS order_timestamp)
   FROM orders_once WHERE arrival_seq % 200 = 3""",
+    "orders_feed": """
+  SELECT * EXCLUDE (step), held + step AS batch
+  FROM (SELECT *, unnest(CASE WHEN arrival_seq % 50 = 7 AND held < 4 THEN [0, 1] ELSE [0] END) AS step
+        FROM (SELECT o.*, LEAST((arrival_seq - lo) * 5 // (hi - lo + 1) + CASE WHEN arrival_seq % 40 = 17 THEN 1 ELSE 0 END, 4)::INTEGER AS held
+              FROM orders_raw o, (SELECT MIN(arrival_seq) AS lo, MAX(arrival_seq) AS hi FROM orders_raw)))""",
+    "orders_watched": """
+  SELECT f.* EXCLUDE (held), watermark, order_timestamp <= watermark AS late
+  FROM orders_feed f JOIN (
+    SELECT batch, date_trunc('milliseconds', MAX(MAX(order_timestamp)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+           - INTERVAL 24 HOUR AS watermark FROM orders_feed GROUP BY batch) m ON m.batch = f.batch""",
+    "orders_in_time": """
+  SELECT o.* EXCLUDE (zone), COALESCE(NULLIF(o.zone, ''), r.zone) AS zone
+  FROM (SELECT * FROM orders_watched WHERE late IS NOT TRUE AND order_id IS NOT NULL
+        QUALIFY ROW_NUMBER() OVER (PARTITION BY order_id ORDER BY batch, order_timestamp) = 1) o
+  LEFT JOIN restaurants_raw r ON o.restaurant_id = r.restaurant_id""",
     "orders_text": """
   SELECT CASE WHEN arrival_seq % 311 <> 2 THEN order_id END AS order_id,
          CASE WHEN arrival_seq % 301 = 5 THEN 'not a time' ELSE CAST(order_timestamp AS VARCHAR) END AS order_timestamp,

@@ -133,14 +133,55 @@ def _stream(t: Layers, name: str, make, transform=None) -> DataFrame:
     return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(out)
 
 
+#: Deliveries of the registered feed and how far behind the newest order a row may be.
+DELIVERIES, FEED_DELAY = 5, "24 hours"
+
+
+def _feed(t: Layers, name: str, run) -> str:
+    """Run a stream over the orders as they are delivered, and name its output folder.
+
+    ``run`` gets the stream, the output and the checkpoint folder, once per delivery.
+    """
+    out, checkpoint = t.folder(name), t.folder(f"{name}-checkpoint")
+    feed = t.remember("orders_feed", lambda: t.raw.orders_feed(DELIVERIES))
+    schema = feed.drop("delivery").schema
+    spark = t.spark
+    with streams.state_partitions(spark, min(spark.sparkContext.defaultParallelism, 64)):
+        streams.run_deliveries(
+            feed,
+            "delivery",
+            t.folder(f"{name}-landing"),
+            lambda path: run(streams.read_orders(spark, path, schema, FEED_DELAY), out, checkpoint),
+        )
+    return out
+
+
+def _feed_to_files(t: Layers, name: str, make) -> DataFrame:
+    shape = make(t.table("orders_raw")).schema
+    out = _feed(t, name, lambda s, out, cp: streams.run_to_files(make(s), out, cp))
+    return t.spark.read.schema(shape).parquet(out)
+
+
 def _stream_hourly(t: Layers) -> DataFrame:
     master = t.table("restaurants_clean")
-    return _stream(t, "stream_hourly", lambda s: streams.hourly_demand(streams.dedup(s), master))
+    return _feed_to_files(t, "stream_hourly", lambda s: streams.hourly_demand(_deduped(s), master))
 
 
 def _stream_dedup(t: Layers) -> DataFrame:
     kept = ("order_id", "customer_id", "restaurant_id", "status")
-    return _stream(t, "stream_dedup", lambda s: streams.dedup(s).select(*kept))
+    return _feed_to_files(t, "stream_dedup", lambda s: _deduped(s).select(*kept))
+
+
+def _deduped(orders: DataFrame) -> DataFrame:
+    return streams.dedup(orders) if orders.isStreaming else orders
+
+
+def _stream_late_rows(t: Layers) -> DataFrame:
+    out = _feed(
+        t, "stream_late", lambda s, out, cp: streams.run_with_late_rows(s, out, cp, FEED_DELAY)
+    )
+    rows = streams.late_rows(t.spark, out, t.table("orders_raw").schema)
+    return _keys(rows, "arrival_seq", "order_timestamp", "batch", "watermark", "is_late")
 
 
 def _stream_velocity(t: Layers) -> DataFrame:
@@ -462,6 +503,7 @@ QUESTIONS: dict[str, Query] = {
 STREAMS: dict[str, Query] = {
     "stream_hourly_demand": _stream_hourly,
     "stream_dedup": _stream_dedup,
+    "stream_late_rows": _stream_late_rows,
     "stream_velocity": _stream_velocity,
     "stream_zone_status": _stream_zone_status,
 }

@@ -179,6 +179,17 @@ class SampleData:
         )
         return once.withColumn("order_timestamp", shifted).select(*ORDERS.names, ARRIVAL)
 
+    def orders_feed(self, batches: int) -> DataFrame:
+        """Orders as ``batches`` deliveries, numbered in ``delivery``: in order of arrival, but
+        one in 40 is held back by a delivery and one in 50 is delivered once more."""
+        seq = F.col(ARRIVAL)
+        lo, hi = (self.orders.agg(f(seq)).scalar() for f in (F.min, F.max))
+        own = F.least((seq - lo) * batches / (hi - lo + 1), F.lit(batches - 1)).cast("int")
+        last = F.lit(batches - 1)
+        held = F.least(own + F.when(seq % 40 == 17, 1).otherwise(0), last)
+        again = F.when((seq % 50 == 7) & (held < last), F.array(held, held + 1)).otherwise(F.array(held))
+        return self.orders.select("*", F.explode(again).alias("delivery"))
+
     def text(self, table: str) -> DataFrame:
         """An input with every column as text; orders have some broken cells."""
         if table == "orders":

@@ -1,4 +1,4 @@
-"""Order stream: watermark, dedup, windowed demand, live zone status.
+"""Order stream: watermark, dedup, windowed demand, live zone status, late rows.
 
 Streams run with ``availableNow``: they read what is there, advance the watermark and
 stop.  Results go to files, never to driver memory; state and progress live in the
@@ -13,7 +13,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType, TimestampType
 
 from ..functions import rules
 from ..functions.measures import exact_sum, flag
@@ -161,6 +161,72 @@ def run_batches(
     return query
 
 
+def land(delivery: DataFrame, folder: str, number: int) -> None:
+    """Put a delivery into the landing folder; a repeated one replaces itself."""
+    delivery.write.mode("overwrite").parquet(f"{folder}/delivery-{number:06d}")
+
+
+def run_deliveries(
+    feed: DataFrame, number: str, folder: str, run: Callable[[str], StreamingQuery]
+) -> list[StreamingQuery]:
+    """Land the deliveries of ``feed`` one after the other, running the stream after each.
+
+    ``run`` gets the path to read and continues from its own checkpoint, as a job does
+    that is started whenever something has arrived.  All files of a delivery are one
+    batch, however many there are and whatever times the store gives them.
+    """
+    found = [r[0] for r in feed.select(number).distinct().sort(number).collect()]
+    runs = []
+    for n in found:
+        land(feed.filter(F.col(number) == n).drop(number), folder, n)
+        runs.append(run(f"{folder}/*"))
+    return runs
+
+
+def run_with_late_rows(stream: DataFrame, out: str, checkpoint: str, delay: str = DELAY) -> StreamingQuery:
+    """Write every row under its batch, the late ones apart: ``late_rows`` reads them back.
+
+    The watermark of a batch is the newest order time of all batches before, less ``delay``,
+    which is what the stateful operators use; a row at or below it is late.  The newest time
+    so far is kept next to the rows of each batch, so it survives a restart, and a repeated
+    batch finds the mark of the batch before and replaces its own rows.
+    """
+    spark = stream.sparkSession
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        own = f"batch={batch_id}"
+        before = F.lit(None).cast("timestamp")
+        if batch_id:
+            mark = spark.read.parquet(f"{out}/marks/batch={batch_id - 1}").first()
+            before = F.lit(mark["newest"]).cast("timestamp")
+        # watermarks have milliseconds
+        watermark = F.date_trunc("millisecond", before) - F.expr(f"interval {delay}")
+        late = F.coalesce(F.col(EVENT_TIME) <= watermark, F.lit(False))
+        rows = batch.withColumns({"watermark": watermark, "is_late": flag(late)})
+        rows.write.mode("overwrite").partitionBy("is_late").parquet(f"{out}/rows/{own}")
+        written = spark.read.schema(rows.schema).parquet(f"{out}/rows/{own}")
+        newest = F.greatest(F.max(EVENT_TIME), before).alias("newest")
+        written.agg(newest).write.mode("overwrite").parquet(f"{out}/marks/{own}")
+
+    query = (
+        stream.writeStream.outputMode("append")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query
+
+
+def late_rows(spark: SparkSession, out: str, schema: StructType) -> DataFrame:
+    """All rows of ``run_with_late_rows`` with their batch, its watermark and ``is_late``;
+    kept and late rows together are the input."""
+    extra = {"watermark": TimestampType(), "batch": IntegerType(), "is_late": IntegerType()}
+    fields = [*schema.fields, *(StructField(name, kind) for name, kind in extra.items())]
+    return spark.read.schema(StructType(fields)).parquet(f"{out}/rows")
+
+
 def late_rows_dropped(query: StreamingQuery) -> int:
     """Rows the watermark rejected, over all batches kept in the progress log."""
     return sum(
