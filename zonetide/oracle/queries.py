@@ -158,6 +158,10 @@ SELECT k.order_id, k.zone, k.cuisine_type,
        CASE WHEN k.order_value_inr IS NULL THEN 1 ELSE 0 END AS value_imputed
 FROM known k LEFT JOIN groups g ON g.zone = k.zone AND g.cuisine_type = k.cuisine_type""",
     "exclude_missing_value": "SELECT order_id, order_value_inr FROM orders_clean WHERE order_value_inr IS NOT NULL",
+    "late_rows_landing": """
+SELECT order_id, ROW_NUMBER() OVER arrival - 1 AS arrival_seq, order_timestamp,
+       CASE WHEN order_timestamp < MAX(order_timestamp) OVER (arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 1 ELSE 0 END AS is_late
+FROM orders_raw WINDOW arrival AS (ORDER BY arrival_seq, order_timestamp)""",
     "late_rows_flag": """
 SELECT order_id, arrival_seq, order_timestamp, CASE WHEN order_timestamp < seen THEN 1 ELSE 0 END AS is_late
 FROM (SELECT *, MAX(order_timestamp) OVER (ORDER BY arrival_seq RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen

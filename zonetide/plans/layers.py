@@ -12,11 +12,13 @@ import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import cleaning, gold, quality
 from ..session import delete_folder, prepare, shared_dir
-from ..sources import catalog
+from ..sources import catalog, files
 from ..sources.sample import SampleData
+from ..sources.schemas import ARRIVAL
 
 BRONZE = {
     "orders_raw": "orders",
@@ -92,6 +94,14 @@ class Layers:
         with self._lock:
             self._written[name] = df
 
+    def arrivals(self) -> DataFrame:
+        """Raw orders with the number of their arrival; landing files are numbered by their
+        order and the rows' order in them."""
+        orders = self.plan("orders_raw")
+        if ARRIVAL in orders.columns:
+            return orders
+        return files.number_arrivals(orders, self.store)
+
     def _orders_clean(self):
         return cleaning.clean_orders(self._bronze("orders_raw"), self._bronze("restaurants_raw"))
 
@@ -217,9 +227,9 @@ def sample_layers(spark: SparkSession, sf_dir: str) -> Layers:
 
 
 def build_catalog(layers: Layers, prefix: str = "", fmt: str = "parquet") -> dict[str, int]:
-    """Write all layers as managed tables in schemas bronze, silver and gold.
+    """Write all layers as tables in schemas bronze, silver and gold.
 
-    Every table is read back by the tables above it, so nothing is computed twice.
+    Each table is replaced in one step when its rows are complete.  Every table is read back by the tables above it, so nothing is computed twice.
     Rows of any raw input that break its schema go to ``bronze.<input>_quarantine`` with
     their reasons, so that bronze and quarantine together are the input.  Returns the row
     counts.
@@ -230,13 +240,13 @@ def build_catalog(layers: Layers, prefix: str = "", fmt: str = "parquet") -> dic
     for name, table in BRONZE.items():
         good, aside = quality.split_by_schema(layers.raw.text(table), table)
         target = f"{prefix}bronze.{table}_quarantine"
-        counts[target] = catalog.overwrite_table(aside, target, fmt=fmt)
+        counts[target] = catalog.create_or_replace(aside, target, fmt=fmt)
         layers.substitute(name, good)
     for schema, names in (("bronze", tuple(BRONZE)), ("silver", SILVER), ("gold", GOLD)):
         catalog.create_schema(spark, f"{prefix}{schema}")
         for name in names:
             target, df = f"{prefix}{schema}.{name}", layers.plan(name)
-            counts[target] = catalog.overwrite_table(
+            counts[target] = catalog.create_or_replace(
                 df, target, fmt=fmt, partition_by=PARTITIONED.get(name)
             )
             layers.replace(name, spark.table(target).select(*df.columns))
@@ -244,9 +254,52 @@ def build_catalog(layers: Layers, prefix: str = "", fmt: str = "parquet") -> dic
     return counts
 
 
+def refresh_orders(layers: Layers, new: DataFrame, prefix: str = "", fmt: str = "parquet") -> DataFrame:
+    """Take new bronze orders into tables that ``build_catalog`` wrote; returns the dates
+    whose partitions of silver orders, hourly demand and ratio were written anew.
+
+    Only those dates are read and written in full: the dates of the new rows, and those
+    where an order stood that a new copy moves.  Orders seen before are cleaned again from
+    all their bronze rows, so that the result is that of a full build.  Customers and
+    restaurants, which have no dates, are aggregated anew and replaced in one step.
+    Bronze grows last: a run that fails before can be repeated, and one repeated after
+    adds only copies that cleaning leaves out.  Masters, weather and events are those of
+    the tables; when they change, build all.
+    """
+    spark = layers.spark
+    named = lambda layer, name: spark.table(f"{prefix}{layer}.{name}")
+    bronze, silver = named("bronze", "orders_raw"), named("silver", "orders_clean")
+    new = layers.write("refresh-new", new.select(*bronze.columns))
+    ids = layers.write("refresh-ids", new.select("order_id").distinct())
+    known = layers.write("refresh-known", silver.join(ids, "order_id").select("order_id", "order_date"))
+    again = bronze.join(known.select("order_id"), "order_id", "left_semi")
+    cleaned = cleaning.clean_orders(new.unionByName(again), named("bronze", "restaurants_raw"))
+    cleaned = layers.write("refresh-cleaned", cleaned)
+    dates = cleaned.select("order_date").unionByName(known.select("order_date")).distinct()
+    dates = layers.write("refresh-dates", dates)
+    day = dates.select(F.col("order_date").alias("_day"))
+    kept = silver.join(day, F.col("order_date").eqNullSafe(F.col("_day")), "left_semi")
+    kept = kept.join(ids, "order_id", "left_anti").select(*cleaned.columns)
+    orders = layers.write("refresh-orders", kept.unionByName(cleaned))
+    demand = gold.zone_demand_hourly(
+        orders, named("silver", "weather_clean"), named("silver", "local_events_clean"), fan_out=layers.fan_out
+    )
+    demand = layers.write("refresh-demand", demand)
+    ratio = layers.write("refresh-ratio", gold.demand_supply_ratio(demand, named("gold", "partner_availability")))
+    for layer, name, df in (("silver", "orders_clean", orders), ("gold", "zone_demand_hourly", demand), ("gold", "demand_supply_ratio", ratio)):
+        catalog.overwrite_partitions(df, f"{prefix}{layer}.{name}", PARTITIONED[name], dates, fmt=fmt)
+    silver = named("silver", "orders_clean").select(*cleaned.columns)
+    catalog.create_or_replace(gold.customer_360(silver), f"{prefix}gold.customer_360", fmt=fmt)
+    performance = gold.restaurant_performance(silver, named("silver", "restaurants_clean"))
+    catalog.create_or_replace(performance, f"{prefix}gold.restaurant_performance", fmt=fmt)
+    new.write.mode("append").format(fmt).save(catalog.location(spark, f"{prefix}bronze.orders_raw"))
+    spark.catalog.refreshTable(f"{prefix}bronze.orders_raw")
+    return dates
+
+
 def publish_predictions(predictions: DataFrame, prefix: str = "", fmt: str = "parquet") -> int:
     """Write the forecast next to the other gold tables and return its row count."""
     spark = predictions.sparkSession
-    rows = catalog.overwrite_table(predictions, f"{prefix}gold.demand_predictions", fmt=fmt)
+    rows = catalog.create_or_replace(predictions, f"{prefix}gold.demand_predictions", fmt=fmt)
     catalog.comment_gold(spark, f"{prefix}gold")
     return rows

@@ -25,7 +25,8 @@ from ..operators import (
     scalars,
 )
 from ..sources.catalog import layer_counts
-from ..sources.files import file_manifest
+from ..sources.files import file_manifest, number_arrivals, read_raw
+from ..sources.schemas import ORDERS
 from ..streaming import orders as streams
 from .layers import BRONZE, GOLD, SILVER, Layers, sample_layers
 
@@ -199,6 +200,18 @@ def _stream_zone_status(t: Layers) -> DataFrame:
     )
 
 
+def _late_rows_landing(t: Layers) -> DataFrame:
+    """The orders as CSV files in order of arrival, and the late rows of those files."""
+    path = t.folder("landing") + "/orders.csv"
+    orders = t.table("orders_raw")
+    text = orders.repartitionByRange("arrival_seq", "order_timestamp")
+    text = text.sortWithinPartitions("arrival_seq", "order_timestamp")
+    text = text.select(*(F.col(f.name).cast("string") for f in ORDERS.fields))
+    text.write.option("header", True).csv(path)
+    numbered = number_arrivals(read_raw(t.spark, path, "orders"), lambda n, df: t.write(f"{n}-csv", df))
+    return _keys(quality.flag_late_rows(numbered), "arrival_seq", "order_timestamp", "is_late")
+
+
 # -- sources, cleaning and quality ----------------------------------------------------
 
 LAYERS_AND_CLEANING: dict[str, Query] = {
@@ -244,8 +257,9 @@ LAYERS_AND_CLEANING: dict[str, Query] = {
         quality.exclude_missing_value(t.table("orders_clean")), "order_value_inr"
     ),
     "late_rows_flag": lambda t: _keys(
-        quality.flag_late_rows(t.plan("orders_raw")), "arrival_seq", "order_timestamp", "is_late"
+        quality.flag_late_rows(t.arrivals()), "arrival_seq", "order_timestamp", "is_late"
     ),
+    "late_rows_landing": _late_rows_landing,
     "surge_consistency_audit": lambda t: quality.surge_consistency(t.table("orders_clean")),
     "fk_orphans": lambda t: quality.fk_orphans(
         t.table("orders_clean"), t.table("restaurants_clean"), t.table("delivery_partners_clean")

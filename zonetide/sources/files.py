@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .schemas import RAW
+from .schemas import ARRIVAL, RAW
 
 
 def read_raw(spark: SparkSession, path: str, table: str, infer: bool = False) -> DataFrame:
@@ -28,6 +29,34 @@ def read_raw_text(spark: SparkSession, path: str, table: str) -> DataFrame:
     return spark.read.option("header", True).schema(text).csv(path)
 
 
+def number_arrivals(
+    rows: DataFrame, keep: Callable[[str, DataFrame], DataFrame], name: str = ARRIVAL, by_time: bool = False
+) -> DataFrame:
+    """Rows as they were read, with their number ``name`` from 0 in order of arrival: by file
+    name (or first by the time of the file), then by place in the file.
+
+    Nothing is sorted.  Reading a split numbers its rows in one go; the rows of all splits
+    before are added from one count per split.  ``keep`` writes the rows once, because
+    another reading could cut the files otherwise.  ``rows`` must come straight from files.
+    """
+    place = {
+        "_path": F.col("_metadata.file_path"),
+        "_start": F.col("_metadata.file_block_start"),
+        "_time": F.col("_metadata.file_modification_time"),
+        "_row": F.monotonically_increasing_id(),
+    }
+    written = keep("arrivals", rows.select("*", *(c.alias(n) for n, c in place.items())))
+    splits = written.groupBy("_path", "_start").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"), F.min("_time").alias("_time")
+    )
+    # one row per split of the files, a few hundred thousand for 100 TB
+    order = Window.orderBy(*(["_time"] if by_time else []), "_path", "_start")
+    before = F.coalesce(F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    splits = splits.select("_path", "_start", "_first", before.alias("_before"))
+    number = (F.col("_before") + F.col("_row") - F.col("_first")).alias(name)
+    return written.drop("_time").join(splits, ["_path", "_start"]).select(*rows.columns, number)
+
+
 def file_manifest(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
     """Name and size of the landing files.  File contents are never read."""
     files = (
