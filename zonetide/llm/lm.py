@@ -46,6 +46,8 @@ HIDDEN, WINDOW, RUN = 16, 24, 48
 #: Words of a text that one replica takes in a row, a multiple of WINDOW.
 STRETCH = 512 * WINDOW
 FIRST_RUNS, FIRST_EPOCHS, REPLICA_RUNS, BATCH, RATE = 4000, 6, 16_384, 128, 4e-3
+#: Models that are added up by one task, and most that reach the driver (20 MB).
+SUMS = 64
 END = b""
 #: Rows of the output softmax that are computed at once.
 ROWS = 8192
@@ -167,9 +169,10 @@ class Ids(dict):
 
 
 def _add_by_key(out: np.ndarray, keys: np.ndarray, rows: np.ndarray) -> None:
-    """``np.add.at``, with the rows of a key added up first."""
+    """``np.add.at`` for short keys, with the rows of a key added up first."""
     if not len(keys):
         return
+    keys = keys.astype(np.uint16)  # which sort by their digits
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
@@ -215,64 +218,105 @@ class Network:
 
     def output(self, h: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, tuple]:
         """Natural log-probability of the classes of ``ids`` and, in the short list, of the
-        words within them."""
+        words within them, whose rows are worked on class by class."""
         c = self.classes.of[ids]
-        logits = h @ self.w["out"] + self.w["out_bias"]
-        logits -= logits.max(axis=1, keepdims=True)
-        p = np.exp(logits)
-        p /= p.sum(axis=1, keepdims=True)
-        at = np.arange(len(ids))
-        log_p = np.log(p[at, c])
+        p = h @ self.w["out"]
+        p += self.w["out_bias"]
+        p -= p.max(axis=1, keepdims=True)
+        log_p = p[np.arange(len(ids)), c]
+        np.exp(p, out=p)
+        sums = p.sum(axis=1, keepdims=True)
+        p /= sums
+        log_p -= np.log(sums[:, 0])
         listed = np.flatnonzero(ids < self.classes.short)
-        place = ids[listed] % CLASS_WORDS
-        inner = np.matmul(self.w["word"][c[listed]], h[listed][:, :, None])[:, :, 0] + self.w["word_bias"][c[listed]]
-        inner -= inner.max(axis=1, keepdims=True)
-        q = np.exp(inner)
-        q /= q.sum(axis=1, keepdims=True)
-        log_p[listed] += np.log(q[np.arange(len(listed)), place])
-        return log_p, (p, c, listed, place, q)
+        listed = listed[np.argsort(c[listed].astype(np.uint16), kind="stable")]
+        own, lists = h[listed], c[listed]
+        edges = np.searchsorted(lists, np.arange(len(self.w["word"]) + 1)).tolist()
+        parts = [(k, slice(i, j)) for k, (i, j) in enumerate(zip(edges, edges[1:], strict=False)) if j > i]
+        q = np.empty((len(listed), CLASS_WORDS), h.dtype)
+        for k, rows in parts:
+            np.matmul(own[rows], self.w["word"][k].T, out=q[rows])
+        q += self.w["word_bias"][lists]
+        q -= q.max(axis=1, keepdims=True)
+        place, at = ids[listed] % CLASS_WORDS, np.arange(len(listed))
+        inner = q[at, place]
+        np.exp(q, out=q)
+        sums = q.sum(axis=1, keepdims=True)
+        q /= sums
+        log_p[listed] += inner - np.log(sums[:, 0])
+        return log_p, (p, c, listed, place, q, parts)
+
+    def _forward(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
+        """``step`` over (time, batch) input symbols: states from the one before the first
+        on, gates, state terms and new values."""
+        (times, lanes), kind = x.shape, h.dtype
+        given, state = self.w["input"][x], self.w["state"]
+        states, gates = np.empty((times + 1, lanes, HIDDEN), kind), np.empty((times, lanes, 2 * HIDDEN), kind)
+        terms, new = np.empty((2, times, lanes, HIDDEN), kind)
+        states[0] = h
+        for t in range(times):
+            b, g, n = states[t] @ state, gates[t], new[t]
+            np.add(given[t, :, : 2 * HIDDEN], b[:, : 2 * HIDDEN], out=g)
+            np.negative(g, out=g)
+            np.exp(g, out=g)
+            g += 1
+            np.reciprocal(g, out=g)
+            terms[t] = b[:, 2 * HIDDEN :]
+            np.multiply(g[:, :HIDDEN], terms[t], out=n)
+            n += given[t, :, 2 * HIDDEN :]
+            np.tanh(n, out=n)
+            np.subtract(states[t], n, out=states[t + 1])
+            states[t + 1] *= g[:, HIDDEN:]
+            states[t + 1] += n
+        return states, gates, terms, new
 
     def gradients(self, runs: np.ndarray, h: np.ndarray) -> tuple[dict, np.ndarray, float]:
         """Gradients of one window for a batch: (batch, time + 1) ids, the first being
         input only; -1 pads.  Also the state after the window, and the loss."""
         w = self.w
-        inputs = self.classes.inputs(np.maximum(runs[:, :-1], 0))
-        targets, real = runs[:, 1:], runs[:, 1:] >= 0
-        saved, states = [], []
-        for t in range(inputs.shape[1]):
-            h, keep = self.step(inputs[:, t], h)
-            saved.append(keep)
-            states.append(h)
+        x = self.classes.inputs(np.maximum(runs[:, :-1], 0)).T
+        targets = runs[:, 1:].T.ravel()
+        real = np.flatnonzero(targets >= 0)
+        states, gates, terms, new = self._forward(x, h)
         grads = {k: np.zeros_like(v) for k, v in w.items()}
-        flat, ids = np.stack(states, 1)[real], targets[real]
-        if not len(ids):
-            return grads, h, 0.0
-        log_p, (p, c, listed, place, q) = self.output(flat, ids)
+        if not len(real):
+            return grads, states[-1], 0.0
+        flat, ids = states[1:].reshape(-1, HIDDEN)[real], targets[real]
+        log_p, (p, c, listed, place, q, parts) = self.output(flat, ids)
         p[np.arange(len(ids)), c] -= 1
         p /= len(ids)
         grads["out"], grads["out_bias"] = flat.T @ p, p.sum(axis=0)
         back = p @ w["out"].T
         q[np.arange(len(listed)), place] -= 1
         q /= len(ids)
-        _add_by_key(grads["word"], c[listed], q[:, :, None] * flat[listed][:, None, :])
-        _add_by_key(grads["word_bias"], c[listed], q)
-        back[listed] += np.matmul(q[:, None, :], w["word"][c[listed]])[:, 0, :]
-        to_state = np.zeros((*real.shape, HIDDEN), np.float32)
+        own, inner = flat[listed], np.empty((len(listed), HIDDEN), flat.dtype)
+        for k, rows in parts:
+            np.matmul(q[rows].T, own[rows], out=grads["word"][k])
+            q[rows].sum(axis=0, out=grads["word_bias"][k])
+            np.matmul(q[rows], w["word"][k], out=inner[rows])
+        back[listed] += inner
+        to_state = np.zeros((len(targets), HIDDEN), back.dtype)
         to_state[real] = back
-        x, before, b, reset, keep, new = (np.stack(part) for part in zip(*saved, strict=True))
-        by_new, by_keep, by_reset = (1 - keep) * (1 - new * new), (before - new) * keep * (1 - keep), b * reset * (1 - reset)
-        carried = np.zeros_like(h)
-        own = np.zeros((*x.shape, 3 * HIDDEN), h.dtype)
+        to_state = to_state.reshape(new.shape)
+        reset, keep = gates[:, :, :HIDDEN], gates[:, :, HIDDEN:]
+        by_new, by_keep, by_reset = (1 - keep) * (1 - new * new), (states[:-1] - new) * keep * (1 - keep), terms * reset * (1 - reset)
+        carried = np.zeros_like(states[0])
+        moved = np.zeros((*x.shape, 3 * HIDDEN), states.dtype)
+        d_new, turned = np.empty_like(new), np.ascontiguousarray(w["state"].T)
         for t in range(len(x) - 1, -1, -1):
-            d = to_state[:, t] + carried
-            own[t, :, 2 * HIDDEN :] = d_new = d * by_new[t]
-            own[t, :, :HIDDEN] = d_new * by_reset[t]
-            own[t, :, HIDDEN : 2 * HIDDEN] = d * by_keep[t]
-            carried = d * keep[t] + own[t, :, : 2 * HIDDEN] @ w["state"].T[: 2 * HIDDEN] + (d_new * reset[t]) @ w["state"].T[2 * HIDDEN :]
-        _add_by_key(grads["input"], x.ravel(), own.reshape(-1, 3 * HIDDEN))
-        own[:, :, 2 * HIDDEN :] *= reset
-        grads["state"] += before.reshape(-1, HIDDEN).T @ own.reshape(-1, 3 * HIDDEN)
-        return grads, h, float(-log_p.sum())
+            d = to_state[t]
+            d += carried
+            np.multiply(d, by_new[t], out=d_new[t])
+            np.multiply(d_new[t], by_reset[t], out=moved[t, :, :HIDDEN])
+            np.multiply(d, by_keep[t], out=moved[t, :, HIDDEN : 2 * HIDDEN])
+            np.multiply(d_new[t], reset[t], out=moved[t, :, 2 * HIDDEN :])
+            carried = moved[t] @ turned
+            d *= keep[t]
+            carried += d
+        grads["state"] = states[:-1].reshape(-1, HIDDEN).T @ moved.reshape(-1, 3 * HIDDEN)
+        moved[:, :, 2 * HIDDEN :] = d_new
+        _add_by_key(grads["input"], x.ravel(), moved.reshape(-1, 3 * HIDDEN))
+        return grads, states[-1], float(-log_p.sum())
 
     def train(self, stretches: list[tuple[np.ndarray, np.ndarray]], epochs: int, rate: float, seed: int) -> None:
         """Adam over windows of ``BATCH`` stretches side by side, each carrying its state to
@@ -471,9 +515,12 @@ def learn(docs: DataFrame, classes: Classes, shared, n_texts: int) -> Network:
     dealt = common.map_batches(texts, _stretches(shared, start), STRETCHES).withColumn("replica", F.pmod("place", F.lit(replicas)).cast("int"))
     dealt = dealt.repartition(replicas, "replica").sortWithinPartitions("replica")
     trained = common.stored(common.map_batches(dealt, replica, schema), "replicas")
-    # replicas meet in groups of the square root of their number, the groups in the driver
-    groups = max(1, int(replicas**0.5))
-    sums = common.map_batches(trained.repartition(groups), summed, schema).collect()
+    # replicas are added up in groups, round by round, until few enough for the driver are left
+    left = replicas
+    while left > SUMS:
+        left = -(-left // SUMS)
+        trained = common.stored(common.map_batches(trained.repartition(left), summed, schema), "sums")
+    sums = trained.collect()
     if sums:
         sums.sort(key=lambda r: (r["n"], bytes(r["weights"])))
         n = sum(r["n"] for r in sums)
