@@ -1,8 +1,9 @@
 import builders as b
 import pytest
 from builders import ts
+from pyspark.sql import functions as F
 
-from zonetide.operators import cleaning, dashboards, gold, joins, ops
+from zonetide.operators import cleaning, dashboards, gold, joins, ml, ops
 
 
 @pytest.fixture()
@@ -122,6 +123,27 @@ def test_event_interval_is_half_open(spark):
     assert got == {"12:00", "12:59"}
 
 
+def test_event_that_ends_after_midnight(spark):
+    moments = ("2024-01-03 22:29", "2024-01-03 22:30", "2024-01-04 00:00", "2024-01-04 01:59", "2024-01-04 02:00", "2024-01-03 01:00")
+    orders = cleaning.with_calendar(b.orders(spark, *[{"order_id": m, "order_timestamp": ts(f"{m}:00")} for m in moments]))
+    late = {"start_time": "22:30", "end_time": "02:00"}
+    none = [{"event_id": "E2", "start_time": "10:00", "end_time": "10:00"}, {"event_id": "E3", "end_time": "soon"}]
+    events = cleaning.clean_local_events(b.events(spark, late, *none))
+    got = joins.orders_during_events(orders, events)
+    assert sorted(r.order_id for r in got.collect()) == list(moments[1:4])
+    assert set(orders.columns) <= set(got.columns)
+
+
+def test_folds_learn_from_the_past_only(spark):
+    rows = spark.sql("SELECT date_add(date'2024-01-01', CAST(id AS int)) AS order_date, id AS total_orders FROM range(20)")
+    rows = rows.unionByName(rows.selectExpr("CAST(NULL AS date) AS order_date", "total_orders").limit(1))
+    for r in ml.walk_forward(rows).groupBy("fold").pivot("part", ["train", "test"]).agg(
+        F.min("total_orders").alias("lo"), F.max("total_orders").alias("hi"), F.count(F.lit(1)).alias("n")
+    ).collect():
+        assert (r.train_lo, r.train_hi, r.test_lo, r.test_hi) == (0, 4 * r.fold - 1, 4 * r.fold, 4 * r.fold + 3)
+        assert (r.train_n, r.test_n) == (4 * r.fold, 4)
+
+
 def test_zone_containment_keeps_each_order_once(two_events):
     orders, _, events = two_events
     got = joins.orders_in_event_zones(orders, events)

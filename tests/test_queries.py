@@ -12,6 +12,7 @@ NO_SQL = {
     "demand_predictions",
     "q_predictions",
     "nq_pred_rebalance",
+    "ml_backtest",
     "ml_gbt_metrics",
     "ml_rf_metrics",
     "ml_feature_importance",

@@ -60,24 +60,25 @@ def orders_in_event_zones(orders: DataFrame, events: DataFrame) -> DataFrame:
 def orders_during_events(orders: DataFrame, events: DataFrame) -> DataFrame:
     """Orders placed between the start and the end of an event in their zone.
 
-    Zone and date are equi-keys; the interval is checked on what is left.
+    An event that ends before it starts ends the day after.  Every event is listed under
+    each hour it touches, 25 at most, and an order has one hour: zone and hour are equi-keys
+    that find each pair once, and the interval is checked on what is left.
     """
 
     def moment(c: str):
         return F.try_to_timestamp(F.concat_ws(" ", F.col("date").cast("string"), c))
 
-    e = events.select(
-        "zone",
-        F.col("date").alias("order_date"),
-        "event_id",
-        "event_name",
-        moment("start_time").alias("event_start"),
-        moment("end_time").alias("event_end"),
-    )
+    start, end = moment("start_time"), moment("end_time")
+    end = F.when(end < start, end + F.expr("interval 1 day")).otherwise(end)
+    e = events.select("zone", "event_id", "event_name", start.alias("event_start"), end.alias("event_end"))
+    e = e.filter(F.col("event_start") < F.col("event_end"))
+    hours = F.sequence(F.date_trunc("hour", "event_start"), F.col("event_end"), F.expr("interval 1 hour"))
+    e = e.withColumn("_hour", F.explode(hours))
     inside = (F.col("order_timestamp") >= F.col("event_start")) & (
         F.col("order_timestamp") < F.col("event_end")
     )
-    return orders.join(e, ["zone", "order_date"]).filter(inside)
+    placed = orders.withColumn("_hour", F.date_trunc("hour", "order_timestamp"))
+    return placed.join(e, ["zone", "_hour"]).filter(inside).drop("_hour")
 
 
 def orders_partners(orders: DataFrame, partners: DataFrame) -> DataFrame:

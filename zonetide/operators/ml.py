@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import time
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -145,6 +146,45 @@ def split_by_time(rows: DataFrame, share: float = 0.8) -> tuple[DataFrame, DataF
     return rows.filter(F.col("order_date") <= cut), rows.filter(F.col("order_date") > cut)
 
 
+def walk_forward(
+    rows: DataFrame, folds: int = 4, day: Column | str = "order_date", calendar: DataFrame | None = None
+) -> DataFrame:
+    """Rows with the ``fold`` and ``part`` (train or test) they belong to, once for each fold.
+
+    The calendar of ``calendar`` (default: the rows') is cut into ``folds`` + 1 equal
+    stretches; fold k learns from the first k of them and is tested on the next, so that
+    no model has seen what comes after.  Rows outside the calendar belong to no fold.
+    """
+    day = F.col(day) if isinstance(day, str) else day
+    edges = (rows if calendar is None else calendar).agg(F.min("order_date").alias("lo"), F.max("order_date").alias("hi"))
+    lo, hi = edges.select("lo").scalar(), edges.select("hi").scalar()
+    stretch = F.floor(F.datediff(day, lo) * (folds + 1) / (F.datediff(hi, lo) + 1)).cast("int")
+    tagged = rows.withColumn("_stretch", F.when((day >= lo) & (day <= hi), stretch))
+    own = F.greatest(F.col("_stretch"), F.lit(1))
+    fold = F.explode(F.when(F.col("_stretch").isNotNull(), F.sequence(own, F.lit(folds))))
+    part = F.when(F.col("fold") == F.col("_stretch"), "test").otherwise("train")
+    return tagged.withColumn("fold", fold).withColumn("part", part).drop("_stretch")
+
+
+def backtest(
+    tagged: DataFrame, models: Callable[[int, DataFrame], PipelineModel], folds: int = 4
+) -> DataFrame:
+    """Metrics of each fold of ``walk_forward``, whose model comes from ``models(fold, train)``;
+    all folds are scored and measured in one job."""
+    parts = []
+    for k in range(1, folds + 1):
+        own = tagged.filter(F.col("fold") == k)
+        model = models(k, own.filter(F.col("part") == "train"))
+        parts.append(score(model, own.filter(F.col("part") == "test")).select("fold", LABEL, "prediction"))
+    return regression_metrics(reduce(DataFrame.unionByName, parts), by=("fold",))
+
+
+def fold_counts(tagged: DataFrame) -> DataFrame:
+    return tagged.groupBy("fold", "part").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(LABEL).alias("total_orders")
+    )
+
+
 def split_counts(rows: DataFrame) -> DataFrame:
     part = F.when(is_test_row(), "test").otherwise("train")
     return rows.groupBy(part.alias("part")).agg(
@@ -175,12 +215,14 @@ def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return model.transform(_without_nulls(rows, names)).drop("features")
 
 
-def regression_metrics(rows: DataFrame, label: str = LABEL, prediction: str = "prediction") -> DataFrame:
-    """RMSE, MAE and R² in one pass."""
+def regression_metrics(
+    rows: DataFrame, label: str = LABEL, prediction: str = "prediction", by: tuple[str, ...] = ()
+) -> DataFrame:
+    """RMSE, MAE and R² in one pass, of each group of ``by``."""
     y, e = F.col(label).cast("double"), F.col(label) - F.col(prediction)
     n, sse = F.count(F.lit(1)), F.sum(e * e)
     spread = F.var_pop(y) * n
-    return rows.agg(
+    return rows.groupBy(*by).agg(
         n.alias("rows"),
         F.round(F.sqrt(sse / n), 4).alias("rmse"),
         F.round(F.sum(F.abs(e)) / n, 4).alias("mae"),

@@ -212,11 +212,11 @@ WHERE EXISTS (SELECT 1 FROM local_events_raw e
               WHERE e."date" = o.order_date
                 AND list_contains(string_split(replace(e.zones_impacted, ' ', ''), ','), o.zone))""",
     "join_event_interval": """
-SELECT o.order_id, e.event_id, e."date" + CAST(e.start_time || ':00' AS TIME) AS event_start,
-       e."date" + CAST(e.end_time || ':00' AS TIME) AS event_end
-FROM orders_clean o JOIN local_events_clean e ON o.zone = e.zone
- AND o.order_timestamp >= e."date" + CAST(e.start_time || ':00' AS TIME)
- AND o.order_timestamp < e."date" + CAST(e.end_time || ':00' AS TIME)""",
+SELECT o.order_id, event_id, event_start, event_end
+FROM orders_clean o JOIN (
+  SELECT zone, event_id, s AS event_start, CASE WHEN e < s THEN e + INTERVAL 1 DAY ELSE e END AS event_end
+  FROM (SELECT *, "date" + CAST(start_time || ':00' AS TIME) AS s, "date" + CAST(end_time || ':00' AS TIME) AS e FROM local_events_clean)) v
+ ON o.zone = v.zone AND o.order_timestamp >= event_start AND o.order_timestamp < event_end""",
     "orders_with_partner": """
 SELECT o.order_id, o.partner_id, p.zone AS partner_zone, p.vehicle_type, p.status AS partner_state
 FROM orders_clean o LEFT JOIN partners_clean p ON o.partner_id = p.partner_id""",
@@ -378,6 +378,24 @@ SELECT COUNT(*) AS rows, ROUND(SQRT(SUM((total_orders - forecast) ** 2) / COUNT(
        ROUND(1 - SUM((total_orders - forecast) ** 2)
                  / (SUM(CAST(total_orders AS DOUBLE) ** 2) - SUM(CAST(total_orders AS DOUBLE)) ** 2 / COUNT(*)), 4) AS r2
 FROM wma""",
+    "wma_backtest": """
+WITH edges AS (
+  SELECT lo, hi - lo + 1 AS days FROM (SELECT MIN(order_date) AS lo, MAX(order_date) AS hi FROM features)
+), tested AS (
+  SELECT (CAST(hour_ts AS DATE) - lo) * 5 // days AS fold, total_orders AS y, forecast AS f, total_orders - forecast AS e
+  FROM wma, edges WHERE CAST(hour_ts AS DATE) BETWEEN lo AND lo + CAST(days - 1 AS INTEGER)
+)
+SELECT CAST(fold AS INTEGER) AS fold, COUNT(*) AS rows, ROUND(SQRT(SUM(e ** 2) / COUNT(*)), 4) AS rmse, ROUND(SUM(ABS(e)) / COUNT(*), 4) AS mae,
+       ROUND(1 - SUM(e ** 2) / NULLIF(SUM(CAST(y AS DOUBLE) ** 2) - SUM(CAST(y AS DOUBLE)) ** 2 / COUNT(*), 0), 4) AS r2
+FROM tested WHERE fold > 0 GROUP BY fold""",
+    "fold_counts": f"""
+WITH edges AS (
+  SELECT lo, hi - lo + 1 AS days FROM (SELECT MIN(order_date) AS lo, MAX(order_date) AS hi FROM features)
+), cut AS (
+  SELECT (order_date - lo) * 5 // days AS stretch, total_orders FROM features, edges
+)
+SELECT CAST(k AS INTEGER) AS fold, CASE WHEN stretch = k THEN 'test' ELSE 'train' END AS part, COUNT(*) AS rows, {big('SUM(total_orders)')} AS total_orders
+FROM cut, (SELECT unnest(range(1, 5)) AS k) WHERE stretch <= k GROUP BY ALL""",
     # decision rules and operations
     "static_surge": f"SELECT order_id, order_hour, surge_multiplier, {_STATIC} AS static_surge FROM orders_clean",
     "prediction_rules": f"""

@@ -73,8 +73,8 @@ RAW = {
               WHEN 3 THEN 'Marathon' WHEN 4 THEN 'Sale Day' WHEN 5 THEN 'College Fest'
               WHEN 6 THEN 'Public Holiday' ELSE 'Corporate Event' END AS event_type,
          CAST(DATE '2024-01-01' + CAST(30 * ((p_partkey // 50) % 1200) + (p_partkey * p_partkey) % 30 AS int) AS DATE) AS "date",
-         concat(CAST(10 + p_partkey % 10 AS string), ':00') AS start_time,
-         concat(CAST(13 + p_partkey % 10 AS string), ':00') AS end_time,
+         CASE WHEN p_partkey % 11 = 4 THEN '22:30' ELSE concat(CAST(10 + p_partkey % 10 AS string), ':00') END AS start_time,
+         CASE WHEN p_partkey % 11 = 4 THEN '02:00' ELSE concat(CAST(13 + p_partkey % 10 AS string), ':00') END AS end_time,
          CAST(2000 + (p_partkey * 1543) % 78000 AS int) AS expected_crowd,
          concat('NATION_', CAST((p_partkey * 3) % 25 AS string),
            CASE WHEN p_partkey % 5 >= 1 THEN concat(',NATION_', CAST((p_partkey * 3 + 7) % 25 AS string)) ELSE '' END,

@@ -97,6 +97,25 @@ def _compare(t: Layers) -> DataFrame:
     return ml.compare_models(models, test)
 
 
+def _fold_rows(t: Layers) -> DataFrame:
+    return t.remember("fold_rows", lambda: ml.walk_forward(_training_rows(t)))
+
+
+def _backtest(t: Layers) -> DataFrame:
+    def model(fold: int, train: DataFrame):
+        return t.keep(f"forest of fold {fold}", lambda: ml.fit(ml.random_forest(), train, ml.FEATURES))
+
+    return ml.backtest(_fold_rows(t), model)
+
+
+def _wma_backtest(t: Layers) -> DataFrame:
+    """The heuristic forecast on the test stretches of the same folds."""
+    day = F.to_date("hour_ts")
+    tagged = ml.walk_forward(_wma(t), day=day, calendar=_training_rows(t))
+    tested = tagged.filter(F.col("part") == "test")
+    return ml.regression_metrics(tested, prediction="forecast", by=("fold",))
+
+
 def _next_hour(t: Layers) -> DataFrame:
     rows = t.remember("next_hour_rows", lambda: ml.next_hour_rows(t.table("zone_demand_hourly")))
     return ml.next_hour_predictions(
@@ -438,6 +457,9 @@ FORECASTS: dict[str, Query] = {
         ml.features(t.table("zone_demand_hourly"), t.table("partner_availability"))
     ),
     "regression_metrics": lambda t: ml.regression_metrics(_wma(t), prediction="forecast"),
+    "fold_counts": lambda t: ml.fold_counts(_fold_rows(t)),
+    "wma_backtest": _wma_backtest,
+    "ml_backtest": _backtest,
     "ml_gbt_metrics": lambda t: metrics(t, gbt_model(t)),
     "ml_rf_metrics": lambda t: metrics(t, rf_model(t)),
     "ml_feature_importance": lambda t: ml.feature_importance(t.spark, gbt_model(t)),

@@ -115,8 +115,8 @@ class SampleData:
             "ELSE 'Corporate Event' END AS event_type",
             "date_add(DATE '2024-01-01', CAST(30 * ((p_partkey div 50) % 1200) "
             "+ (p_partkey * p_partkey) % 30 AS int)) AS `date`",
-            "concat(CAST(10 + p_partkey % 10 AS string), ':00') AS start_time",
-            "concat(CAST(13 + p_partkey % 10 AS string), ':00') AS end_time",
+            "CASE WHEN p_partkey % 11 = 4 THEN '22:30' ELSE concat(CAST(10 + p_partkey % 10 AS string), ':00') END AS start_time",
+            "CASE WHEN p_partkey % 11 = 4 THEN '02:00' ELSE concat(CAST(13 + p_partkey % 10 AS string), ':00') END AS end_time",
             "CAST(2000 + (p_partkey * 1543) % 78000 AS int) AS expected_crowd",
             f"concat({_zone('(p_partkey * 3) % 25')}{more}) AS zones_impacted",
             f"{_tenth('12 + p_size % 24')} AS demand_multiplier",
