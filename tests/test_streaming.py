@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from zonetide.operators import gold
+from zonetide.sources import catalog
 from zonetide.sources.schemas import ORDERS
 from zonetide.streaming import orders as streams
 
@@ -176,3 +177,59 @@ def test_registered_feed_has_late_and_repeated_rows(layers):
     assert sum(r.late for r in got) > 5
     twice = rows.filter("is_late = 0").groupBy("order_id").agg(F.countDistinct("batch").alias("n")).filter("n > 1")
     assert twice.count() > 0
+
+
+def test_sketches_merge_within_their_error(spark):
+    rows = spark.range(200_000).selectExpr(
+        "concat('C', id % 50000) AS customer_id", "concat('R', id % 3000) AS restaurant_id", "'Z1' AS zone",
+        "timestamp'2024-01-01' + make_dt_interval(0, CAST(id % 24 AS int)) AS order_timestamp",
+    )
+    hours = streams.hourly_uniques(rows, b.restaurants(spark, {}))
+    (day,) = streams.uniques(hours, "zone", F.to_date("window_start").alias("day")).collect()
+    assert day.hours == 24
+    for got, want in ((day.unique_customers, 50_000), (day.active_restaurants, 3000)):
+        assert abs(got - want) <= 3 * streams.SKETCH_ERROR * want
+    few = streams.uniques(hours.filter("hour(window_start) = 3"), "window_start").first()
+    exact = rows.filter("hour(order_timestamp) = 3").select("customer_id").distinct().count()
+    assert abs(few.unique_customers - exact) <= 3 * streams.SKETCH_ERROR * exact
+
+
+def test_dimensions_are_those_of_the_batch_also_when_it_runs_again(spark, tmp_path):
+    catalog.create_schema(spark, "dims")
+    zone = [("Z1", datetime(2024, 1, 1, 10), 1, "Rain")]
+
+    def publish(partners):
+        supply = spark.createDataFrame([("Z1", partners)], "zone string, active_partners long")
+        catalog.create_or_replace(supply, "dims.supply")
+
+    catalog.create_or_replace(spark.createDataFrame(zone, "zone string, timestamp timestamp, is_rainy int, condition string"), "dims.weather")
+    events = "zone string, date date, demand_multiplier double, event_name string"
+    catalog.create_or_replace(spark.createDataFrame([("Z1", START.date(), 1.5, "Match"), ("Z1", START.date(), 2.0, "Fest")], events), "dims.events")
+    tables = {"partner_availability": "dims.supply", "weather_clean": "dims.weather", "local_events_clean": "dims.events"}
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    hourly = "zone string, order_timestamp timestamp, total_orders long, window_start timestamp"
+
+    def deliver(n, cp):
+        rows = spark.createDataFrame([("Z1", START + timedelta(hours=n), 8, START + timedelta(hours=n))], hourly)
+        streams.land(rows, folder, n)
+        source = streams.read_orders(spark, f"{folder}/*", rows.schema)
+        streams.run_with_dimensions(source, streams.enriched_status, tables, out, str(tmp_path / cp))
+
+    def found():
+        rows = spark.read.option("mergeSchema", True).parquet(f"{out}/rows").collect()
+        return {r.batch: (r.active_partners, r.demand_supply_ratio, r.is_rainy, r.event_name) for r in rows}, {r.batch: r.dimensions for r in rows}
+
+    publish(2)
+    deliver(0, "cp")
+    publish(4)
+    deliver(1, "cp")
+    got, versions = found()
+    assert got == {0: (2, 4.0, 1, "Fest"), 1: (4, 2.0, 0, "Fest")}
+    assert versions[0]["partner_availability"] != versions[1]["partner_availability"]
+    publish(8)
+    # the checkpoint is lost: both deliveries are one batch now, with the version of batch 0
+    deliver(1, "again")
+    again, after = found()
+    assert again[0][0] == 2 and after[0] == versions[0]
+    deliver(2, "cp")
+    assert found()[0][2][0] == 8

@@ -540,6 +540,15 @@ FROM (SELECT *, date_trunc('hour', order_timestamp) AS window_start FROM orders_
 WHERE window_start + INTERVAL 1 HOUR <= (SELECT MAX(order_timestamp) - INTERVAL 24 HOUR FROM orders_feed)
 GROUP BY zone, window_start""",
     "stream_dedup": "SELECT order_id, customer_id, restaurant_id, status FROM orders_in_time",
+    # sketches of some hundred values are exact once rounded
+    "stream_daily_uniques": """
+SELECT zone, CAST(w AS DATE) AS order_date, COUNT(DISTINCT w) AS hours, COUNT(DISTINCT customer_id) AS unique_customers,
+       COUNT(DISTINCT restaurant_id) AS active_restaurants
+FROM (SELECT o.* EXCLUDE (zone), COALESCE(NULLIF(o.zone, ''), r.zone) AS zone, date_trunc('hour', order_timestamp) AS w
+      FROM orders_watched o LEFT JOIN restaurants_raw r ON o.restaurant_id = r.restaurant_id
+      WHERE watermark IS NULL OR date_trunc('hour', order_timestamp) + INTERVAL 1 HOUR > watermark)
+WHERE w + INTERVAL 1 HOUR <= (SELECT MAX(order_timestamp) - INTERVAL 24 HOUR FROM orders_feed)
+GROUP BY ALL""",
     "stream_late_rows": """
 SELECT order_id, arrival_seq, order_timestamp, batch, watermark, CASE WHEN late THEN 1 ELSE 0 END AS is_late FROM orders_watched""",
     "stream_velocity": f"""

@@ -204,6 +204,12 @@ def _stream_late_rows(t: Layers) -> DataFrame:
     return _keys(rows, "arrival_seq", "order_timestamp", "batch", "watermark", "is_late")
 
 
+def _stream_daily_uniques(t: Layers) -> DataFrame:
+    master = t.table("restaurants_clean")
+    hours = _feed_to_files(t, "stream_uniques", lambda s: streams.hourly_uniques(s, master))
+    return streams.uniques(hours, "zone", F.to_date("window_start").alias("order_date"))
+
+
 def _stream_velocity(t: Layers) -> DataFrame:
     master = t.table("restaurants_clean")
     return _stream(t, "stream_velocity", lambda s: streams.velocity(streams.dedup(s), master))
@@ -540,6 +546,7 @@ STREAMS: dict[str, Query] = {
     "stream_hourly_demand": _stream_hourly,
     "stream_dedup": _stream_dedup,
     "stream_late_rows": _stream_late_rows,
+    "stream_daily_uniques": _stream_daily_uniques,
     "stream_velocity": _stream_velocity,
     "stream_zone_status": _stream_zone_status,
 }

@@ -50,6 +50,12 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a finished table is there: its writer leaves a mark."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder in whatever store it is."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType, StructField, StructType, TimestampType
@@ -18,6 +18,8 @@ from pyspark.sql.types import IntegerType, StructField, StructType, TimestampTyp
 from ..functions import rules
 from ..functions.measures import exact_sum, flag
 from ..operators.cleaning import backfill_zone
+from ..session import exists
+from ..sources import catalog
 
 EVENT_TIME = "order_timestamp"
 DELAY = "4 hours"
@@ -91,6 +93,55 @@ def velocity(orders: DataFrame, restaurants: DataFrame) -> DataFrame:
     )
 
 
+#: Sketches keep 2^12 registers; the standard error of their estimates is 1.04 / 2^6.
+SKETCH_BITS = 12
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def hourly_uniques(orders: DataFrame, restaurants: DataFrame) -> DataFrame:
+    """Sketches of the customers and restaurants of every zone and hour.
+
+    An exact distinct count of a stream holds every value of every open window as state, and
+    counts of hours cannot be added up to days.  A sketch is 4 kB at most and merges:
+    ``uniques`` rolls stored hours up to any period.  Copies of an order change nothing.
+    """
+    placed = backfill_zone(orders, restaurants)
+    hours = placed.groupBy(F.window(EVENT_TIME, "1 hour").alias("w"), "zone").agg(
+        F.hll_sketch_agg("customer_id", SKETCH_BITS).alias("customers"),
+        F.hll_sketch_agg("restaurant_id", SKETCH_BITS).alias("restaurants"),
+    )
+    return hours.select("zone", F.col("w.start").alias("window_start"), "customers", "restaurants")
+
+
+def uniques(hours: DataFrame, *by: Column | str) -> DataFrame:
+    """Estimated distinct customers and restaurants, of sketched hours merged by ``by``."""
+    merged = hours.groupBy(*by)
+    return merged.agg(
+        F.count_distinct("window_start").alias("hours"),
+        F.hll_sketch_estimate(F.hll_union_agg("customers")).alias("unique_customers"),
+        F.hll_sketch_estimate(F.hll_union_agg("restaurants")).alias("active_restaurants"),
+    )
+
+
+def enriched_status(hourly: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """``zone_status`` with the weather of the hour and the strongest event of the day."""
+    weather = dims["weather_clean"].groupBy(
+        "zone", F.date_trunc("hour", "timestamp").alias("window_start")
+    ).agg(F.max("is_rainy").alias("is_rainy"), F.min("condition").alias("condition"))
+    events = dims["local_events_clean"].groupBy("zone", F.col("date").alias("_day")).agg(
+        F.max(F.struct("demand_multiplier", "event_name")).alias("_event")
+    )
+    status = zone_status(hourly, dims["partner_availability"]).withColumn("_day", F.to_date("window_start"))
+    joined = status.join(weather, ["zone", "window_start"], "left").join(events, ["zone", "_day"], "left")
+    return joined.select(
+        *[c for c in status.columns if c != "_day"],
+        F.coalesce("is_rainy", F.lit(0)).alias("is_rainy"),
+        "condition",
+        F.coalesce(F.col("_event.event_name"), F.lit("None")).alias("event_name"),
+        F.coalesce(F.col("_event.demand_multiplier"), F.lit(1.0)).alias("demand_multiplier"),
+    )
+
+
 def zone_status(hourly: DataFrame, availability: DataFrame) -> DataFrame:
     """Ratio, status, surge and alert of finished zone-hours."""
     supply = availability.select("zone", "active_partners")
@@ -161,6 +212,47 @@ def run_batches(
     return query
 
 
+def run_with_dimensions(
+    stream: DataFrame,
+    transform: Callable[[DataFrame, dict[str, DataFrame]], DataFrame],
+    dimensions: dict[str, str],
+    out: str,
+    checkpoint: str,
+) -> StreamingQuery:
+    """``run_batches`` with dimension tables as they are when a batch starts.
+
+    dimensions  name -> table that ``catalog.create_or_replace`` writes
+
+    The version of every dimension is noted before the batch works with it, under the
+    batch id, and a batch that runs again after a loss takes the noted ones: a version stays
+    readable for ``catalog.KEEP_HOURS`` after it is replaced.  Rows carry the versions they
+    were made with in ``dimensions``, a map.
+    """
+    spark = stream.sparkSession
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        note = f"{out}/versions/batch={batch_id}"
+        if not exists(spark, note):
+            rows = [(name, catalog.location(spark, table)) for name, table in dimensions.items()]
+            spark.createDataFrame(rows, "name string, path string").coalesce(1).write.parquet(note)
+        paths = {r["name"]: r["path"] for r in spark.read.parquet(note).collect()}
+        schemas = {name: spark.table(table).schema for name, table in dimensions.items()}
+        dims = {name: spark.read.schema(schemas[name]).parquet(path) for name, path in paths.items()}
+        versions = F.create_map(*(F.lit(x) for n, p in paths.items() for x in (n, p.rstrip("/").rpartition("/")[2])))
+        rows = transform(batch, dims).withColumn("dimensions", versions)
+        rows.write.mode("overwrite").parquet(f"{out}/rows/batch={batch_id}")
+
+    query = (
+        stream.writeStream.outputMode("append")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query
+
+
 def land(delivery: DataFrame, folder: str, number: int) -> None:
     """Put a delivery into the landing folder; a repeated one replaces itself."""
     delivery.write.mode("overwrite").parquet(f"{folder}/delivery-{number:06d}")
