@@ -1,6 +1,7 @@
 """The operators against brute force, on rows made for the purpose and on the test tables."""
 
 import math
+import random
 import textwrap
 import zlib
 from collections import Counter
@@ -185,6 +186,32 @@ def test_license_notices_wrapped_over_lines(width):
             assert [f["license"] for f in found] == [name], (name, white)
 
 
+def test_license_floor_loses_no_notice(spark, monkeypatch):
+    """What compression ranks above the floor against confirming every template everywhere."""
+    draw = random.Random(7)
+    texts = [r["text"] for r in common.table(spark, SMALL, "documents").collect()]
+    for template in licenses.templates():
+        for white in (" ", "\n", " \r\n\t"):
+            for n in {0, template.allowed // 2, template.allowed}:
+                words = list(template.words)
+                for place in draw.sample(range(len(words)), n):
+                    words[place] = f"{draw.choice(PROSE.split())}{draw.randrange(99)}"
+                around = PROSE * draw.choice([0, 1, 40])
+                texts.append(f"{around} all rights {white.join(words)} copyright {around}" * draw.choice([1, 2]))
+    ranked = [licenses.scan(t) for t in texts]
+    monkeypatch.setattr(licenses, "FLOOR", float("-inf"))
+    assert ranked == [licenses.scan(t) for t in texts]
+    assert sum(len(found) for _, found in ranked) > 80
+
+
+def test_license_ranks_the_right_template_first():
+    for template in licenses.templates():
+        words = [*PROSE.lower().replace(";", "").replace(",", "").split(), *template.words, *PROSE.split()[:5]]
+        first = [licenses.ranked(words, at)[0] for at in licenses.trigger_words(words)]
+        assert any(t is template or len(t.words) > len(template.words) for _, t, _, _ in first)
+        assert all(licenses.share_saved(template, " ".join(template.words)) == 1.0 for _ in range(2))
+
+
 def test_license_equals_substring_search(spark):
     table = common.table(spark, SMALL, "documents")
     got = {r["doc_id"]: r["licenses"] for r in QUERIES["op2_license_scan"](spark, SMALL).collect()}
