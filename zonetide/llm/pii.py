@@ -198,7 +198,8 @@ def written(spans: Column) -> Column:
 def mask(docs: DataFrame, kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
     """``docs`` with every span of ``text`` replaced by its kind in brackets, null texts left.
 
-    Overlapping spans become one, named after the one that starts first.
+    Overlapping spans become one, named after the one that starts first.  Unlike finding,
+    this reads the text from its start for every span.
     """
     found = find_pii(docs.withColumn("_own", F.struct(*(F.col(f"`{c}`") for c in docs.columns))), kinds)
     spans = F.array_sort(F.transform("pii", lambda s: F.struct(s.start.alias("start"), s.end.alias("end"), s.kind.alias("kind"))))
