@@ -110,22 +110,26 @@ def test_mix_takes_near_targets(spark, docs):
 WORDS = "one two three four five six seven eight nine ten"
 
 
-@pytest.mark.parametrize(
-    "row",
-    [lambda i: (5, WORDS), lambda i: (None, WORDS), lambda i: (None, f"{i} {WORDS[4:]}"), lambda i: (i if i % 3 else 0, WORDS)],
-    ids=["one id", "null id", "null id, own texts", "a third shares an id"],
-)
-def test_mix_reaches_targets_where_ids_are_shared(spark, monkeypatch, row):
+SHARED = {
+    "one id": lambda i: (5, WORDS),
+    "null id": lambda i: (None, WORDS),
+    "null id, own texts": lambda i: (None, f"{i} {WORDS[4:]}"),
+    "a third shares an id": lambda i: (i if i % 3 else 0, WORDS),
+}
+
+
+@pytest.mark.parametrize("kind", SHARED)
+def test_mix_reaches_targets_where_ids_are_shared(spark, monkeypatch, kind):
     monkeypatch.setattr(mixing, "MANY", 4)
-    rows = [(*row(i), None, "s", i) for i in range(40)]
+    rows = [(*SHARED[kind](i), None, "s", i) for i in range(40)]
     shared = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").repartition(5)
-    for share in (1.5, 0.3):
-        monkeypatch.setattr(mixing, "SHARE", share)
-        sized, plan = mixing.mixed(shared)
-        assert sum(r["size"] * r["copies"] for r in mixing.take(sized, plan).collect()) == 400 * share
+    sized, plan = mixing.mixed(shared)
+    assert sum(r["size"] * r["copies"] for r in mixing.take(sized, plan).collect()) == 600
+    if kind == "one id":
+        monkeypatch.setattr(mixing, "SHARE", 0.3)
         out = mixing.repeat_documents(shared).collect()
-        assert len(out) == 40 * share
-        assert max(Counter(r["n_chars"] for r in out).values()) <= 2
+        assert len(out) == 12
+        assert max(Counter(r["n_chars"] for r in out).values()) == 1
 
 
 def test_repeated_documents_keep_columns(docs, none):
