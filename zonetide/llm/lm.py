@@ -32,6 +32,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -49,10 +50,12 @@ FIRST_RUNS, FIRST_EPOCHS, REPLICA_RUNS, BATCH, RATE = 4000, 6, 16_384, 128, 4e-3
 #: Models that are added up by one task, and most that reach the driver (20 MB).
 SUMS = 64
 END = b""
-#: Rows of the output softmax that are computed at once.
-ROWS = 8192
+#: Texts that are scored side by side, and rows of the output softmax computed at once.
+LANES, ROWS = 256, 2048
 #: Distinct words that a counting task holds before it hands them on.
 HELD_WORDS = 400_000
+#: Bytes of texts that are split into words at once; a longer text is split by itself.
+SPLIT_BYTES = 8 << 20
 
 
 def word_hash(word: bytes) -> int:
@@ -64,6 +67,37 @@ def held_out(doc_id: int | None) -> bool:
     return doc_id is None or zlib.crc32(str(doc_id).encode()) % PARTS == HELD_OUT
 
 
+@dataclass
+class Split:
+    """The words of consecutive texts, as ``common.spaced_words`` takes them, and an end after
+    each text's last, in one array."""
+
+    rows: slice  # of the texts
+    words: list[bytes]  # the distinct ones
+    codes: np.ndarray  # places in ``words``, text after text
+    starts: np.ndarray  # where a text begins in ``codes``, and the end of all: one more than texts
+
+
+def split_texts(texts: pa.Array) -> Iterator[Split]:
+    """Every text's words, in blocks of about ``SPLIT_BYTES``.  Arrow's functions for ASCII work
+    on bytes and leave other scripts as they are."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    upto = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(texts):
+        before = upto[at - 1] if at else 0
+        to = max(int(np.searchsorted(upto, before + SPLIT_BYTES, "right")), at + 1)
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(texts[at:to]))
+        coded = pc.dictionary_encode(lists.flatten())
+        words = coded.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+        codes, starts = coded.indices.to_numpy(), lists.offsets.to_numpy()
+        real = codes != (words.index(b"") if b"" in words else -1)  # what is beside outer white space
+        starts = np.concatenate([[0], np.cumsum(real)])[starts - starts[0]]
+        codes = np.insert(codes[real], starts[1:], len(words))
+        yield Split(slice(at, to), [*words, END], codes, starts + np.arange(len(starts)))
+        at = to
+
+
 # --- counts ---------------------------------------------------------------------------
 
 
@@ -75,10 +109,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.record_batch([hashes, pa.array(list(counts.values()), pa.int64())], names=["hash", "n"])
 
     for batch in batches:
-        for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
-            if not held_out(doc_id.as_py()):
-                counts.update(common.spaced_words(text.as_py()))
-                counts[END] += 1
+        learned = pa.array([not held_out(i) for i in batch.column("doc_id").to_pylist()], pa.bool_())
+        for split in split_texts(batch.column("text").filter(learned)):
+            times = np.bincount(split.codes, minlength=len(split.words)).tolist()
+            counts.update({word: n for word, n in zip(split.words, times, strict=True) if n})
             if len(counts) > HELD_WORDS:
                 yield out()
                 counts.clear()
@@ -100,6 +134,7 @@ class Classes:
     tokens: int
     words: int
     of: np.ndarray = field(init=False)  # class by rank, the last entry being the rare class
+    symbols: np.ndarray = field(init=False)  # input symbol by rank
     within: np.ndarray = field(init=False)  # log10 share in the class, for words not in the short list
     short: int = field(init=False)
     classes: int = field(init=False)
@@ -113,6 +148,7 @@ class Classes:
         upto = np.cumsum(mass)
         middle = np.minimum((upto - mass / 2) * MIDDLE // max(upto[-1] if len(upto) else 1, 1), MIDDLE - 1).astype(int)
         self.of = np.concatenate([np.arange(self.short) // CLASS_WORDS, lists + middle, [lists + MIDDLE]]).astype(np.int64)
+        self.symbols = np.concatenate([np.arange(self.short), self.of[self.short :] + self.short])
         by_class = np.bincount(middle, mass, minlength=MIDDLE).astype(float)
         self.within = np.zeros(n + 1)
         self.within[self.short : n] = np.log10(mass / by_class[middle])
@@ -125,7 +161,7 @@ class Classes:
 
     def inputs(self, ids: np.ndarray) -> np.ndarray:
         """The input symbol of a word: itself in the short list, else its class."""
-        return np.where(ids < self.short, ids, self.of[ids] + self.short)
+        return self.symbols[ids]
 
 
 def classes_of(vocabulary: DataFrame) -> Classes:
@@ -160,9 +196,12 @@ class Ids(dict):
         value = self[word] = self.index.get(word_hash(word), self.rare)
         return value
 
+    def each(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+
     def of(self, words: list[bytes]) -> np.ndarray:
         """Ids of a text's words and its end."""
-        return np.fromiter(map(self.__getitem__, [*words, END]), np.int64, len(words) + 1)
+        return self.each([*words, END])
 
 
 # --- the network ----------------------------------------------------------------------
@@ -179,6 +218,30 @@ def _add_by_key(out: np.ndarray, keys: np.ndarray, rows: np.ndarray) -> None:
     out[keys[starts]] += np.add.reduceat(rows[order], starts)
 
 
+def _by_gate(w: np.ndarray) -> np.ndarray:
+    """(3, rows, HIDDEN) of (rows, 3 * HIDDEN)."""
+    return np.ascontiguousarray(w.reshape(-1, 3, HIDDEN).swapaxes(0, 1))
+
+
+def _softmax(x: np.ndarray, chosen: np.ndarray, bias: np.ndarray, reach: np.ndarray, of=None) -> tuple[np.ndarray, np.ndarray]:
+    """Log-probability of the chosen column by row of ``x + bias`` (the bias of row ``of[i]``,
+    if given).  ``x`` becomes the unscaled terms, whose sums by row are the second result.
+
+    Terms are kept in range by what no row can exceed, ``x`` being within ``reach``, and by
+    each row's own maximum where the bounds are too far apart for that."""
+    high, low = ((bias + side).max(axis=-1, keepdims=True, initial=-1e30) for side in (reach, -reach))
+    bounded = bool((high - low < 80).all())
+    bias = (bias - high if bounded else bias).astype(x.dtype)
+    x += bias if of is None else bias[of]
+    if not bounded:
+        x -= x.max(axis=1, keepdims=True)
+    log_p = x[np.arange(len(x)), chosen]
+    np.exp(x, out=x)
+    sums = x @ np.ones(x.shape[1], x.dtype)
+    log_p -= np.log(sums)
+    return log_p, sums
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
@@ -218,105 +281,108 @@ class Network:
 
     def output(self, h: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, tuple]:
         """Natural log-probability of the classes of ``ids`` and, in the short list, of the
-        words within them, whose rows are worked on class by class."""
-        c = self.classes.of[ids]
-        p = h @ self.w["out"]
-        p += self.w["out_bias"]
-        p -= p.max(axis=1, keepdims=True)
-        log_p = p[np.arange(len(ids)), c]
-        np.exp(p, out=p)
-        sums = p.sum(axis=1, keepdims=True)
-        p /= sums
-        log_p -= np.log(sums[:, 0])
+        words within them, whose rows are worked on class by class.  Also what the gradient
+        needs: terms of both softmaxes with their sums by row."""
+        c, w = self.classes.of[ids], self.w
+        size = max(1.0, np.abs(h).max(initial=0))
+        p = h @ w["out"]
+        log_p, sums = _softmax(p, c, w["out_bias"], np.abs(w["out"]).sum(axis=0) * size)
         listed = np.flatnonzero(ids < self.classes.short)
         listed = listed[np.argsort(c[listed].astype(np.uint16), kind="stable")]
         own, lists = h[listed], c[listed]
-        edges = np.searchsorted(lists, np.arange(len(self.w["word"]) + 1)).tolist()
+        edges = np.searchsorted(lists, np.arange(len(w["word"]) + 1)).tolist()
         parts = [(k, slice(i, j)) for k, (i, j) in enumerate(zip(edges, edges[1:], strict=False)) if j > i]
         q = np.empty((len(listed), CLASS_WORDS), h.dtype)
         for k, rows in parts:
-            np.matmul(own[rows], self.w["word"][k].T, out=q[rows])
-        q += self.w["word_bias"][lists]
-        q -= q.max(axis=1, keepdims=True)
-        place, at = ids[listed] % CLASS_WORDS, np.arange(len(listed))
-        inner = q[at, place]
-        np.exp(q, out=q)
-        sums = q.sum(axis=1, keepdims=True)
-        q /= sums
-        log_p[listed] += inner - np.log(sums[:, 0])
-        return log_p, (p, c, listed, place, q, parts)
-
-    def _forward(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-        """``step`` over (time, batch) input symbols: states from the one before the first
-        on, gates, state terms and new values."""
-        (times, lanes), kind = x.shape, h.dtype
-        given, state = self.w["input"][x], self.w["state"]
-        states, gates = np.empty((times + 1, lanes, HIDDEN), kind), np.empty((times, lanes, 2 * HIDDEN), kind)
-        terms, new = np.empty((2, times, lanes, HIDDEN), kind)
-        states[0] = h
-        for t in range(times):
-            b, g, n = states[t] @ state, gates[t], new[t]
-            np.add(given[t, :, : 2 * HIDDEN], b[:, : 2 * HIDDEN], out=g)
-            np.negative(g, out=g)
+            np.matmul(own[rows], w["word"][k].T, out=q[rows])
+        place = ids[listed] % CLASS_WORDS
+        inner, inner_sums = _softmax(q, place, w["word_bias"], np.abs(w["word"]).sum(axis=2) * size, lists)
+        log_p[listed] += inner
+        return log_p, (p, sums, c, listed, place, q, inner_sums, parts)
+
+    def _forward(self, x: np.ndarray, live: list[int], h: np.ndarray) -> tuple[np.ndarray, ...]:
+        """``step`` over packed input symbols: those of the ``live[0]`` lanes at the first
+        time, then those of the ``live[1]`` first lanes, and so on.  In the same order
+        the states before and after, gates (2), state terms and new values; the last states."""
+        n, kind = len(x), h.dtype
+        # a part for either gate and the new value; the gates' are negative, for exp(-x)
+        turn = np.array([-1, -1, 1], kind)[:, None, None]
+        given = (_by_gate(self.w["input"]) * turn)[:, x]
+        state = _by_gate(self.w["state"]) * turn
+        before, after, new = (np.empty((n, HIDDEN), kind) for _ in range(3))
+        terms = np.empty((3, n, HIDDEN), kind)
+        last, at = h.copy(), 0
+        for lanes in live:
+            rows = slice(at, at + lanes)
+            at += lanes
+            h, b, v, out = before[rows], terms[:, rows], new[rows], after[rows]
+            h[:] = last[:lanes]
+            np.matmul(h, state, out=b)
+            g = b[:2]
+            g += given[:2, rows]
             np.exp(g, out=g)
             g += 1
             np.reciprocal(g, out=g)
-            terms[t] = b[:, 2 * HIDDEN :]
-            np.multiply(g[:, :HIDDEN], terms[t], out=n)
-            n += given[t, :, 2 * HIDDEN :]
-            np.tanh(n, out=n)
-            np.subtract(states[t], n, out=states[t + 1])
-            states[t + 1] *= g[:, HIDDEN:]
-            states[t + 1] += n
-        return states, gates, terms, new
+            np.multiply(g[0], b[2], out=v)
+            v += given[2, rows]
+            np.tanh(v, out=v)
+            np.subtract(h, v, out=out)
+            out *= g[1]
+            out += v
+            last[:lanes] = out
+        return before, after, terms[:2], terms[2], new, last
 
     def gradients(self, runs: np.ndarray, h: np.ndarray) -> tuple[dict, np.ndarray, float]:
         """Gradients of one window for a batch: (batch, time + 1) ids, the first being
-        input only; -1 pads.  Also the state after the window, and the loss."""
+        input only; -1 pads at the end.  Also the state after the window, which is not
+        carried on through padding, and the loss."""
         w = self.w
-        x = self.classes.inputs(np.maximum(runs[:, :-1], 0)).T
-        targets = runs[:, 1:].T.ravel()
-        real = np.flatnonzero(targets >= 0)
-        states, gates, terms, new = self._forward(x, h)
         grads = {k: np.zeros_like(v) for k, v in w.items()}
-        if not len(real):
-            return grads, states[-1], 0.0
-        flat, ids = states[1:].reshape(-1, HIDDEN)[real], targets[real]
-        log_p, (p, c, listed, place, q, parts) = self.output(flat, ids)
-        p[np.arange(len(ids)), c] -= 1
-        p /= len(ids)
-        grads["out"], grads["out_bias"] = flat.T @ p, p.sum(axis=0)
+        lengths = (runs[:, 1:] >= 0).sum(axis=1)
+        order = np.argsort(-lengths, kind="stable")  # so that the live lanes are the first ones
+        real = np.arange(runs.shape[1] - 1)[:, None] < lengths[order]
+        live = [n for n in real.sum(axis=1).tolist() if n]
+        if not live:
+            return grads, h, 0.0
+        x, ids = self.classes.inputs(runs[order, :-1].T[real]), runs[order, 1:].T[real]
+        before, after, (reset, keep), terms, new, last = self._forward(x, live, h[order])
+        log_p, (p, sums, c, listed, place, q, inner_sums, parts) = self.output(after, ids)
+        share = 1 / len(ids)
+        p *= (share / sums)[:, None]
+        p[np.arange(len(ids)), c] -= share
+        grads["out"], grads["out_bias"] = after.T @ p, p.sum(axis=0)
         back = p @ w["out"].T
-        q[np.arange(len(listed)), place] -= 1
-        q /= len(ids)
-        own, inner = flat[listed], np.empty((len(listed), HIDDEN), flat.dtype)
+        q *= (share / inner_sums)[:, None]
+        q[np.arange(len(listed)), place] -= share
+        own, inner = after[listed], np.empty((len(listed), HIDDEN), after.dtype)
         for k, rows in parts:
             np.matmul(q[rows].T, own[rows], out=grads["word"][k])
-            q[rows].sum(axis=0, out=grads["word_bias"][k])
             np.matmul(q[rows], w["word"][k], out=inner[rows])
+        if parts:
+            grads["word_bias"][[k for k, _ in parts]] = np.add.reduceat(q, [rows.start for _, rows in parts])
         back[listed] += inner
-        to_state = np.zeros((len(targets), HIDDEN), back.dtype)
-        to_state[real] = back
-        to_state = to_state.reshape(new.shape)
-        reset, keep = gates[:, :, :HIDDEN], gates[:, :, HIDDEN:]
-        by_new, by_keep, by_reset = (1 - keep) * (1 - new * new), (states[:-1] - new) * keep * (1 - keep), terms * reset * (1 - reset)
-        carried = np.zeros_like(states[0])
-        moved = np.zeros((*x.shape, 3 * HIDDEN), states.dtype)
-        d_new, turned = np.empty_like(new), np.ascontiguousarray(w["state"].T)
-        for t in range(len(x) - 1, -1, -1):
-            d = to_state[t]
-            d += carried
-            np.multiply(d, by_new[t], out=d_new[t])
-            np.multiply(d_new[t], by_reset[t], out=moved[t, :, :HIDDEN])
-            np.multiply(d, by_keep[t], out=moved[t, :, HIDDEN : 2 * HIDDEN])
-            np.multiply(d_new[t], reset[t], out=moved[t, :, 2 * HIDDEN :])
-            carried = moved[t] @ turned
-            d *= keep[t]
-            carried += d
-        grads["state"] = states[:-1].reshape(-1, HIDDEN).T @ moved.reshape(-1, 3 * HIDDEN)
-        moved[:, :, 2 * HIDDEN :] = d_new
-        _add_by_key(grads["input"], x.ravel(), moved.reshape(-1, 3 * HIDDEN))
-        return grads, states[-1], float(-log_p.sum())
+        by_new = (1 - keep) * (1 - new * new)
+        moves = np.empty((len(ids), 3, HIDDEN), after.dtype)  # what a unit of ``back`` moves
+        moves[:, 0] = by_new * terms * reset * (1 - reset)
+        moves[:, 1] = (before - new) * keep * (1 - keep)
+        moves[:, 2] = by_new * reset
+        turned, at = np.ascontiguousarray(w["state"].T), len(ids)
+        carried = np.zeros((0, HIDDEN), after.dtype)
+        for lanes in reversed(live):
+            rows = slice(at - lanes, at)
+            at -= lanes
+            d, m = back[rows], moves[rows]
+            d[: len(carried)] += carried
+            m *= d[:, None]
+            carried = m.reshape(lanes, -1) @ turned
+            carried += d * keep[rows]
+        moved = moves.reshape(len(ids), -1)
+        grads["state"] = before.T @ moved
+        np.multiply(back, by_new, out=moves[:, 2])
+        _add_by_key(grads["input"], x, moved)
+        state = np.empty_like(last)
+        state[order] = last
+        return grads, state, float(-log_p.sum())
 
     def train(self, stretches: list[tuple[np.ndarray, np.ndarray]], epochs: int, rate: float, seed: int) -> None:
         """Adam over windows of ``BATCH`` stretches side by side, each carrying its state to
@@ -343,12 +409,20 @@ class Network:
                 step, done = step + 1, done + words
                 now = rate * (1 - 0.9 * done / total)
                 for k, g in grads.items():
+                    one, two = first[k], second[k]
                     np.clip(g, -0.5, 0.5, out=g)
-                    g *= words / (BATCH * WINDOW)
-                    first[k] += 0.1 * (g - first[k])
-                    second[k] += 0.01 * (g * g - second[k])
-                    move = first[k] / (1 - 0.9**step) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-6)
-                    self.w[k] -= now * move
+                    g *= 0.1 * words / (BATCH * WINDOW)
+                    one *= 0.9
+                    one += g
+                    np.square(g, out=g)  # of a tenth: a hundredth of the square
+                    two *= 0.99
+                    two += g
+                    np.multiply(two, 1 / (1 - 0.99**step), out=g)
+                    np.sqrt(g, out=g)
+                    g += 1e-6
+                    np.divide(one, g, out=g)
+                    g *= now / (1 - 0.9**step)
+                    self.w[k] -= g
                 going = [row for row, (i, at) in enumerate(lanes) if at + WINDOW + 1 < len(stretches[i][0])]
                 lanes, h = [(lanes[row][0], lanes[row][1] + WINDOW) for row in going], h[going]
 
@@ -367,34 +441,32 @@ class Network:
 
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
         """log10-likelihood of whole texts (ids with their end); the counts' share of words
-        outside the frequent is left to the caller."""
+        outside the frequent is left to the caller.  ``LANES`` texts of about equal length run
+        side by side, the longest first."""
         out = np.zeros(len(texts))
-        order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
-        lengths = np.array([len(texts[i]) for i in order])
-        h = np.zeros((len(texts), HIDDEN), np.float32)
-        end = self.classes.index.get(word_hash(END), len(self.classes.counts))
-        last = np.full(len(texts), end)
-        for start in range(0, lengths.max(initial=0), WINDOW):
-            live = int((lengths > start).sum())
-            states, ids, rows = [], [], []
-            block = np.full((live, WINDOW), -1)
-            for row in range(live):
-                part = texts[order[row]][start : start + WINDOW]
-                block[row, : len(part)] = part
-            for t in range(min(WINDOW, lengths[0] - start)):
-                now = int((lengths > start + t).sum())
-                h[:now], _ = self.step(self.classes.inputs(last[:now]), h[:now])
-                last[:now] = block[:now, t]
-                states.append(h[:now].copy()), ids.append(block[:now, t]), rows.append(np.arange(now))
-            every, which, whose = np.concatenate(states), np.concatenate(ids), np.concatenate(rows)
-            for at in range(0, len(which), ROWS):
-                part = slice(at, at + ROWS)
-                log_p, _ = self.output(every[part], which[part])
-                log_p = log_p.astype(float) / np.log(10) + self.classes.within[which[part]]
-                out[:live] += np.bincount(whose[part], log_p, minlength=live)
-        result = np.zeros(len(texts))
-        result[order] = out
-        return result
+        if not self.classes.tokens:  # nothing was learned: one class, of probability 1
+            return out
+        end = [self.classes.index.get(word_hash(END), len(self.classes.counts))]
+        lengths = np.array([len(t) for t in texts])
+        order = np.argsort(-lengths, kind="stable")
+        times = np.arange(WINDOW)[:, None]
+        for group in (order[i : i + LANES] for i in range(0, len(order), LANES)):
+            ids = np.concatenate([part for i in group.tolist() for part in (end, texts[i])])
+            left, h = lengths[group], np.zeros((len(group), HIDDEN), np.float32)
+            place = np.concatenate([[0], np.cumsum(left[:-1] + 1)])  # of the word before the window
+            while len(group):
+                real = times < left
+                at = (place + times)[real]
+                _, after, *_, h = self._forward(self.classes.inputs(ids[at]), [n for n in real.sum(axis=1).tolist() if n], h)
+                words, whose = ids[at + 1], np.broadcast_to(group, real.shape)[real]
+                for first in range(0, len(words), ROWS):
+                    part = slice(first, first + ROWS)
+                    log_p, _ = self.output(after[part], words[part])
+                    log_p = log_p.astype(float) / np.log(10) + self.classes.within[words[part]]
+                    np.add.at(out, whose[part], log_p)
+                going = int((left > WINDOW).sum())
+                group, left, place, h = group[:going], left[:going] - WINDOW, place[:going] + WINDOW, h[:going]
+        return out
 
 
 # --- learning -------------------------------------------------------------------------
@@ -431,17 +503,19 @@ def _stretches(shared, start):
         ids_of, network = Ids(shared.value), Network(shared.value)
         network.w = _weights(start.value, network.w)
         for batch in batches:
-            places, parts, states, rows = [], [], [], []
-            for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
-                if held_out(doc_id.as_py()):
-                    continue
-                ids = np.concatenate([[ids_of[END]], ids_of.of(common.spaced_words(text.as_py()))]).astype(np.int32)
-                for part, state in enumerate(network.states(ids)):
-                    places.append(_place(doc_id.as_py(), 2 + part))
-                    parts.append(part)
-                    states.append(state.astype(np.float32).tobytes() if part else b"")
-                    rows.append(ids[part * STRETCH : (part + 1) * STRETCH + 1].tobytes())
-            yield _stretch_batch(places, parts, states, rows)
+            learned = pa.array([not held_out(i) for i in batch.column("doc_id").to_pylist()], pa.bool_())
+            doc_ids = batch.column("doc_id").filter(learned).to_pylist()
+            for split in split_texts(batch.column("text").filter(learned)):
+                places, parts, states, rows = [], [], [], []
+                every, starts = ids_of.each(split.words)[split.codes], split.starts.tolist()
+                for doc_id, i, j in zip(doc_ids[split.rows], starts, starts[1:], strict=False):
+                    ids = np.concatenate([[ids_of[END]], every[i:j]], dtype=np.int32)
+                    for part, state in enumerate(network.states(ids)):
+                        places.append(_place(doc_id, 2 + part))
+                        parts.append(part)
+                        states.append(state.astype(np.float32).tobytes() if part else b"")
+                        rows.append(ids[part * STRETCH : (part + 1) * STRETCH + 1].tobytes())
+                yield _stretch_batch(places, parts, states, rows)
 
     return work
 
@@ -546,33 +620,36 @@ def _partial(shared):
         share = np.concatenate([np.log10((classes.counts + 0.5) / classes.base_mass), [0.0]])
         row_id = TaskContext.get().partitionId() << 33
         for batch in batches:
-            texts, lengths, base, others = [], [], [], []
-            for text in batch.column("text"):
-                words = common.spaced_words(text.as_py())
-                ids = ids_of.of(words)
-                words.append(END)
-                texts.append(ids)
-                base.append(float(share[ids].sum()))
-                others.append(Counter(word_hash(words[i]) for i in np.flatnonzero(ids == rare).tolist()))
-            lengths = [len(t) for t in texts]
-            unlisted = [sum(o.values()) for o in others]
             doc_ids = batch.column("doc_id").cast(pa.int64())
-            yield pa.record_batch(
-                [
-                    pa.array(range(row_id, row_id + len(texts)), pa.int64()),
-                    doc_ids,
-                    pa.array([held_out(i.as_py()) for i in doc_ids]),
-                    pa.array(lengths, pa.int64()),
-                    pa.array([n - u for n, u in zip(lengths, unlisted, strict=True)], pa.int64()),
-                    pa.array(unlisted, pa.int64()),
-                    pa.array(base, pa.float64()),
-                    pa.array(network.score(texts), pa.float64()),
-                    pa.array([list(o) for o in others], pa.list_(pa.int64())),
-                    pa.array([list(o.values()) for o in others], pa.list_(pa.int64())),
-                ],
-                names=["row_id", "doc_id", "held_out", "n_tokens", "known", "rare", "base", "score", "hashes", "times"],
-            )
-            row_id += len(texts)
+            for split in split_texts(batch.column("text")):
+                own, lengths = doc_ids[split.rows], np.diff(split.starts)
+                ids, of_text = ids_of.each(split.words)[split.codes], np.repeat(np.arange(len(own)), lengths)
+                base = np.bincount(of_text, share[ids], minlength=len(own))
+                # the words of each text that are not among the frequent, with their counts in it
+                other = np.flatnonzero(ids == rare)
+                pairs, times = np.unique(of_text[other] * len(split.words) + split.codes[other], return_counts=True)
+                whose, which = np.divmod(pairs, len(split.words))
+                used, place = np.unique(which, return_inverse=True)
+                hashes = np.array([word_hash(split.words[i]) for i in used.tolist()], np.int64)[place]
+                edges = np.searchsorted(whose, np.arange(len(own) + 1))
+                unlisted = np.bincount(whose, times, minlength=len(own)).astype(np.int64)
+                scores = network.score(np.split(ids, split.starts[1:-1]))
+                yield pa.record_batch(
+                    [
+                        pa.array(range(row_id, row_id + len(own)), pa.int64()),
+                        own,
+                        pa.array([held_out(i) for i in own.to_pylist()]),
+                        pa.array(lengths, pa.int64()),
+                        pa.array(lengths - unlisted, pa.int64()),
+                        pa.array(unlisted, pa.int64()),
+                        pa.array(base, pa.float64()),
+                        pa.array(scores, pa.float64()),
+                        pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(hashes, pa.int64())),
+                        pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(times, pa.int64())),
+                    ],
+                    names=["row_id", "doc_id", "held_out", "n_tokens", "known", "rare", "base", "score", "hashes", "times"],
+                )
+                row_id += len(own)
 
     return work
 
