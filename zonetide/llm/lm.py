@@ -307,7 +307,7 @@ class Network:
         n, kind = len(x), h.dtype
         # a part for either gate and the new value; the gates' are negative, for exp(-x)
         turn = np.array([-1, -1, 1], kind)[:, None, None]
-        given = (_by_gate(self.w["input"]) * turn)[:, x]
+        given = np.take(_by_gate(self.w["input"]) * turn, x, axis=1)
         state = _by_gate(self.w["state"]) * turn
         before, after, new = (np.empty((n, HIDDEN), kind) for _ in range(3))
         terms = np.empty((3, n, HIDDEN), kind)
@@ -350,7 +350,7 @@ class Network:
         share = 1 / len(ids)
         p *= (share / sums)[:, None]
         p[np.arange(len(ids)), c] -= share
-        grads["out"], grads["out_bias"] = after.T @ p, p.sum(axis=0)
+        grads["out"], grads["out_bias"] = after.T @ p, np.ones(len(p), p.dtype) @ p
         back = p @ w["out"].T
         q *= (share / inner_sums)[:, None]
         q[np.arange(len(listed)), place] -= share
@@ -391,9 +391,12 @@ class Network:
         however many are in a window."""
         random = np.random.default_rng(seed)
         first, second = ({k: np.zeros_like(v) for k, v in self.w.items()} for _ in range(2))
-        step, done, total = 0, 0, epochs * sum(len(ids) - 1 for ids, _ in stretches)
+        lengths = np.array([len(ids) - 1 for ids, _ in stretches])
+        step, done, total = 0, 0, epochs * int(lengths.sum())
         for _ in range(epochs):
-            waiting = random.permutation(len(stretches)).tolist()
+            waiting = random.permutation(len(stretches))
+            long = lengths[waiting] > total / epochs / BATCH / 4  # first, so that they don't go on alone
+            waiting = [*sorted(waiting[long].tolist(), key=lambda i: -lengths[i]), *waiting[~long].tolist()]
             lanes, h = [], np.zeros((0, HIDDEN), np.float32)
             while lanes or waiting:
                 new = waiting[: BATCH - len(lanes)]
