@@ -26,9 +26,9 @@ a row each, and count each as a training text; other columns are ignored.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -51,9 +51,7 @@ FIRST_RUNS, FIRST_EPOCHS, REPLICA_RUNS, BATCH, RATE = 4000, 6, 16_384, 128, 4e-3
 SUMS = 64
 END = b""
 #: Texts that are scored side by side, and rows of the output softmax computed at once.
-LANES, ROWS = 256, 2048
-#: Distinct words that a counting task holds before it hands them on.
-HELD_WORDS = 400_000
+LANES, ROWS = 512, 2048
 #: Bytes of texts that are split into words at once; a longer text is split by itself.
 SPLIT_BYTES = 8 << 20
 
@@ -63,6 +61,10 @@ def word_hash(word: bytes) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).view(np.int64)
+
+
 def held_out(doc_id: int | None) -> bool:
     return doc_id is None or zlib.crc32(str(doc_id).encode()) % PARTS == HELD_OUT
 
@@ -73,8 +75,8 @@ class Split:
     each text's last, in one array."""
 
     rows: slice  # of the texts
-    words: list[bytes]  # the distinct ones
-    codes: np.ndarray  # places in ``words``, text after text
+    hashes: np.ndarray  # of the distinct words, each once
+    codes: np.ndarray  # places in ``hashes``, text after text
     starts: np.ndarray  # where a text begins in ``codes``, and the end of all: one more than texts
 
 
@@ -94,7 +96,7 @@ def split_texts(texts: pa.Array) -> Iterator[Split]:
         real = codes != (words.index(b"") if b"" in words else -1)  # what is beside outer white space
         starts = np.concatenate([[0], np.cumsum(real)])[starts - starts[0]]
         codes = np.insert(codes[real], starts[1:], len(words))
-        yield Split(slice(at, to), [*words, END], codes, starts + np.arange(len(starts)))
+        yield Split(slice(at, to), word_hashes([*words, END]), codes, starts + np.arange(len(starts)))
         at = to
 
 
@@ -102,21 +104,12 @@ def split_texts(texts: pa.Array) -> Iterator[Split]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
-
-    def out() -> pa.RecordBatch:
-        hashes = pa.array([word_hash(w) for w in counts], pa.int64())
-        return pa.record_batch([hashes, pa.array(list(counts.values()), pa.int64())], names=["hash", "n"])
-
     for batch in batches:
         learned = pa.array([not held_out(i) for i in batch.column("doc_id").to_pylist()], pa.bool_())
         for split in split_texts(batch.column("text").filter(learned)):
-            times = np.bincount(split.codes, minlength=len(split.words)).tolist()
-            counts.update({word: n for word, n in zip(split.words, times, strict=True) if n})
-            if len(counts) > HELD_WORDS:
-                yield out()
-                counts.clear()
-    yield out()
+            times = np.bincount(split.codes, minlength=len(split.hashes))
+            used = times > 0
+            yield pa.record_batch([pa.array(split.hashes[used]), pa.array(times[used], pa.int64())], names=["hash", "n"])
 
 
 def vocabulary(docs: DataFrame) -> DataFrame:
@@ -181,27 +174,21 @@ def classes_of(vocabulary: DataFrame) -> Classes:
     return Classes({r["hash"]: i for i, r in enumerate(frequent)}, counts, tokens or 0, words)
 
 
-class Ids(dict):
-    """Word -> rank among the frequent, or their number; remembered up to a bound."""
-
-    LIMIT = 300_000
+class Ids:
+    """Word -> rank among the frequent, or their number."""
 
     def __init__(self, classes: Classes):
-        super().__init__()
         self.index, self.rare = classes.index, len(classes.counts)
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        value = self[word] = self.index.get(word_hash(word), self.rare)
-        return value
+    def __getitem__(self, word: bytes) -> int:
+        return self.index.get(word_hash(word), self.rare)
 
-    def each(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+    def each(self, hashes: np.ndarray) -> np.ndarray:
+        return np.fromiter(map(self.index.get, hashes.tolist(), repeat(self.rare)), np.int64, len(hashes))
 
     def of(self, words: list[bytes]) -> np.ndarray:
         """Ids of a text's words and its end."""
-        return self.each([*words, END])
+        return self.each(word_hashes([*words, END]))
 
 
 # --- the network ----------------------------------------------------------------------
@@ -461,12 +448,12 @@ class Network:
                 real = times < left
                 at = (place + times)[real]
                 _, after, *_, h = self._forward(self.classes.inputs(ids[at]), [n for n in real.sum(axis=1).tolist() if n], h)
-                words, whose = ids[at + 1], np.broadcast_to(group, real.shape)[real]
+                words, whose = ids[at + 1], np.broadcast_to(np.arange(len(group)), real.shape)[real]
                 for first in range(0, len(words), ROWS):
                     part = slice(first, first + ROWS)
                     log_p, _ = self.output(after[part], words[part])
                     log_p = log_p.astype(float) / np.log(10) + self.classes.within[words[part]]
-                    np.add.at(out, whose[part], log_p)
+                    out[group] += np.bincount(whose[part], log_p, minlength=len(group))
                 going = int((left > WINDOW).sum())
                 group, left, place, h = group[:going], left[:going] - WINDOW, place[:going] + WINDOW, h[:going]
         return out
@@ -510,7 +497,7 @@ def _stretches(shared, start):
             doc_ids = batch.column("doc_id").filter(learned).to_pylist()
             for split in split_texts(batch.column("text").filter(learned)):
                 places, parts, states, rows = [], [], [], []
-                every, starts = ids_of.each(split.words)[split.codes], split.starts.tolist()
+                every, starts = ids_of.each(split.hashes)[split.codes], split.starts.tolist()
                 for doc_id, i, j in zip(doc_ids[split.rows], starts, starts[1:], strict=False):
                     ids = np.concatenate([[ids_of[END]], every[i:j]], dtype=np.int32)
                     for part, state in enumerate(network.states(ids)):
@@ -626,14 +613,13 @@ def _partial(shared):
             doc_ids = batch.column("doc_id").cast(pa.int64())
             for split in split_texts(batch.column("text")):
                 own, lengths = doc_ids[split.rows], np.diff(split.starts)
-                ids, of_text = ids_of.each(split.words)[split.codes], np.repeat(np.arange(len(own)), lengths)
+                ids, of_text = ids_of.each(split.hashes)[split.codes], np.repeat(np.arange(len(own)), lengths)
                 base = np.bincount(of_text, share[ids], minlength=len(own))
                 # the words of each text that are not among the frequent, with their counts in it
                 other = np.flatnonzero(ids == rare)
-                pairs, times = np.unique(of_text[other] * len(split.words) + split.codes[other], return_counts=True)
-                whose, which = np.divmod(pairs, len(split.words))
-                used, place = np.unique(which, return_inverse=True)
-                hashes = np.array([word_hash(split.words[i]) for i in used.tolist()], np.int64)[place]
+                pairs, times = np.unique(of_text[other] * len(split.hashes) + split.codes[other], return_counts=True)
+                whose, which = np.divmod(pairs, len(split.hashes))
+                hashes = split.hashes[which]
                 edges = np.searchsorted(whose, np.arange(len(own) + 1))
                 unlisted = np.bincount(whose, times, minlength=len(own)).astype(np.int64)
                 scores = network.score(np.split(ids, split.starts[1:-1]))
