@@ -483,6 +483,31 @@ def test_lm_is_a_distribution():
     assert (10 ** (log_p / np.log(10) + classes.within)).sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_lm_splits_texts_into_the_same_words(monkeypatch):
+    texts = [None, "", " \t", "A b\x0b C\x1fD e\u3000É x", " x ", "x\x00y  z\x85q", *["w " * 5] * 3, "LONG " * 50]
+    for size in (8, 30, 1 << 20):
+        monkeypatch.setattr(lm, "SPLIT_BYTES", size)
+        for column in (pa.array(texts), pa.array(["cut off", *texts])[1:], pa.array([], pa.string())):
+            got = []
+            for split in lm.split_texts(column):
+                assert split.rows.start == len(got) == split.rows.stop - len(split.starts) + 1
+                got += [split.hashes[split.codes[i:j]].tolist() for i, j in zip(split.starts, split.starts[1:], strict=False)]
+            words = [[*common.spaced_words(t), lm.END] for t in column.to_pylist()]
+            assert got == [[lm.word_hash(w) for w in ws] for ws in words]
+
+
+def test_lm_softmax_is_the_same_with_and_without_bounds():
+    random = np.random.default_rng(7)
+    x, bias, chosen = random.normal(0, 2, (50, 9)), random.normal(0, 5, 9), random.integers(0, 9, 50)
+    want = x + bias
+    want = want[np.arange(50), chosen] - np.log(np.exp(want).sum(axis=1))
+    for reach in (np.abs(x).max(axis=0), np.full(9, 500.0)):
+        terms = x.copy()
+        log_p, sums = lm._softmax(terms, chosen, bias, reach)
+        assert np.allclose(log_p, want)
+        assert np.allclose((terms / sums[:, None]).sum(axis=1), 1)
+
+
 def test_lm_gradients_and_carried_state():
     classes = toy_classes(40)
     network = lm.Network(classes)
