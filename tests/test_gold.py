@@ -134,6 +134,15 @@ def test_event_that_ends_after_midnight(spark):
     assert set(orders.columns) <= set(got.columns)
 
 
+def test_events_listed_by_hour_are_never_broadcast(spark, tmp_path):
+    cleaning.clean_local_events(b.events(spark, {}, {"event_id": "E2"})).write.parquet(str(tmp_path / "events"))
+    events = spark.read.parquet(str(tmp_path / "events"))
+    got = joins.orders_during_events(cleaning.with_calendar(b.orders(spark, {})), events)
+    assert sorted(r.event_id for r in got.collect()) == ["E1", "E2"]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_folds_learn_from_the_past_only(spark):
     rows = spark.sql("SELECT date_add(date'2024-01-01', CAST(id AS int)) AS order_date, id AS total_orders FROM range(20)")
     rows = rows.unionByName(rows.selectExpr("CAST(NULL AS date) AS order_date", "total_orders").limit(1))

@@ -2,6 +2,8 @@
 
 No side is broadcast by hint: Spark broadcasts what it measures below its threshold.
 Beyond that the join is shuffled, and a hot key on the order side is split at run time.
+The interval join is always shuffled, as Spark measures its events before they are listed
+by hour.
 """
 
 from __future__ import annotations
@@ -62,7 +64,9 @@ def orders_during_events(orders: DataFrame, events: DataFrame) -> DataFrame:
 
     An event that ends before it starts ends the day after.  Every event is listed under
     each hour it touches, 25 at most, and an order has one hour: zone and hour are equi-keys
-    that find each pair once, and the interval is checked on what is left.
+    that find each pair once, and the interval is checked on what is left.  The hours of an
+    event are not in Spark's size estimate, so a small table of events could become a
+    broadcast that no driver holds: both sides are sorted and merged at every size.
     """
 
     def moment(c: str):
@@ -78,7 +82,7 @@ def orders_during_events(orders: DataFrame, events: DataFrame) -> DataFrame:
         F.col("order_timestamp") < F.col("event_end")
     )
     placed = orders.withColumn("_hour", F.date_trunc("hour", "order_timestamp"))
-    return placed.join(e, ["zone", "_hour"]).filter(inside).drop("_hour")
+    return placed.join(e.hint("merge"), ["zone", "_hour"]).filter(inside).drop("_hour")
 
 
 def orders_partners(orders: DataFrame, partners: DataFrame) -> DataFrame:
