@@ -129,6 +129,20 @@ def test_one_wrong_date_does_not_stretch_the_calendar(spark, layers):
     assert want.exceptAll(same).filter("lag_168 is not null").count() == 0
 
 
+def test_means_of_past_hours_do_not_sum_every_frame_anew(spark):
+    hours = [("A", START + timedelta(hours=i), i * i % 7) for i in range(400) if not 30 <= i < 40]
+    rows = spark.createDataFrame(hours, "zone string, at timestamp, total_orders bigint")
+    demand = rows.selectExpr("zone", "date(at) order_date", "hour(at) order_hour", "total_orders", "0 rain_flag", "0 event_flag")
+    lags = forecast.lag_features(demand)
+    plan = lags._jdf.queryExecution().optimizedPlan().toString()
+    assert "RowFrame, -168, -1)" not in plan and "unboundedpreceding" in plan
+    orders = [0 if 30 <= i < 40 else i * i % 7 for i in range(400)]
+    got = [r.rolling_168 for r in lags.orderBy("hour_ts").collect()]
+    assert got == [sum(orders[i - 168 : i]) / 168 if i >= 168 else None for i in range(400)]
+    daily = [r.rolling_avg for r in forecast.rolling_average(demand).orderBy("hour_ts").collect()]
+    assert daily == [sum(orders[i - 24 : i]) / 24 if i >= 24 else None for i in range(400)]
+
+
 def test_alerts_and_utilisation_of_a_zone_without_partners(spark):
     expected = spark.createDataFrame([("A", START, 1000.0), ("B", START, 1.0)], "zone string, hour_ts timestamp, forecast double")
     staff = b.partners(spark, {"zone": "B"}).withColumn("is_active", F.lit(1))
