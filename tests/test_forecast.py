@@ -1,4 +1,5 @@
 from datetime import datetime, timedelta
+from types import SimpleNamespace
 
 import builders as b
 import pytest
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from zonetide.functions.measures import exact_avg, exact_sum
 from zonetide.operators import cleaning, forecast, gold, ml, ops
+from zonetide.plans import registry
 
 
 def demand(spark, rows):
@@ -129,6 +131,40 @@ def test_one_wrong_date_does_not_stretch_the_calendar(spark, layers):
     assert want.exceptAll(same).filter("lag_168 is not null").count() == 0
 
 
+def test_queries_keep_every_hour_of_a_long_silence(spark):
+    last = 40 * 24 + 5
+    orders = {("A", 0): 3, ("A", last - 24): 4, ("B", 7): 2, ("A", last): 5}
+    rows = demand(spark, [(START + timedelta(hours=h), z, n, 0, 0) for (z, h), n in orders.items()])
+    past = {(z, i): orders.get((z, i), 0) for z in "AB" for i in range(last + 1)}
+    want = {
+        (z, START + timedelta(hours=i)): (
+            n,
+            past.get((z, i - 168)),
+            past.get((z, i - 24)),
+            sum(past[z, k] for k in range(i - 168, i)) / 168 if i >= 168 else None,
+        )
+        for (z, i), n in past.items()
+    }
+    layers = SimpleNamespace(table=lambda name: rows)
+    lags = registry.ALL["lag_features"](layers).collect()
+    assert len(lags) == len(want) == 2 * (last + 1)
+    assert {(r.zone, r.hour_ts): (r.total_orders, r.lag_168, r.lag_24, r.rolling_168) for r in lags} == want
+    assert registry.ALL["rolling_avg_demand"](layers).count() == len(want)
+    assert registry.ALL["wma_forecast"](layers).count() == ml.next_hour_rows(rows).count() == len(want) - 2 * 168
+    baseline = forecast.order_velocity(b.orders(spark, {"zone": "A", "order_timestamp": START}), rows).first().baseline_orders
+    assert baseline == 3 / 41
+
+
+def test_next_intervals_of_a_long_silence(spark):
+    at = [START, START + timedelta(days=40)]
+    orders = b.orders(spark, *[{"order_id": str(t), "order_timestamp": t} for t in at])
+    got = forecast.next_interval_target(forecast.interval_orders(orders)).orderBy("interval_ts").collect()
+    n = 40 * 48 + 1
+    assert [r.interval_ts for r in got] == [START + timedelta(minutes=30 * i) for i in range(n)]
+    ahead = [(r.orders, r.orders_next_30, r.orders_next_60) for r in got]
+    assert ahead == [(1, 0, 0), *[(0, 0, 0)] * (n - 4), (0, 0, 1), (0, 1, None), (1, None, None)]
+
+
 def test_means_of_past_hours_do_not_sum_every_frame_anew(spark):
     hours = [("A", START + timedelta(hours=i), i * i % 7) for i in range(400) if not 30 <= i < 40]
     rows = spark.createDataFrame(hours, "zone string, at timestamp, total_orders bigint")

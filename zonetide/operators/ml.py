@@ -294,7 +294,7 @@ def next_hour_rows(demand: DataFrame) -> DataFrame:
     """Lag features of every zone-hour with the orders of the next hour as label."""
     following = Window.partitionBy("zone").orderBy("hour_ts")
     return (
-        lag_features(demand)
+        lag_features(demand, quiet_days=None)
         .withColumns(
             {
                 "hour_of_day": F.hour("hour_ts"),
